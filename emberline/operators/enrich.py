@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from emberline import schemas as S
+from emberline.operators.joins import salted_left_join
 
 
 def assert_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
@@ -24,26 +25,16 @@ def assert_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
 
 def join_weather(detections: DataFrame, weather: DataFrame | None, date: str = "acq_date_wib",
                  salts: int = 8, validate: bool = True) -> DataFrame:
-    """Every detection with the weather of its entity and local day, null where there is none.
-
-    No broadcast hint: weather grows with entities and days, so Spark broadcasts it only when
-    its measured size is under the session's threshold. In a shuffled join the salt spreads a
-    hot (entity, day) over `salts` tasks; the daily weather side is repeated, which is cheap.
-    """
+    """Every detection with the weather of its entity and local day, null where there is none."""
     if weather is None:
         return detections
     columns = [c for c in S.WEATHER if c in weather.columns]
     right = weather.select(S.ENTITY, F.col("date").alias(date), *columns)
     if validate:
         right = assert_unique(right, [S.ENTITY, date], "weather")
-    keys = [S.ENTITY, date]
-    left = detections
-    if salts > 1:
-        left = left.withColumn(
-            "_salt", F.pmod(F.hash("latitude", "longitude", "acq_datetime_utc"), F.lit(salts)))
-        right = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-        keys = [*keys, "_salt"]
-    return left.join(right, keys, "left").select(*detections.columns, *columns)
+    joined = salted_left_join(detections, right, [S.ENTITY, date],
+                              ["latitude", "longitude", "acq_datetime_utc"], salts)
+    return joined.select(*detections.columns, *columns)
 
 
 def unmatched(detections: DataFrame, weather: DataFrame, date: str = "acq_date_wib") -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["cleaning", "features"]
+MODULES = ["cleaning", "features", "areas", "dashboard", "scenario"]
 
 
 def load():

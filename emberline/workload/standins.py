@@ -192,3 +192,27 @@ LOG_SQL = """log AS (
     value / CAST(50 AS DOUBLE) AS duration_s,
     CASE WHEN CAST(regexp_extract(props, '[0-9]+') AS INTEGER) % 20 > 3 THEN value END AS prediction
   FROM events)"""
+
+
+def area_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One overlapping box per supplier; every ninth box is degenerate."""
+    s = F.col("s_suppkey")
+    lat = F.lit(-5.5) + (s * 7 % 80) / F.lit(10.0)
+    lon = F.lit(100.0) + (s * 13 % 150) / F.lit(10.0)
+    return table(spark, sf_dir, "supplier").select(
+        s.cast("int").alias("priority"), F.concat(F.lit("a"), s.cast("string")).alias("province_id"),
+        F.when(s % 7 != 0, F.col("s_name")).alias("name"),
+        lat.alias("lat_min"), lon.alias("lon_min"),
+        (lat + F.when(s % 9 == 0, 0.0).otherwise(F.lit(0.5) + (s % 5) / F.lit(2.0))).alias("lat_max"),
+        (lon + F.lit(1.0) + s % 4).alias("lon_max"))
+
+
+AREA_SQL = """areas AS (
+  SELECT *, lat_min + CASE WHEN priority % 9 = 0 THEN CAST(0 AS DOUBLE) ELSE CAST(0.5 AS DOUBLE) + (priority % 5) / CAST(2 AS DOUBLE) END AS lat_max,
+    lon_min + CAST(1 AS DOUBLE) + priority % 4 AS lon_max
+  FROM (
+    SELECT CAST(s_suppkey AS INTEGER) AS priority, 'a' || s_suppkey AS province_id,
+      CASE WHEN s_suppkey % 7 <> 0 THEN s_name END AS name,
+      CAST(-5.5 AS DOUBLE) + (s_suppkey * 7 % 80) / CAST(10 AS DOUBLE) AS lat_min,
+      CAST(100 AS DOUBLE) + (s_suppkey * 13 % 150) / CAST(10 AS DOUBLE) AS lon_min
+    FROM supplier))"""
