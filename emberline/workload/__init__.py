@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ["cleaning", "features", "areas", "dashboard", "scenario", "monitoring", "gate"]
+MODULES = ["cleaning", "features", "areas", "dashboard", "scenario", "monitoring", "gate", "storage", "learning", "streams"]
 
 
 def load():
