@@ -5,18 +5,18 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Text that counts as a missing number in a CSV cell.
-NULL_MARKERS = ["", "na", "n/a", "nan", "null", "none", "#n/a", "<na>", "-nan"]
+def drop_nan(c: Column) -> Column:
+    """NaN to null. Spark orders NaN above every number, so `NaN >= 0` would hold."""
+    return F.nanvl(c, F.lit(None).cast("double"))
 
 
 def clean_double(c: Column) -> Column:
-    """Text or number to double; markers, bad text and NaN become null.
+    """Text to double; bad text, null markers and NaN become null.
 
-    NaN must go: Spark orders it above every number, so `NaN >= 0` would hold.
+    A Java type suffix, as in `1.5d`, is bad text here although Spark's cast would take it.
     """
-    text = F.trim(c.cast("string"))
-    value = F.when(~F.lower(text).isin(NULL_MARKERS), text).try_cast("double")
-    return F.when(~F.isnan(value), value)
+    text = c.cast("string")
+    return drop_nan(F.when(~text.rlike(r"[0-9.][dDfF]\s*$"), text).try_cast("double"))
 
 
 def clean_text(c: Column) -> Column:
@@ -24,14 +24,18 @@ def clean_text(c: Column) -> Column:
 
 
 def utc_timestamp(date: Column, hhmm: Column) -> Column:
-    """Date text and an HHMM number (5 is 00:05, 518 is 05:18) to a timestamp, else null.
+    """Date text and an HHMM number (5 is 00:05, 518 is 05:18) to a UTC timestamp, else null.
 
-    The time is read as a whole number first, so a float-typed 518.0 is 05:18 as well.
+    The time is read as a number first, so a float-typed 518.0 is 05:18 as well; of more than
+    four digits the first four count. Plain arithmetic: no pattern is parsed per row.
     """
-    whole = F.floor(clean_double(hhmm)).cast("string")
-    return F.try_to_timestamp(
-        F.concat_ws(" ", F.trim(date.cast("string")), F.lpad(whole, 4, "0")),
-        F.lit("yyyy-MM-dd HHmm"))
+    text = date.cast("string")
+    day = F.when(F.length(text) >= 8, text).try_cast("date")
+    number = F.lpad(hhmm.cast("string").try_cast("decimal(9,2)").cast("int").cast("string"), 4, "0").try_cast("int")
+    # 60 h + m minutes out of 100 h + m.
+    minutes = number - F.floor(number / 100) * 40
+    valid = number.between(0, 2359) & (number % 100 < 60)
+    return F.when(valid, F.timestamp_seconds((F.unix_date(day).cast("long") * 1440 + minutes) * 60))
 
 
 def shift_hours(ts: Column, hours: int) -> Column:

@@ -24,8 +24,11 @@ def drop_incomplete(df: DataFrame, required: list[str]) -> DataFrame:
 
 
 def coerce_numbers(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Columns to double, bad values to null; ones that are numbers already skip the text step."""
+    text = {c for c, t in df.dtypes if t == "string"}
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({c: clean.clean_double(F.col(c)) for c in present})
+    return df.withColumns({c: clean.clean_double(F.col(c)) if c in text else clean.drop_nan(F.col(c).cast("double"))
+                           for c in present})
 
 
 def in_domain(df: DataFrame) -> DataFrame:

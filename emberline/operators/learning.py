@@ -75,9 +75,14 @@ def train_classifier(train: DataFrame, params: TrainParams = TrainParams(),
                      features: list[str] | None = None) -> PipelineModel:
     """Three classes with balanced weights; one class alone is an error."""
     features = features or feature_names(train)
-    if train.select(S.TARGET_CLASS).distinct().limit(2).count() < 2:
+    # At most one row per risk class comes back.
+    weights = {r[S.TARGET_CLASS]: r["weight"] for r in M.class_weights(train, S.TARGET_CLASS).collect()}
+    if len(weights) < 2:
         raise ValueError("the training side holds fewer than two classes")
-    weighted = M.with_class_weights(_prepared(train, features), S.TARGET_CLASS)
+    by_class = F.lit(None).cast("double")
+    for level, weight in weights.items():
+        by_class = F.when(F.col(S.TARGET_CLASS) == level, F.lit(weight)).otherwise(by_class)
+    weighted = _prepared(train, features).withColumn("weight", by_class)
     forest = RandomForestClassifier(
         featuresCol="features", labelCol=S.TARGET_CLASS, predictionCol="prediction", weightCol="weight",
         numTrees=params.n_estimators, maxDepth=params.max_depth, minInstancesPerNode=params.min_child_samples,

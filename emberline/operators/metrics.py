@@ -4,9 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberline import schemas as S
+
+RISK_CLASSES = tuple(S.RISK_LABELS)
+
 
 def regression_metrics(df: DataFrame, label: str, prediction: str, by: Sequence[str] = ()) -> DataFrame:
     error = F.col(label) - F.col(prediction)
@@ -49,16 +53,14 @@ def class_distribution(df: DataFrame, label: str) -> DataFrame:
     return df.groupBy(label).agg(F.count(F.lit(1)).alias("n")).orderBy(label)
 
 
-def class_weights(df: DataFrame, label: str) -> DataFrame:
-    """Balanced weight per class: n / (k * n_class)."""
-    counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
-    total = df.agg(F.count(F.lit(1)).alias("n"), F.count_distinct(label).alias("k"))
-    size = total.select((F.col("n") / F.col("k")).alias("x")).scalar()
-    return counts.select(label, (size / F.col("_n")).alias("weight"))
+def class_weights(df: DataFrame, label: str, classes: Sequence[int] = RISK_CLASSES) -> DataFrame:
+    """Balanced weight per class: n / (k * n_class). One row for each of the fixed classes seen."""
+    every_class = Window.partitionBy()
+    counts = df.filter(F.col(label).isin(list(classes))).groupBy(label).agg(F.count(F.lit(1)).alias("_n"))
+    mean = F.sum("_n").over(every_class) / F.count(F.lit(1)).over(every_class)
+    return counts.select(label, (mean / F.col("_n")).alias("weight"))
 
 
-def with_class_weights(df: DataFrame, label: str, classes: Sequence[int] = (0, 1, 2)) -> DataFrame:
-    """Weights attached without a join: the risk classes are three fixed values."""
-    weights = class_weights(df.filter(F.col(label).isin(list(classes))), label)
-    lookup = weights.agg(F.map_from_entries(F.collect_list(F.struct(F.col(label).cast("int"), "weight")))).scalar()
-    return df.withColumn("weight", F.element_at(lookup, F.col(label).cast("int")))
+def with_class_weights(df: DataFrame, label: str, classes: Sequence[int] = RISK_CLASSES) -> DataFrame:
+    """Weights attached to every row. Safe to broadcast: at most len(classes) rows."""
+    return df.join(F.broadcast(class_weights(df, label, classes)), label, "left")

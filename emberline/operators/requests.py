@@ -150,31 +150,30 @@ def active_requests(log: DataFrame, seconds: int = 15) -> DataFrame:
     return running_total(steps, "_delta", "step_end", "active").select("step_end", "active")
 
 
-def load_summary(results: DataFrame, elapsed_s: Column) -> DataFrame:
-    """Totals, success share, throughput and exact nearest-rank latencies of one load run.
+def load_summary(results: DataFrame, elapsed_s: Column, by: Sequence[str]) -> DataFrame:
+    """Totals, success share, throughput and exact nearest-rank latencies per load run.
 
-    Only status 200 is a success, and only successes have a latency. `elapsed_s` is an
-    aggregate over the results, or a literal.
+    `by` names the run. Only status 200 is a success, and only successes have a latency.
+    `elapsed_s` is an aggregate over the results, or a literal.
     """
-    ok = F.col("code") == 200
-    totals = results.agg(
+    by, ok = list(by), F.col("code") == 200
+    totals = results.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_total"), F.count_if(ok).alias("n_ok"), elapsed_s.alias("elapsed_s"),
         F.min(F.when(ok, F.col("elapsed_ms"))).alias("min_ms"), F.max(F.when(ok, F.col("elapsed_ms"))).alias("max_ms"),
         F.count(F.when(ok, F.col("prediction"))).alias("n_predictions"),
         F.min(F.when(ok, F.col("prediction"))).alias("prediction_min"),
         F.max(F.when(ok, F.col("prediction"))).alias("prediction_max"))
-    good = results.filter(ok)
-
-    def ranks(value: str, wanted: dict[str, float]) -> Column:
-        found = nearest_ranks(good, value, sorted(set(wanted.values())))
-        return found.agg(F.struct(*[
-            F.max(F.when(F.col("p") == p, F.col("value"))).alias(name) for name, p in wanted.items()])).scalar()
-    row = totals.withColumns({"_l": ranks("elapsed_ms", {"p50_ms": 0.5, "p95_ms": 0.95, "p99_ms": 0.99}),
-                              "_p": ranks("prediction", {"prediction_median": 0.5})})
-    row = row.select(*totals.columns, "_l.*", "_p.*")
-    return row.select(
-        "n_total", "n_ok", (F.col("n_total") - F.col("n_ok")).alias("n_failed"),
-        (F.col("n_ok") * F.lit(100.0) / F.greatest(F.col("n_total"), F.lit(1))).alias("success_pct"),
+    values = results.filter(ok).unpivot(by, ["elapsed_ms", "prediction"], "_what", "_value")
+    found = nearest_ranks(values, "_value", [0.5, 0.95, 0.99], [*by, "_what"])
+
+    def rank(what: str, p: float, name: str) -> Column:
+        return F.max(F.when((F.col("_what") == what) & (F.col("p") == p), F.col("value"))).alias(name)
+    ranks = found.groupBy(*by).agg(
+        rank("elapsed_ms", 0.5, "p50_ms"), rank("elapsed_ms", 0.95, "p95_ms"), rank("elapsed_ms", 0.99, "p99_ms"),
+        rank("prediction", 0.5, "prediction_median"))
+    return totals.join(ranks, by, "left").select(
+        *by, "n_total", "n_ok", (F.col("n_total") - F.col("n_ok")).alias("n_failed"),
+        (F.col("n_ok") * F.lit(100.0) / F.col("n_total")).alias("success_pct"),
         (F.col("n_total") / F.nullif(F.col("elapsed_s"), F.lit(0.0))).alias("throughput"),
         *[F.coalesce(c, F.lit(0.0)).alias(c) for c in ("p50_ms", "p95_ms", "p99_ms", "min_ms", "max_ms")],
         "n_predictions", "prediction_min", "prediction_median", "prediction_max")

@@ -147,25 +147,24 @@ def _(spark, sf):
 
 
 @query("load_summary", f"""WITH {LOG},
-ok AS (SELECT duration_s * 1000 AS ms, prediction, row_number() OVER (ORDER BY duration_s) AS r,
-  count(*) OVER () AS n FROM slog WHERE code = 200),
-okp AS (SELECT prediction, row_number() OVER (ORDER BY prediction) AS r, count(*) OVER () AS n
-  FROM slog WHERE code = 200 AND prediction IS NOT NULL),
-el AS (SELECT (epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(1000000 AS DOUBLE) AS elapsed FROM slog)
-SELECT count(*) AS n_total, count(*) FILTER (code = 200) AS n_ok, count(*) FILTER (code <> 200) AS n_failed,
+ok AS (SELECT endpoint, duration_s * 1000 AS ms, row_number() OVER (PARTITION BY endpoint ORDER BY duration_s) AS r,
+  count(*) OVER (PARTITION BY endpoint) AS n FROM slog WHERE code = 200),
+okp AS (SELECT endpoint, prediction, row_number() OVER (PARTITION BY endpoint ORDER BY prediction) AS r,
+  count(*) OVER (PARTITION BY endpoint) AS n FROM slog WHERE code = 200 AND prediction IS NOT NULL),
+ms AS (SELECT endpoint, round(max(ms) FILTER (r = least(floor(0.50 * n), n - 1) + 1), 6) AS p50_ms,
+  round(max(ms) FILTER (r = least(floor(0.95 * n), n - 1) + 1), 6) AS p95_ms,
+  round(max(ms) FILTER (r = least(floor(0.99 * n), n - 1) + 1), 6) AS p99_ms,
+  round(min(ms), 6) AS min_ms, round(max(ms), 6) AS max_ms FROM ok GROUP BY endpoint),
+pr AS (SELECT endpoint, count(*) AS n_predictions, min(prediction) AS prediction_min,
+  max(prediction) FILTER (r = n // 2 + 1) AS prediction_median, max(prediction) AS prediction_max FROM okp GROUP BY endpoint),
+t AS (SELECT endpoint, count(*) AS n_total, count(*) FILTER (code = 200) AS n_ok, count(*) FILTER (code <> 200) AS n_failed,
   round(count(*) FILTER (code = 200) * CAST(100 AS DOUBLE) / count(*), 8) AS success_pct,
-  round(count(*) / (SELECT elapsed FROM el), 8) AS throughput,
-  (SELECT round(ms, 6) FROM ok WHERE r = least(floor(0.50 * n), n - 1) + 1) AS p50_ms,
-  (SELECT round(ms, 6) FROM ok WHERE r = least(floor(0.95 * n), n - 1) + 1) AS p95_ms,
-  (SELECT round(ms, 6) FROM ok WHERE r = least(floor(0.99 * n), n - 1) + 1) AS p99_ms,
-  (SELECT round(min(ms), 6) FROM ok) AS min_ms, (SELECT round(max(ms), 6) FROM ok) AS max_ms,
-  (SELECT count(*) FROM okp) AS n_predictions, (SELECT min(prediction) FROM okp) AS prediction_min,
-  (SELECT prediction FROM okp WHERE r = n // 2 + 1) AS prediction_median, (SELECT max(prediction) FROM okp) AS prediction_max
-FROM slog""")
+  round(count(*) / ((epoch_us(max(ts)) - epoch_us(min(ts))) / CAST(1000000 AS DOUBLE)), 8) AS throughput FROM slog GROUP BY endpoint)
+SELECT * FROM t JOIN ms USING (endpoint) JOIN pr USING (endpoint)""")
 def _(spark, sf):
     results = D.request_log(spark, sf).withColumn("elapsed_ms", F.col("duration_s") * 1000)
     elapsed = (F.unix_micros(F.max("ts")) - F.unix_micros(F.min("ts"))) / F.lit(1e6)
-    out = R.load_summary(results, elapsed)
+    out = R.load_summary(results, elapsed, ["endpoint"])
     return out.select(*[F.round(c, 6).alias(c) if c.endswith("_ms") else F.round(c, 8).alias(c)
                         if c in ("success_pct", "throughput") else F.col(c) for c in out.columns])
 
@@ -236,7 +235,8 @@ SELECT a.feature, round(sum((a.share - e.share) * ln(a.share / e.share)), 8) AS
   sum((a.share - e.share) * ln(a.share / e.share)) > 0.2 AS drifted
 FROM shares a JOIN shares e ON a.feature = e.feature AND a.bin = e.bin AND a.now AND NOT e.now GROUP BY a.feature""")
 def _(spark, sf):
-    daily = A.aggregate_daily(D.detections(spark, sf, "user"))
+    # The ranks read the features three times: keep the daily rows, which are far fewer than detections.
+    daily = A.aggregate_daily(D.detections(spark, sf, "user")).persist()
     return rounded(G.stability_index(daily.filter(F.col("date") <= SPLIT), daily.filter(F.col("date") > SPLIT),
                                      ["hotspot_count", "frp_mean"]))
 
