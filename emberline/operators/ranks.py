@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 # splits one of them into at most 4096.
 RESOLUTIONS = (2 ** 8, 2 ** 20)
 
+# A target is a few numbers and the group's key.
+BROADCAST_ROWS = 10_000
+
 
 def _cell(value: Column, resolution: int) -> Column:
     """A whole number that never falls as the value rises."""
@@ -26,12 +29,25 @@ def _pick(counted: DataFrame, by: list[str], cell: str) -> DataFrame:
             .select(*by, "p", cell, (F.col("_rank") - F.col("_cum") + F.col("_n")).alias("_rank")))
 
 
+def _small(targets: DataFrame) -> DataFrame:
+    """Targets checked to be few enough to broadcast; otherwise the plain plan, to be shuffled.
+
+    Spark cannot know how few rows an aggregation leaves, and a shuffled join would move every
+    log row; so the first BROADCAST_ROWS targets are fetched to see whether that is all.
+    """
+    found = targets.limit(BROADCAST_ROWS + 1).collect()
+    if len(found) > BROADCAST_ROWS:
+        return targets
+    return F.broadcast(targets.sparkSession.createDataFrame(found, targets.schema))
+
+
 def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """For each p the value at 0-based position least(floor(p n), n - 1) in sorted order.
 
     Counts per coarse cell locate the cell of each rank; counts per fine cell narrow it; only
     the rows of that fine cell are grouped by value. Every step is an aggregation with map-side
-    partials over bounded cells, so no task ever sorts a whole group.
+    partials over bounded cells, so no task ever sorts a whole group. Two small jobs run while
+    the plan is built, to size the targets.
     """
     by = list(by)
     rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
@@ -44,14 +60,10 @@ def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequenc
                .withColumn("_rank", F.least(F.floor(F.col("p") * F.col("_total")), F.col("_total") - 1) + 1))
     first = _pick(counted, by, "_c0")
 
-    # One row per group and p. Without groups that is len(probs) rows: safe to broadcast.
-    def small(targets: DataFrame) -> DataFrame:
-        return targets if by else F.broadcast(targets)
-
-    inside = (rows.withColumn("_c0", _cell(F.col("_v"), coarse)).join(small(first), [*by, "_c0"])
+    inside = (rows.withColumn("_c0", _cell(F.col("_v"), coarse)).join(_small(first), [*by, "_c0"])
               .groupBy(*by, "p", "_rank", _cell(F.col("_v"), fine).alias("_c1")).agg(F.count(F.lit(1)).alias("_n")))
     second = _pick(inside, by, "_c1")
 
-    exact = (rows.withColumn("_c1", _cell(F.col("_v"), fine)).join(small(second), [*by, "_c1"])
+    exact = (rows.withColumn("_c1", _cell(F.col("_v"), fine)).join(_small(second), [*by, "_c1"])
              .groupBy(*by, "p", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n")))
     return _pick(exact, by, "_v").select(*by, "p", F.col("_v").alias("value"))

@@ -37,37 +37,61 @@ def header_contract(headers: DataFrame) -> DataFrame:
             .withColumn("accepted", F.size("missing_critical") == 0))
 
 
-def scan_csv(spark: SparkSession, folder: str, required: list[str], strict: bool = False) -> DataFrame | None:
+def _layouts(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
+    """(path, header) pairs: one per directory whose files agree, one per file elsewhere.
+
+    So the driver holds a row per directory, not per file, unless a directory is mixed.
+    """
+    headers = csv_headers(spark, folder).withColumn("dir", F.regexp_replace("file_path", "/[^/]*$", ""))
+    dirs = headers.groupBy("dir").agg(F.min("header").alias("low"), F.max("header").alias("high")).collect()
+    pairs = [(r["dir"], r["low"]) for r in dirs if r["low"] == r["high"]]
+    mixed = [r["dir"] for r in dirs if r["low"] != r["high"]]
+    if mixed:
+        pairs += [(r["file_path"], r["header"])
+                  for r in headers.filter(F.col("dir").isin(mixed)).select("file_path", "header").collect()]
+    return pairs
+
+
+def _read(spark: SparkSession, columns: list[str], paths: list[str], root: str = "") -> DataFrame:
+    schema = S.text_schema(columns)
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("enforceSchema", False)
+    if root:
+        schema, reader = schema.add(S.ENTITY, "string"), reader.option("basePath", root)
+    return reader.schema(schema).csv(paths).select("*", F.col("_metadata.file_name").alias("file_name"))
+
+
+def scan_csv(spark: SparkSession, folder: str, required: list[str], strict: bool = False,
+             columns: list[str] | None = None) -> DataFrame | None:
     """Union by name over all files, everything as text, plus `file_name`.
 
     Spark matches an explicit schema to columns by position, so files are read per distinct
-    header. Only headers and file names reach the driver, as in any file listing. Files without
+    header. That takes a pass over the text to find the headers; `columns`, for a folder of one
+    known layout, saves it, and a file with another header then fails the job. Files without
     the required columns are skipped, or an error if `strict`. No usable file gives None.
     """
+    if columns is not None:
+        return _read(spark, columns, [folder])
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
-    for path, header in csv_headers(spark, folder).collect():
-        columns = tuple(c.strip().strip('"') for c in header.lstrip("\ufeff").split(","))
-        absent = sorted(set(required) - set(columns))
+    for path, header in _layouts(spark, folder):
+        names = tuple(c.strip().strip('"') for c in header.lstrip("\ufeff").split(","))
+        absent = sorted(set(required) - set(names))
         if absent and strict:
             raise ValueError(f"{path} is missing required columns: {absent}")
         if absent:
             LOG.warning("skipped %s: no columns %s", path, absent)
             continue
         root, partitioned, _ = path.partition(f"/{S.ENTITY}=")
-        layouts[(root if partitioned else "", columns)].append(path)
+        layouts[(root if partitioned else "", names)].append(path)
     out = None
-    for (root, columns), paths in sorted(layouts.items()):
-        schema, reader = S.text_schema(list(columns)), spark.read.option("header", True)
-        if root:
-            schema, reader = schema.add(S.ENTITY, "string"), reader.option("basePath", root)
-        part = reader.schema(schema).csv(sorted(paths)).select("*", F.col("_metadata.file_name").alias("file_name"))
+    for (root, names), paths in sorted(layouts.items()):
+        part = _read(spark, list(names), sorted(paths), root)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 
 
-def scan_detections(spark: SparkSession, folder: str) -> DataFrame | None:
+def scan_detections(spark: SparkSession, folder: str, columns: list[str] | None = None) -> DataFrame | None:
     """Detections of all layouts. The area is the `province_id=` folder, else the name's prefix."""
-    df = scan_csv(spark, folder, S.HEADER_CRITICAL)
+    df = scan_csv(spark, folder, S.HEADER_CRITICAL, columns=columns)
     if df is None or S.ENTITY in df.columns:
         return df
     return df.withColumn(S.ENTITY, clean.file_prefix(F.col("file_name")))

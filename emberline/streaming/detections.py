@@ -10,12 +10,20 @@ from emberline import schemas as S
 KEYS = ["latitude", "longitude", "acq_datetime_utc", "satellite"]
 
 
-def dedup(stream: DataFrame, delay: str = "1 hour") -> DataFrame:
+def dedup(stream: DataFrame, delay: str = "1 hour", salts: int = 8) -> DataFrame:
     """One of each set of duplicates that arrive within the delay; state older than it is dropped.
 
-    Which duplicate stays is open: the batch form ranks them.
+    Which duplicate stays is open: the batch form ranks them. A first round spreads the copies
+    of one detection over `salts` tasks and lets one through from each, so the second round,
+    keyed by the detection alone, never meets a hot key. The salt is the input partition, which
+    a retried task keeps.
     """
-    return stream.withWatermark("acq_datetime_utc", delay).dropDuplicatesWithinWatermark(KEYS)
+    timed = stream.withWatermark("acq_datetime_utc", delay)
+    if salts <= 1:
+        return timed.dropDuplicatesWithinWatermark(KEYS)
+    salted = timed.withColumn("_salt", F.pmod(F.spark_partition_id(), F.lit(salts)))
+    thinned = salted.dropDuplicatesWithinWatermark([*KEYS, "_salt"]).drop("_salt")
+    return thinned.dropDuplicatesWithinWatermark(KEYS)
 
 
 def daily_counts(stream: DataFrame, delay: str = "1 hour", offset_hours: int = 0, entity: str = S.ENTITY) -> DataFrame:

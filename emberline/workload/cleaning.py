@@ -85,7 +85,7 @@ SELECT latitude, longitude, acq_date, acq_time, frp, lower(trim(confidence)) AS
   CAST(acq_datetime_utc + INTERVAL 7 HOUR AS DATE) AS acq_date_wib
 FROM ranked WHERE rn = 1""")
 def _(spark, sf):
-    out = C.clean_detections(D.raw_detections(spark, sf), [F.col("event_id")])
+    out = C.clean_detections(D.landed_raw(spark, sf), [F.col("event_id")])
     return out.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("acq_datetime_utc", "acq_datetime_wib")})
 
 

@@ -91,7 +91,7 @@ SELECT province_id, CAST(count(*) FILTER (lower(trim(confidence)) = 'h') AS BIGI
   count(*) AS hotspot_count
 FROM timed GROUP BY province_id""")
 def _(spark, sf):
-    out = A.aggregate_daily(C.clean_detections(D.raw_detections(spark, sf), [F.col("event_id")]))
+    out = A.aggregate_daily(C.clean_detections(D.landed_raw(spark, sf), [F.col("event_id")]))
     return out.groupBy("province_id").agg(F.sum("n_confidence_high").alias("n_confidence_high"),
                                           F.sum("hotspot_count").alias("hotspot_count"))
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from emberline.session import new_folder
+
 TYPES = ["click", "error", "purchase", "signup", "view"]
 
 
@@ -104,6 +106,13 @@ def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 2 == 0, "N").otherwise("1").alias("satellite"))
 
 
+def landed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raw detections as a stored table: plain columns, as after a file scan."""
+    folder = new_folder(spark, "raw")
+    raw_detections(spark, sf_dir).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 RAW_SQL = """raw AS (
   SELECT event_id, event_type AS province_id,
     CASE WHEN event_id % 97 = 0 THEN 'abc' WHEN event_id % 89 = 0 THEN ' NaN ' WHEN event_id % 83 <> 0
