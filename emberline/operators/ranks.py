@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 RESOLUTIONS = (2 ** 8, 2 ** 20)
 
 # A target is a few numbers and the group's key.
-BROADCAST_ROWS = 10_000
+LOCAL_ROWS = 10_000
 
 
 def _cell(value: Column, resolution: int) -> Column:
@@ -30,27 +30,28 @@ def _pick(counted: DataFrame, by: list[str], cell: str) -> DataFrame:
 
 
 def _small(targets: DataFrame) -> DataFrame:
-    """Targets checked to be few enough to broadcast; otherwise the plain plan, to be shuffled.
+    """Targets checked to be few, as a local table; otherwise the plain plan, to be shuffled.
 
     Spark cannot know how few rows an aggregation leaves, and a shuffled join would move every
-    log row; so the first BROADCAST_ROWS targets are fetched to see whether that is all.
+    row; so the first LOCAL_ROWS targets are fetched to see whether that is all. Spark then
+    knows their size and broadcasts them.
     """
-    found = targets.limit(BROADCAST_ROWS + 1).collect()
-    if len(found) > BROADCAST_ROWS:
-        return targets
-    return F.broadcast(targets.sparkSession.createDataFrame(found, targets.schema))
+    found = targets.limit(LOCAL_ROWS + 1).toArrow()
+    return targets if found.num_rows > LOCAL_ROWS else targets.sparkSession.createDataFrame(found)
 
 
 def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
     """For each p the value at 0-based position least(floor(p n), n - 1) in sorted order.
 
+    Rows with a null value or a null group key count nowhere.
+
     Counts per coarse cell locate the cell of each rank; counts per fine cell narrow it; only
     the rows of that fine cell are grouped by value. Every step is an aggregation with map-side
     partials over bounded cells, so no task ever sorts a whole group. Two small jobs run while
     the plan is built, to size the targets.
     """
     by = list(by)
-    rows = df.filter(F.col(value).isNotNull()).select(*by, F.col(value).cast("double").alias("_v"))
+    rows = df.dropna(subset=[*by, value]).select(*by, F.col(value).cast("double").alias("_v"))
     coarse, fine = RESOLUTIONS
     group = Window.partitionBy(*by)
 
@@ -60,10 +61,14 @@ def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequenc
                .withColumn("_rank", F.least(F.floor(F.col("p") * F.col("_total")), F.col("_total") - 1) + 1))
     first = _pick(counted, by, "_c0")
 
-    inside = (rows.withColumn("_c0", _cell(F.col("_v"), coarse)).join(_small(first), [*by, "_c0"])
-              .groupBy(*by, "p", "_rank", _cell(F.col("_v"), fine).alias("_c1")).agg(F.count(F.lit(1)).alias("_n")))
-    second = _pick(inside, by, "_c1")
-
-    exact = (rows.withColumn("_c1", _cell(F.col("_v"), fine)).join(_small(second), [*by, "_c1"])
-             .groupBy(*by, "p", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n")))
-    return _pick(exact, by, "_v").select(*by, "p", F.col("_v").alias("value"))
+    def narrow(targets: DataFrame, old: str, outer: int, new: str, inner: Column) -> DataFrame:
+        """Counts by `new` inside the target cells only, then met by the ranks looked for there."""
+        targets = _small(targets)
+        cells = targets.select(*by, old).distinct()
+        counts = (rows.withColumn(old, _cell(F.col("_v"), outer)).join(cells, [*by, old], "left_semi")
+                  .groupBy(*by, old, inner.alias(new)).agg(F.count(F.lit(1)).alias("_n")))
+        return _pick(counts.join(targets, [*by, old]), by, new)
+
+    second = narrow(first, "_c0", coarse, "_c1", _cell(F.col("_v"), fine))
+    exact = narrow(second, "_c1", fine, "_x", F.col("_v"))
+    return exact.select(*by, "p", F.col("_x").alias("value"))

@@ -11,7 +11,7 @@ from emberline.operators import dashboard as B
 from emberline.operators import scoring as P
 from emberline.operators import windows as W
 from emberline.workload import standins as D
-from emberline.workload.features import DAILY_SQL, RISK_SQL, rounded
+from emberline.workload.features import DAILY_SQL, RISK_SQL, places_of, rounded
 from emberline.workload.registry import query
 
 RANK_SQL = "CASE confidence WHEN 'n' THEN 1 WHEN 'h' THEN 2 ELSE 0 END"
@@ -159,7 +159,7 @@ def _(spark, sf):
 SELECT province_id, date, {', '.join(
     f"CAST({c} AS BIGINT) AS {c}" if c in ('hotspot_count', 'n_daytime', 'n_nighttime', 'n_confidence_high') else
     f"CAST(0 AS BIGINT) AS {c}" if c in S.LONG_FEATURES else f"CAST(0 AS INTEGER) AS {c}" if c in S.INT_FEATURES else
-    f"round(coalesce({c}, 0), 8) AS {c}" if c in ('frp_mean', 'frp_max', 'frp_sum') else
+    f"round(coalesce({c}, 0), {places_of(c, 8)}) AS {c}" if c in ('frp_mean', 'frp_max', 'frp_sum') else
     f"CAST(coalesce(lag(hotspot_count, 7) OVER (PARTITION BY province_id ORDER BY date), 0) AS DOUBLE) AS {c}"
     if c == 'hotspot_count_lag_7d' else f"CAST(0 AS DOUBLE) AS {c}" for c in S.FEATURES)}
 FROM daily""")
@@ -170,7 +170,7 @@ def _(spark, sf):
 
 @query("serving_features", f"""WITH {D.det_sql('group')},
 served AS (SELECT province_id, acq_date AS date, count(*) AS hotspot_count, coalesce(avg(frp), 0) AS frp_mean FROM det GROUP BY ALL)
-SELECT province_id, date, hotspot_count, round(frp_mean, 8) AS frp_mean, CAST(month(date) AS INTEGER) AS month,
+SELECT province_id, date, hotspot_count, round(frp_mean, 10) AS frp_mean, CAST(month(date) AS INTEGER) AS month,
   CAST(32 AS DOUBLE) AS temperature_2m_max, CAST(24 AS DOUBLE) AS temperature_2m_min, CAST(0 AS DOUBLE) AS precipitation_sum,
   CAST(10 AS DOUBLE) AS windspeed_10m_max, CAST(180 AS DOUBLE) AS winddirection_10m_dominant,
   CAST(75 AS DOUBLE) AS relative_humidity_2m_mean, CAST(7 AS BIGINT) AS days_since_rain,

@@ -14,9 +14,15 @@ from emberline.workload import standins as D
 from emberline.workload.registry import query
 
 
+def places_of(column: str, places: int) -> int:
+    """Daily means have up to nine decimals for a count that is a multiple of 128, and sums are
+    large: each is rounded where neither a tie nor summation order can show."""
+    return 10 if column.startswith("frp_mean") else 6 if column == "frp_sum" else places
+
+
 def rounded(df, places: int = 8):
     """Doubles rounded on both sides: summation order differs between engines."""
-    return df.select(*[F.round(c, places).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    return df.select(*[F.round(c, places_of(c, places)).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 DAILY_SQL = """daily AS (
@@ -59,7 +65,7 @@ RISK_SQL = """CASE WHEN {c} IS NULL THEN {none} WHEN {c} <= 0 THEN 0 WHEN {c} <=
 
 
 def round_sql(columns, places: int = 8) -> str:
-    return ", ".join(f"round({c}, {places}) AS {c}" for c in columns)
+    return ", ".join(f"round({c}, {places_of(c, places)}) AS {c}" for c in columns)
 
 
 DOUBLES = [c for c in S.FEATURES if c not in S.INT_FEATURES | S.LONG_FEATURES]
@@ -165,7 +171,7 @@ span AS (SELECT province_id, unnest(generate_series(min(date)::TIMESTAMP, max(da
   FROM daily GROUP BY province_id),
 full_days AS (SELECT s.province_id, s.date, coalesce(d.hotspot_count, 0) AS hotspot_count, d.frp_mean,
   coalesce(d.frp_sum, 0) AS frp_sum FROM span s LEFT JOIN daily d USING (province_id, date))
-SELECT province_id, date, hotspot_count, round(frp_mean, 8) AS frp_mean, round(frp_sum, 8) AS frp_sum,
+SELECT province_id, date, hotspot_count, round(frp_mean, 10) AS frp_mean, round(frp_sum, 6) AS frp_sum,
   CAST(lag(hotspot_count) OVER (PARTITION BY province_id ORDER BY date) AS DOUBLE) AS hotspot_count_lag_1d
 FROM full_days""")
 def _(spark, sf):
@@ -198,7 +204,7 @@ def training_table(spark, sf):
 
 
 @query("latest_row_per_entity", f"""WITH {D.det_sql('user')}, {DAILY_SQL}
-SELECT province_id, date, hotspot_count, round(frp_mean, 8) AS frp_mean FROM (
+SELECT province_id, date, hotspot_count, round(frp_mean, 10) AS frp_mean FROM (
   SELECT *, row_number() OVER (PARTITION BY province_id ORDER BY date DESC) AS rn FROM daily) WHERE rn = 1""")
 def _(spark, sf):
     return rounded(W.latest_per_entity(A.aggregate_daily(D.detections(spark, sf, "user"))).select(
@@ -227,7 +233,7 @@ def _(spark, sf):
 # Straight from the detections, not from daily rows.
 @query("serving_frp_mean", f"""WITH {D.det_sql('user')}, days AS (SELECT DISTINCT province_id, acq_date FROM det)
 SELECT a.province_id, a.acq_date AS date,
-  {', '.join(f"round(coalesce(avg(b.frp) FILTER (b.acq_date > a.acq_date - {d}), 0), 8) AS frp_mean_{d}d" for d in S.WINDOWS)}
+  {', '.join(f"round(coalesce(avg(b.frp) FILTER (b.acq_date > a.acq_date - {d}), 0), 10) AS frp_mean_{d}d" for d in S.WINDOWS)}
 FROM days a JOIN det b ON a.province_id = b.province_id AND b.acq_date <= a.acq_date AND b.acq_date > a.acq_date - 7
 GROUP BY a.province_id, a.acq_date""")
 def _(spark, sf):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from emberline import schemas as S
 from emberline.operators import cleaning as C
 from emberline.operators import learning as N
-from emberline.operators import targets as T
 from emberline.plans import features as P
 from emberline.plans import scoring as G
 from emberline.workload import standins as D
@@ -18,26 +17,31 @@ from emberline.workload.registry import query
 SHORT = N.TrainParams(n_estimators=10, max_depth=5)
 
 
-def table(spark, sf, dense: bool = False):
+def table(spark, sf):
     weather = C.clean_weather(D.raw_weather(spark, sf, "group"), [F.desc("snapshot_id")])
-    features = P.daily_features(D.detections(spark, sf, "group"), weather, dense)
-    return T.drop_unlabelled(T.add_targets(features)).persist()
+    return P.training_table(D.detections(spark, sf, "group"), weather)
+
+
+def all_classes(spark, sf):
+    """Busy groups give classes 1 and 2, single users counted by calendar day 0 and 1."""
+    users = P.training_table(D.detections(spark, sf, "user"), dense=True)
+    return table(spark, sf).unionByName(users.withColumn(S.ENTITY, F.concat(F.lit("u"), S.ENTITY)), allowMissingColumns=True)
 
 
 @query("train_regressor")
 def _(spark, sf):
-    return G.fit_and_report(table(spark, sf), SHORT)[1]
+    return G.fit_and_report(table(spark, sf).persist(), SHORT)[1]
 
 
 @query("train_classifier")
 def _(spark, sf):
-    train, test = N.time_split(table(spark, sf, dense=True))
+    train, test = N.time_split(all_classes(spark, sf).persist())
     return N.classifier_report(N.score(N.train_classifier(train, SHORT), test))
 
 
 @query("score_latest")
 def _(spark, sf):
-    data = table(spark, sf)
+    data = table(spark, sf).persist()
     return G.score_latest(N.train_regressor(N.time_split(data)[0], SHORT), data)
 
 

@@ -30,11 +30,7 @@ def finished(spark: SparkSession, stream: DataFrame, name: str) -> DataFrame:
 
 
 def stream_log(spark, sf):
-    k = F.get_json_object("props", "$.k").cast("int")
-    code = F.when(k % 20 == 0, 503).when(k % 20 == 1, 404).when(k % 20 == 2, 302).when(k % 20 == 3, 102).otherwise(200)
-    return add_status(events_stream(spark, sf).select(
-        F.col("ts").cast("timestamp").alias("ts"), code.alias("code"), (F.col("value") / F.lit(50.0)).alias("duration_s"),
-        F.when(code == 200, F.col("value")).alias("prediction")))
+    return add_status(D.log_of(events_stream(spark, sf))).select("ts", "status", "duration_s", "prediction")
 
 
 # The watermark trails the newest row by the delay; a window is out once it has passed its end.
