@@ -7,13 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from emberline.session import new_folder
+
 # Cells per e-fold of the value: the first round has a few thousand cells in all, the second
 # splits one of them into at most 4096.
 RESOLUTIONS = (2 ** 8, 2 ** 20)
 
-# A target is a few numbers and the group's key.
-LOCAL_ROWS = 10_000
-
 
 def _cell(value: Column, resolution: int) -> Column:
     """A whole number that never falls as the value rises."""
@@ -29,15 +28,17 @@ def _pick(counted: DataFrame, by: list[str], cell: str) -> DataFrame:
             .select(*by, "p", cell, (F.col("_rank") - F.col("_cum") + F.col("_n")).alias("_rank")))
 
 
-def _small(targets: DataFrame) -> DataFrame:
-    """Targets checked to be few, as a local table; otherwise the plain plan, to be shuffled.
+def _settled(targets: DataFrame) -> DataFrame:
+    """Targets written to the shared folder and read back.
 
-    Spark cannot know how few rows an aggregation leaves, and a shuffled join would move every
-    row; so the first LOCAL_ROWS targets are fetched to see whether that is all. Spark then
-    knows their size and broadcasts them.
+    An aggregation's size is unknown to Spark, so it would shuffle every row to join with it. A
+    table has a size: Spark broadcasts it if that is under the session's threshold, and shuffles
+    if not. The rounds before are not run again either.
     """
-    found = targets.limit(LOCAL_ROWS + 1).toArrow()
-    return targets if found.num_rows > LOCAL_ROWS else targets.sparkSession.createDataFrame(found)
+    spark = targets.sparkSession
+    folder = new_folder(spark, "ranks")
+    targets.write.parquet(folder)
+    return spark.read.schema(targets.schema).parquet(folder)
 
 
 def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
@@ -47,23 +48,27 @@ def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequenc
 
     Counts per coarse cell locate the cell of each rank; counts per fine cell narrow it; only
     the rows of that fine cell are grouped by value. Every step is an aggregation with map-side
-    partials over bounded cells, so no task ever sorts a whole group. Two small jobs run while
-    the plan is built, to size the targets.
+    partials over bounded cells, so no task ever sorts a whole group. The first two rounds run
+    while the plan is built.
     """
     by = list(by)
     rows = df.dropna(subset=[*by, value]).select(*by, F.col(value).cast("double").alias("_v"))
     coarse, fine = RESOLUTIONS
     group = Window.partitionBy(*by)
 
+    running = F.sum("_n").over(group.orderBy("_c0").rowsBetween(Window.unboundedPreceding, 0))
     counted = (rows.groupBy(*by, _cell(F.col("_v"), coarse).alias("_c0")).agg(F.count(F.lit(1)).alias("_n"))
-               .withColumn("_total", F.sum("_n").over(group))
-               .withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probs])))
-               .withColumn("_rank", F.least(F.floor(F.col("p") * F.col("_total")), F.col("_total") - 1) + 1))
-    first = _pick(counted, by, "_c0")
+               .withColumns({"_total": F.sum("_n").over(group), "_before": running - F.col("_n")}))
+
+    def sought(p: float) -> Column:
+        rank = F.least(F.floor(F.lit(float(p)) * F.col("_total")), F.col("_total") - 1) + 1 - F.col("_before")
+        return F.when(rank.between(1, F.col("_n")), F.struct(F.lit(float(p)).alias("p"), rank.alias("_rank")))
+    # Only cells that hold a rank go on, once for each rank they hold.
+    first = counted.select(*by, "_c0", F.inline(F.array_compact(F.array(*[sought(p) for p in probs]))))
 
     def narrow(targets: DataFrame, old: str, outer: int, new: str, inner: Column) -> DataFrame:
         """Counts by `new` inside the target cells only, then met by the ranks looked for there."""
-        targets = _small(targets)
+        targets = _settled(targets)
         cells = targets.select(*by, old).distinct()
         counts = (rows.withColumn(old, _cell(F.col("_v"), outer)).join(cells, [*by, old], "left_semi")
                   .groupBy(*by, old, inner.alias(new)).agg(F.count(F.lit(1)).alias("_n")))

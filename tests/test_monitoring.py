@@ -24,10 +24,10 @@ def nearest(values, p):
     return s[min(int(p * len(s)), len(s) - 1)]
 
 
-@pytest.mark.parametrize("local_rows", [10_000, 0])
-def test_nearest_ranks_against_sorting(spark, monkeypatch, local_rows):
+@pytest.mark.parametrize("threshold", ["10485760", "-1"])
+def test_nearest_ranks_against_sorting(spark, threshold):
     """Ties, negatives, zero, close values and one hot value that holds a third of all rows."""
-    monkeypatch.setattr(K, "LOCAL_ROWS", local_rows)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
     r = random.Random(4)
     data = [("hot", 3.25)] * 700 + [("hot", r.uniform(0, 10)) for _ in range(1300)]
     data += [("wide", r.choice([-1, 1]) * 10 ** r.uniform(-6, 9)) for _ in range(500)] + [("wide", 0.0)] * 20
@@ -38,6 +38,7 @@ def test_nearest_ranks_against_sorting(spark, monkeypatch, local_rows):
     for g, v in data:
         if v is not None:
             groups.setdefault(g, []).append(v)
+    spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert got == {(g, p): nearest(vs, p) for g, vs in groups.items() for p in PROBS}
 
 
