@@ -16,14 +16,20 @@ LOG = logging.getLogger(__name__)
 
 
 def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """First line of every file: `file_path`, `header`. Empty files have no row.
+    """First line of every file that is not empty: `file_path`, `header`.
 
-    Each task keeps one candidate line per file, so only one line per file is shuffled.
+    A line that starts like a number is data, never a header; leaving those out first keeps the
+    aggregation off the bulk of the text. A file with nothing else has the header "".
     """
-    lines = (spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True).text(folder)
-             .select(F.col("_metadata.file_path").alias("file_path"), F.col("value"),
-                     F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id()).alias("_at")))
-    return lines.groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
+    def reader():
+        return spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
+    path = F.col("_metadata.file_path").alias("file_path")
+    # Only the listing: the content column is pruned and no file is opened.
+    files = reader().format("binaryFile").load(folder).filter(F.col("_metadata.file_size") > 0).select(path)
+    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
+    lines = reader().text(folder).select(path, "value", at.alias("_at")).filter(~F.col("value").rlike("^[0-9+.-]"))
+    first = lines.groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
+    return files.join(first, "file_path", "left").withColumn("header", F.coalesce("header", F.lit("")))
 
 
 def header_contract(headers: DataFrame) -> DataFrame:

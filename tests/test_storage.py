@@ -29,6 +29,7 @@ def folder(tmp_path):
     (tmp_path / "jambi_x_UTC.csv").write_text("frp,latitude,acq_time,acq_date,longitude\n9.5,4,100,2024-01-01,102\n")
     (tmp_path / "empty_x_UTC.csv").write_text("")
     (tmp_path / "sumsel_x_UTC.csv").write_text("Invalid API call\n")
+    (tmp_path / "bare_x_UTC.csv").write_text(f"{line(5)}\n{line(6)}\n")
     (tmp_path / "notes.txt").write_text("latitude\n1\n")
     return str(tmp_path)
 
@@ -44,7 +45,7 @@ def test_header_contract(spark, folder):
     rows = R.header_contract(R.csv_headers(spark, folder)).withColumn("f", F.regexp_extract("file_path", "([a-z]+)_[^/]*$", 1))
     got = {r["f"]: (r["accepted"], r["missing_critical"]) for r in rows.collect()}
     assert got["sumsel"] == (False, sorted(S.HEADER_CRITICAL)) and got["riau"] == (True, []) and got["jambi"][0]
-    assert "empty" not in got
+    assert "empty" not in got and got["bare"] == got["sumsel"]
 
 
 def test_archive_needs_its_columns_and_a_file(spark, folder, tmp_path):
