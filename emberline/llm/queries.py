@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality_rules
+from . import quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -12,3 +12,29 @@ __all__ = ["ORACLE", "QUERIES"]
 @query("op1_quality_rules")
 def op1_quality_rules(spark, sf_dir):
     return quality_rules.rate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), ["doc_id"])
+
+
+@query("op2_substring_dedup", r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents
+), starts AS (
+  SELECT doc_id, unnest(range(1, len(words) - 33)) AS pos, words FROM w
+), hashed AS (
+  SELECT doc_id, pos, array_to_string(words[pos:pos + 34], ' ') AS window_text FROM starts
+), dup AS (
+  SELECT doc_id, pos FROM hashed QUALIFY count(*) OVER (PARTITION BY window_text) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(pos, pos + 35)) AS i FROM dup
+), per_word AS (
+  SELECT u.doc_id, u.i, u.word, g.i IS NOT NULL AS removed
+  FROM (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS i FROM w) u
+  LEFT JOIN gone g ON g.doc_id = u.doc_id AND g.i = u.i
+)
+SELECT w.doc_id, len(w.words)::BIGINT AS n_words, coalesce(x.n_removed, 0)::BIGINT AS n_removed,
+       sha256(coalesce(x.kept, '')) AS kept_sha256
+FROM w LEFT JOIN (
+  SELECT doc_id, count(*) FILTER (removed) AS n_removed, string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS kept
+  FROM per_word GROUP BY doc_id) x USING (doc_id)
+""")
+def op2_substring_dedup(spark, sf_dir):
+    return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], with_text=False)

@@ -194,3 +194,20 @@ def covered(n: int, first: np.ndarray, k: int) -> np.ndarray:
     np.add.at(step, first, 1)
     np.add.at(step, first + k, -1)
     return np.cumsum(step[:-1]) > 0
+
+
+def joined(block: Block, spans: Spans) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The given ranges one behind another with a space after each, and where each begins and ends there."""
+    size = spans.end - spans.start
+    end = np.cumsum(size + 1) - 1
+    start = end - size
+    out = np.full(int(end[-1]) + 1 if len(end) else 0, 32, np.uint8)
+    step = np.arange(int(size.sum()))
+    before = np.cumsum(size) - size
+    out[step + np.repeat(start - before, size)] = block.data[step + np.repeat(spans.start - before, size)]
+    return out.tobytes(), start, end
+
+
+def doc_edges(spans: Spans, n: int) -> np.ndarray:
+    """For n texts, the index of each one's first range, and at the end the number of ranges."""
+    return np.searchsorted(spans.doc, np.arange(n + 1))
