@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import quality_rules, substring_dedup
+from . import near_dedup, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -38,3 +38,26 @@ FROM w LEFT JOIN (
 """)
 def op2_substring_dedup(spark, sf_dir):
     return substring_dedup.remove_repeats(table(spark, sf_dir, "documents"), ["doc_id"], with_text=False)
+
+
+@query("op4_minhash_near_dedup", r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS words FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) >= 3
+           THEN list_transform(range(1, len(words) - 1), lambda i: array_to_string(words[i:i + 2], ' '))
+           WHEN len(words) > 0 THEN [array_to_string(words, ' ')] ELSE [] END) AS shingle FROM w
+), size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), common AS (
+  SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y ON x.shingle = y.shingle AND x.doc_id <> y.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN size p ON p.doc_id = a JOIN size q ON q.doc_id = b WHERE 100 * c >= 85 * (p.n + q.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS root FROM documents UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.a AND l.b > r.root
+)
+SELECT d.doc_id, coalesce(z.n, 0)::BIGINT AS n_shingles, m.root AS component_id, d.doc_id = m.root AS kept
+FROM documents d LEFT JOIN size z USING (doc_id) JOIN (SELECT a, min(root) AS root FROM reach GROUP BY a) m ON m.a = d.doc_id
+""")
+def op4_minhash_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
