@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import near_dedup, quality_rules, substring_dedup
+from . import mixing, near_dedup, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -61,3 +61,56 @@ FROM documents d LEFT JOIN size z USING (doc_id) JOIN (SELECT a, min(root) AS ro
 """)
 def op4_minhash_near_dedup(spark, sf_dir):
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op9_source_mixing", r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+'))::BIGINT AS size FROM documents
+), s AS (
+  SELECT source, sum(size)::BIGINT AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS rank FROM d GROUP BY source
+), w AS (
+  SELECT *, rank % 3 + 1 AS weight, 3 * source_size AS cap FROM s
+), rounds AS (
+  SELECT 0 AS i, 0.0::DOUBLE AS share, (SELECT sum(source_size)::DOUBLE / sum(weight)::DOUBLE FROM w) AS next
+  UNION ALL
+  SELECT i + 1, next, (SELECT (sum(source_size) - coalesce(sum(cap) FILTER (weight * r.next > cap), 0))::DOUBLE
+                              / (sum(weight) FILTER (weight * r.next <= cap))::DOUBLE FROM w)
+  FROM rounds r WHERE share <> next
+), t AS (
+  SELECT *, CASE WHEN weight * (SELECT next FROM rounds ORDER BY i DESC LIMIT 1) > cap THEN cap::DOUBLE
+                 ELSE weight * (SELECT next FROM rounds ORDER BY i DESC LIMIT 1) END AS target FROM w
+), house AS (
+  SELECT round(sum(target) / 64)::BIGINT AS seats FROM t
+), seats AS (
+  SELECT rank, count(*) AS blocks FROM (
+    SELECT rank, row_number() OVER (ORDER BY target / (2 * k + 1) DESC, rank, k) AS place
+    FROM (SELECT rank, target, unnest(range(0, (target / 64)::BIGINT + 2 * (SELECT count(*) FROM t) + 2)) AS k FROM t WHERE target > 0))
+  WHERE place <= (SELECT seats FROM house) GROUP BY rank
+), dealt AS (
+  SELECT d.*, t.source_size, t.target, t.rank, coalesce(b.blocks, 0) AS blocks,
+         ('0x' || substr(md5(concat(doc_id, '|', 'mix-1')), 1, 8))::BIGINT % ceil((t.source_size + 1) / 262144)::BIGINT AS shard
+  FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN seats b USING (rank)
+), shards AS (
+  SELECT rank, shard, sum(size)::BIGINT AS z, any_value(blocks) AS blocks FROM dealt GROUP BY rank, shard
+), quotas AS (
+  SELECT s.rank, s.shard, s.z, count(q.rank) AS quota FROM shards s LEFT JOIN (
+    SELECT rank, shard FROM (
+      SELECT rank, shard, blocks, row_number() OVER (PARTITION BY rank ORDER BY z::DOUBLE / (2 * k + 1) DESC, shard, k) AS place
+      FROM (SELECT *, unnest(range(0, blocks + 1)) AS k FROM shards WHERE z > 0)) WHERE place <= blocks) q
+  ON q.rank = s.rank AND q.shard = s.shard GROUP BY s.rank, s.shard, s.z
+), line AS (
+  SELECT dealt.*, z, quota, greatest(1, ceil(z / 64)::BIGINT) AS n,
+         coalesce(sum(size) OVER (PARTITION BY rank, shard ORDER BY ('0x' || substr(md5(concat(doc_id, '|', 'order', '|', 'mix-1')), 1, 8))::BIGINT,
+                                  doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS off,
+         ('0x' || substr(md5(concat(rank, '|', shard, '|', 'start', '|', 'mix-1')), 1, 8))::BIGINT AS start
+  FROM dealt JOIN quotas USING (rank, shard)
+), cut AS (
+  SELECT *, quota // n AS whole, start % n AS p, start % n + quota % n AS e FROM line
+)
+SELECT doc_id, size, source_size, target,
+       least(3 * size, whole * size + greatest(0, least(size, e * 64 - off)) - greatest(0, least(size, p * 64 - off))
+                       + greatest(0, least(size, greatest(0, e - n) * 64 - off)))::BIGINT AS taken
+FROM cut
+""")
+def op9_source_mixing(spark, sf_dir):
+    return mixing.mix(table(spark, sf_dir, "documents"))
