@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, near_dedup, quality_rules, substring_dedup
+from . import mixing, near_dedup, packing, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -114,3 +114,15 @@ FROM cut
 """)
 def op9_source_mixing(spark, sf_dir):
     return mixing.mix(table(spark, sf_dir, "documents"))
+
+
+def vocabulary() -> str:
+    """Where the public byte-level vocabulary lies; the operators take it as a parameter."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+@query("op6_curve_packing")
+def op6_curve_packing(spark, sf_dir):
+    return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
