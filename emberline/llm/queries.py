@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import mixing, near_dedup, packing, quality_rules, substring_dedup
+from . import html_text, mixing, near_dedup, packing, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -126,3 +126,8 @@ def vocabulary() -> str:
 @query("op6_curve_packing")
 def op6_curve_packing(spark, sf_dir):
     return packing.pack(table(spark, sf_dir, "documents"), vocabulary())
+
+
+@query("op5_html_text")
+def op5_html_text(spark, sf_dir):
+    return html_text.extract(table(spark, sf_dir, "pages"))
