@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, mixing, near_dedup, packing, quality_rules, substring_dedup
+from . import html_text, language_mixture, mixing, near_dedup, packing, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -131,3 +131,8 @@ def op6_curve_packing(spark, sf_dir):
 @query("op5_html_text")
 def op5_html_text(spark, sf_dir):
     return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+@query("op10_language_mixture")
+def op10_language_mixture(spark, sf_dir):
+    return language_mixture.identify(table(spark, sf_dir, "documents"))
