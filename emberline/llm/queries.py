@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, language_mixture, mixing, near_dedup, packing, quality_rules, substring_dedup
+from . import html_text, language_mixture, mixing, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -136,3 +136,8 @@ def op5_html_text(spark, sf_dir):
 @query("op10_language_mixture")
 def op10_language_mixture(spark, sf_dir):
     return language_mixture.identify(table(spark, sf_dir, "documents"))
+
+
+@query("op3_quality_classifier")
+def op3_quality_classifier(spark, sf_dir):
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
