@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, language_mixture, mixing, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
+from . import html_text, language_mixture, mixing, multiset_hash, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -141,3 +141,50 @@ def op10_language_mixture(spark, sf_dir):
 @query("op3_quality_classifier")
 def op3_quality_classifier(spark, sf_dir):
     return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op8_multiset_fingerprints", r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text FROM documents
+), e AS (
+  SELECT *, coalesce(lead(text) OVER (ORDER BY doc_id), first_value(text) OVER (ORDER BY doc_id)) AS after,
+         coalesce(lead(doc_id) OVER (ORDER BY doc_id), first_value(doc_id) OVER (ORDER BY doc_id)) AS next_id FROM d
+), both_texts AS (
+  SELECT doc_id, 0 AS kind, text FROM e
+  UNION ALL SELECT doc_id, 1, substr(text, 1, length(text) - length(text) // 2) || substr(after, 1, length(text) // 2) FROM e
+), phrases AS (
+  SELECT doc_id, kind, md5(unnest(string_split(regexp_replace(text, '([.,!?esn]) ', '\1' || chr(10), 'g'), chr(10)))) AS m FROM both_texts
+), bits AS (
+  SELECT doc_id, kind, ('0x' || substr(m, 1, 15))::BIGINT AS h1, ('0x' || substr(m, 16, 15))::BIGINT AS h2 FROM phrases
+), lanes AS (
+  SELECT doc_id, kind, lane, ((2 * sum(((CASE WHEN lane < 48 THEN h1 ELSE h2 END) >> (lane % 48 // 4 + 16 * (lane % 4))) & 1) - count(*)) % 65536 + 65536) % 65536 AS v
+  FROM bits, (SELECT unnest(range(0, 96)) AS lane) GROUP BY doc_id, kind, lane
+), signs AS (
+  SELECT doc_id, kind, list(v::BIGINT ORDER BY lane) AS signs FROM lanes GROUP BY doc_id, kind
+), paragraphs AS (
+  SELECT doc_id, kind, md5(unnest(string_split(text, chr(10)))) AS m FROM both_texts
+), numbers AS (
+  SELECT doc_id, kind, [(sum(('0x' || substr(m, 1, 8))::BIGINT & 1073741823) % 1073741824)::BIGINT, (sum(('0x' || substr(m, 9, 8))::BIGINT & 1073741823) % 1073741824)::BIGINT,
+                        (sum(('0x' || substr(m, 17, 8))::BIGINT & 1073741823) % 1073741824)::BIGINT, (sum(('0x' || substr(m, 25, 8))::BIGINT & 1073741823) % 1073741824)::BIGINT] AS numbers
+  FROM paragraphs GROUP BY doc_id, kind
+), f AS (
+  SELECT doc_id, kind, numbers, list_transform(signs, lambda x: CASE WHEN x >= 32768 THEN x - 65536 ELSE x END) AS signed,
+         array_to_string(list_transform(numbers, lambda x: lpad(lower(to_hex(x)), 8, '0')), '')
+         || array_to_string(list_transform(signs, lambda x: lpad(lower(to_hex(x)), 4, '0')), '') AS fp
+  FROM signs JOIN numbers USING (doc_id, kind)
+), t AS (
+  SELECT e.doc_id, e.text, e.next_id, b.text AS edited, o.fp, n.fp AS nfp, a.fp AS afp, o.signed AS os, n.signed AS ns, a.signed AS as_
+  FROM e JOIN both_texts b ON b.doc_id = e.doc_id AND b.kind = 1 JOIN f o ON o.doc_id = e.doc_id AND o.kind = 0
+  JOIN f n ON n.doc_id = e.doc_id AND n.kind = 1 JOIN f a ON a.doc_id = e.next_id AND a.kind = 0
+), s AS (
+  SELECT *, list_sum(list_transform(os, lambda x: x * x)) AS oo, list_sum(list_transform(ns, lambda x: x * x)) AS nn, list_sum(list_transform(as_, lambda x: x * x)) AS aa,
+         list_sum(list_transform(list_zip(os, ns), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS dn,
+         list_sum(list_transform(list_zip(os, as_), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS da FROM t
+)
+SELECT doc_id, length(text)::BIGINT AS n_chars, sha256(edited) AS edited_sha256, fp AS fingerprint, nfp AS edited_fingerprint,
+       CASE WHEN fp = nfp THEN 1.0 WHEN oo + nn = 0 THEN 0.0 ELSE greatest(0.0, 1 - dn::DOUBLE / (oo + nn)::DOUBLE) END::DOUBLE AS near_edited,
+       CASE WHEN fp = afp THEN 1.0 WHEN oo + aa = 0 THEN 0.0 ELSE greatest(0.0, 1 - da::DOUBLE / (oo + aa)::DOUBLE) END::DOUBLE AS near_next
+FROM s
+""")
+def op8_multiset_fingerprints(spark, sf_dir):
+    return multiset_hash.fingerprint_documents(table(spark, sf_dir, "documents"))
