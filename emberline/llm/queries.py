@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import html_text, language_mixture, mixing, multiset_hash, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
+from . import html_text, language_mixture, lm_scoring, mixing, multiset_hash, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -188,3 +188,8 @@ FROM s
 """)
 def op8_multiset_fingerprints(spark, sf_dir):
     return multiset_hash.fingerprint_documents(table(spark, sf_dir, "documents"))
+
+
+@query("op7_masked_lm_scores")
+def op7_masked_lm_scores(spark, sf_dir):
+    return lm_scoring.pseudo_likelihood(table(spark, sf_dir, "documents"), ["doc_id"])
