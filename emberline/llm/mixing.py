@@ -125,7 +125,8 @@ def apply(documents: DataFrame, **parameters) -> DataFrame:
     """The documents as the mix takes them, columns unchanged: a text taken several times stands that often in
     its row, a text that a block's edge cuts is left with the words taken, and one not taken goes.
     n_chars, if there, is counted anew."""
-    every = stored(_sized(documents.withColumn("__row", F.monotonically_increasing_id())), "mixed")
+    given = documents.select(F.struct(*documents.columns).alias("__given"), "doc_id", "source", "text", F.monotonically_increasing_id().alias("__row"))
+    every = stored(_sized(given), "mixed")
     taken = takes(every.select("__row", "doc_id", "source", "size"), **parameters).where("taken > 0").select(
         F.col("__row").alias("__r"), "__rounds", "__a", "__b", "__c")
     words = lambda a, b: F.array_join(F.slice("__words", F.col(a) + 1 if isinstance(a, str) else F.lit(1), b), " ")
@@ -137,6 +138,5 @@ def apply(documents: DataFrame, **parameters) -> DataFrame:
     out = (every.join(taken, F.col("__row") == F.col("__r"))
            .withColumn("__words", F.when(cut, F.regexp_extract_all("text", F.lit(WORD), F.lit(0))))
            .withColumn("text", F.array_join(F.array_compact(pieces), "\n")))
-    if "n_chars" in documents.columns:
-        out = out.withColumn("n_chars", F.length("text").cast(documents.schema["n_chars"].dataType))
-    return out.select(*documents.columns)
+    new = {"text": F.col("text"), "n_chars": F.length("text").cast("long")}
+    return out.select(*[new[c].cast(f.dataType).alias(c) if (c := f.name) in new else F.col("__given").getField(c).alias(c) for f in documents.schema])
