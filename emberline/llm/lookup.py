@@ -1,7 +1,8 @@
 """Documents that another table names by id, without moving the others.
 
-A bitmap of hashed ids of a fixed size (2^22 bits) drops most other documents where they are read;
-the few that are left are joined exactly. So what is shuffled grows with the other table.
+A bitmap of hashed ids of a fixed size (2^22 bits) parts the documents where they are read: those whose bit isn't
+set are surely not named and stay where they are; the few others are joined exactly. So what is shuffled grows with
+the other table, up to all documents where it names most of them.
 """
 
 from __future__ import annotations
@@ -16,28 +17,36 @@ from pyspark.sql import functions as F
 BITS = 22
 
 
-def named(documents: DataFrame, known: DataFrame) -> DataFrame:
-    """doc_id, text and the columns of `known`, which has one row per doc_id, for the documents in it.
-    Null ids match nothing; repeated documents all stay."""
-    known = known.where("doc_id is not null")
-    place = F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS))
-    parts = (known.select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
+def _place():
+    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS))
+
+
+def parted(documents: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The documents that are surely not named by `known`, and the others. Null ids aren't named."""
+    parts = (known.where("doc_id is not null").select((_place() + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
     bitmap = np.zeros(1 << BITS, bool)
     for part in parts:
         bits = np.unpackbits(np.frombuffer(part["bits"], np.uint8), bitorder="little")
         bitmap[(part["k"] - 1) * len(bits):part["k"] * len(bits)] = bits
     shared = documents.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
+    given = documents.withColumn("__place", F.when(F.col("doc_id").isNotNull(), _place()).otherwise(-1))
 
-    def likely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bitmap = np.unpackbits(shared.value).astype(bool)
-        for batch in batches:
-            yield batch.filter(pa.array(bitmap[batch.column(2).to_numpy()]))
+    def side(wanted: bool):
+        def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            bitmap = np.append(np.unpackbits(shared.value).astype(bool), False)  # the last place is that of null ids
+            for batch in batches:
+                yield batch.filter(pa.array(bitmap[batch.column(batch.num_columns - 1).to_numpy()] == wanted))
+        return given.mapInArrow(pick, given.schema).drop("__place")
 
-    given = documents.where("doc_id is not null").select("doc_id", "text", place.alias("__place"))
-    kind = given.schema["doc_id"].dataType.simpleString()
-    some = given.mapInArrow(likely, f"doc_id {kind}, text string, __place long").drop("__place")
-    return some.join(known.hint("shuffle_hash"), "doc_id")
+    return side(False), side(True)
+
+
+def named(documents: DataFrame, known: DataFrame) -> DataFrame:
+    """doc_id, text and the columns of `known`, which has one row per doc_id, for the documents in it.
+    Null ids match nothing; repeated documents all stay."""
+    _, some = parted(documents.select("doc_id", "text"), known)
+    return some.join(known.where("doc_id is not null").hint("shuffle_hash"), "doc_id")
 
 
 def labelled(documents: DataFrame, labels: DataFrame, label: str) -> DataFrame:

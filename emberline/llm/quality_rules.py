@@ -5,7 +5,7 @@ buckets; two smoothed multinomials over the buckets are counted from all documen
 those that the trusted ids name (target). A document's score is the mean over its n-grams of
 log(target) - log(raw), and it is kept if the score reaches a threshold and the base rules hold.
 
-Both passes stream over whole texts. What is gathered is one row per bucket, whatever the input.
+All passes stream over whole texts. What is gathered is one row per bucket, whatever the input.
 Counts and scores don't depend on partitioning, so a lost task gives the same rows again.
 
 Defined results: null text is empty; an empty text has no words, score 0 and fails the base rules;
@@ -23,6 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .lookup import labelled
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.7
@@ -43,36 +44,28 @@ def ngrams(block: W.Block, buckets: int) -> tuple[np.ndarray, np.ndarray]:
             np.concatenate([hashed & mask, pairs & mask]).astype(np.int64))
 
 
-def count_ngrams(documents: DataFrame, labels: DataFrame, buckets: int) -> DataFrame:
-    """bucket, raw, target: n-gram counts over all documents and over the trusted ones."""
-    trusted = (labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").alias("trusted_id")).distinct())
-    marked = (documents.select("doc_id", "text")
-              .join(trusted, F.col("doc_id") == F.col("trusted_id"), "left")
-              .select("text", F.col("trusted_id").isNotNull().alias("trusted")))
-
+def count_ngrams(documents: DataFrame, buckets: int) -> DataFrame:
+    """bucket, n: n-gram counts over all documents given."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        raw, target = np.zeros(buckets, np.int64), np.zeros(buckets, np.int64)
-        for batch, block in W.blocks(batches):
-            doc, bucket = ngrams(block, buckets)
-            raw += np.bincount(bucket, minlength=buckets)
-            trusted = batch.column(1).to_numpy(zero_copy_only=False).astype(bool)
-            target += np.bincount(bucket[trusted[doc]], minlength=buckets)
-        some = np.flatnonzero(raw)
-        yield pa.RecordBatch.from_arrays([pa.array(x) for x in (some, raw[some], target[some])], ["bucket", "raw", "target"])
+        total = np.zeros(buckets, np.int64)
+        for _, block in W.blocks(batches):
+            total += np.bincount(ngrams(block, buckets)[1], minlength=buckets)
+        some = np.flatnonzero(total)
+        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["bucket", "n"])
 
-    return (marked.mapInArrow(count, "bucket long, raw long, target long")
-            .groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")))
+    return documents.select("text").mapInArrow(count, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
 
 
-def log_ratios(counts: DataFrame, buckets: int, smoothing: float) -> np.ndarray:
-    """log(target) - log(raw) per bucket; the table has at most one row per bucket."""
-    got = counts.toPandas()
-    raw, target = np.full(buckets, smoothing), np.full(buckets, smoothing)
-    raw[got["bucket"]] += got["raw"]
-    target[got["bucket"]] += got["target"]
-    if not got["target"].sum():
-        return np.zeros(buckets)
-    return np.log(target / target.sum()) - np.log(raw / raw.sum())
+def log_ratios(raw: DataFrame, target: DataFrame, buckets: int, smoothing: float) -> np.ndarray:
+    """log(target) - log(raw) per bucket; each table has at most one row per bucket."""
+    share = []
+    for counts in (raw, target):
+        got, n = counts.toPandas(), np.zeros(buckets)
+        n[got["bucket"]] = got["n"]
+        share.append((n + smoothing) / (n.sum() + smoothing * buckets))
+        if not n.sum():
+            return np.zeros(buckets)
+    return np.log(share[1]) - np.log(share[0])
 
 
 def measures(block: W.Block) -> dict[str, np.ndarray]:
@@ -104,7 +97,8 @@ COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 def rate(documents: DataFrame, labels: DataFrame, keep: list[str], buckets: int = BUCKETS, smoothing: float = 1.0,
          threshold: float = THRESHOLD) -> DataFrame:
     """The columns `keep` of every document, its base counts, score and verdict."""
-    ratio = log_ratios(count_ngrams(documents, labels, buckets), buckets, smoothing).astype(np.float32)
+    trusted = labelled(documents, labels.where("quality = 1"), "quality")
+    ratio = log_ratios(count_ngrams(documents, buckets), count_ngrams(trusted, buckets), buckets, smoothing).astype(np.float32)
     spark = documents.sparkSession
     shared = spark.sparkContext.broadcast(ratio)
     names = [x.split()[0] for x in COLUMNS.split(", ")]
