@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import logging
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import pandas as pd
@@ -18,6 +19,8 @@ from emberline import schemas as S
 from emberline.functions.hashing import uniform
 from emberline.operators import metrics as M
 
+LOG = logging.getLogger(__name__)
+
 # Stands in for a missing value: below every real feature, so a tree can split it off.
 MISSING = -999.0
 
@@ -98,15 +101,30 @@ def score(model: PipelineModel, df: DataFrame) -> DataFrame:
     return scored.select(*[F.col(f"_in_{c}").alias(c) if c in inputs else F.col(c) for c in df.columns], "prediction")
 
 
-def score_foreign(df: DataFrame, predict: Callable[[pd.DataFrame], pd.Series],
-                  features: list[str] = S.FEATURES) -> DataFrame:
-    """Scores from a model outside Spark, in Arrow batches; a batch that fails scores null."""
+def score_foreign(df: DataFrame, predict: Callable[[pd.DataFrame], pd.Series] | None = None,
+                  features: list[str] = S.FEATURES, load: Callable[[], Callable[[pd.DataFrame], pd.Series]] | None = None) -> DataFrame:
+    """Scores from a model outside Spark, in Arrow batches. `load` returns the model's function, once per task.
+
+    Where a batch fails its rows are scored one by one, and only those that fail themselves score null, so
+    the result doesn't depend on the size of batches.
+    """
     @F.pandas_udf(T.DoubleType())
-    def run(batch: pd.DataFrame) -> pd.Series:
-        try:
-            return pd.Series(predict(batch), index=batch.index, dtype="float64")
-        except Exception:  # noqa: BLE001 - a failed score is a null, not a failed job
-            return pd.Series([None] * len(batch), index=batch.index, dtype="float64")
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.Series]:
+        model = load() if load else predict
+
+        def alone(row: pd.DataFrame) -> float | None:
+            try:
+                return float(pd.Series(model(row)).iloc[0])
+            except Exception as error:  # noqa: BLE001 - a failed score is a null, not a failed job
+                LOG.warning("a row could not be scored: %s", error)
+                return None
+
+        for batch in batches:
+            try:
+                out = pd.Series(model(batch), index=batch.index, dtype="float64")
+            except Exception:  # noqa: BLE001 - tried again row by row
+                out = pd.Series([alone(batch.iloc[[i]]) for i in range(len(batch))], index=batch.index, dtype="float64")
+            yield out
     return df.withColumn("prediction", run(F.struct(*[F.col(f) for f in features])))
 
 

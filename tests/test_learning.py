@@ -54,6 +54,10 @@ def test_foreign_model_failure_is_null(spark, table):
         if (batch["hotspot_count"] > 0).any():
             raise RuntimeError("no")
         return batch["hotspot_count"] + 1.0
+    whole = N.score_foreign(table, predict, ["hotspot_count"])
+    assert whole.filter((F.col("hotspot_count") > 0) != F.col("prediction").isNull()).isEmpty()
+    loaded = N.score_foreign(table, features=["hotspot_count"], load=lambda: predict)
+    assert loaded.filter("prediction = 1").count() == table.filter("hotspot_count = 0").count()
     low = table.filter("hotspot_count = 0")
     assert N.score_foreign(low, predict, ["hotspot_count"]).filter("prediction = 1").count() == low.count()
     assert N.score_foreign(table.filter("hotspot_count > 0"), predict, ["hotspot_count"]).filter("prediction is not null").isEmpty()
