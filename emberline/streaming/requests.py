@@ -12,26 +12,31 @@ from emberline.operators.requests import sustained, window_quantiles
 WINDOW, STEP = "5 minutes", "1 minute"
 
 
+def _sliding(log: DataFrame, delay: str, counts: list) -> DataFrame:
+    """Counts per minute, then their sums over the windows that a minute lies in: a log row is counted once,
+    and only minutes are repeated for the overlapping windows."""
+    minutes = log.withWatermark("ts", delay).groupBy(F.window("ts", STEP)).agg(*counts)
+    names = [c for c in minutes.columns if c != "window"]
+    return minutes.groupBy(F.window(F.window_time("window"), WINDOW, STEP)).agg(*[F.sum(c).alias(c) for c in names])
+
+
 def request_stats(log: DataFrame, delay: str = "10 minutes") -> DataFrame:
     """Counts, error share and duration buckets over the last five minutes, every minute."""
-    return (log.withWatermark("ts", delay).groupBy(F.window("ts", WINDOW, STEP))
-            .agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("status").isin("4xx", "5xx")).alias("n_errors"),
-                 *bucket_counts(F.col("duration_s"), S.DURATION_BOUNDS, "le"))
+    counts = [F.count(F.lit(1)).alias("n"), F.count_if(F.col("status").isin("4xx", "5xx")).alias("n_errors"),
+              *bucket_counts(F.col("duration_s"), S.DURATION_BOUNDS, "le")]
+    return (_sliding(log, delay, counts)
             .withColumn("error_rate", F.col("n_errors") / F.greatest(F.col("n").cast("double"), F.lit(1e-9)))
             .withColumn("window_end", F.col("window.end")).drop("window"))
 
 
 def latency_series(log: DataFrame, q: float = 0.95, delay: str = "10 minutes") -> DataFrame:
-    hist = (log.withWatermark("ts", delay).groupBy(F.window("ts", WINDOW, STEP))
-            .agg(*bucket_counts(F.col("duration_s"), S.DURATION_BOUNDS, "le"))
-            .withColumn("window_end", F.col("window.end")))
+    hist = _sliding(log, delay, bucket_counts(F.col("duration_s"), S.DURATION_BOUNDS, "le")).withColumn("window_end", F.col("window.end"))
     return window_quantiles(hist, S.DURATION_BOUNDS, {"value": q})
 
 
 def _prediction_series(log: DataFrame, q: float, delay: str, value: str) -> DataFrame:
     """`window_time` is kept and `window` dropped: a later join needs one event time per side."""
-    hist = (log.withWatermark("ts", delay).groupBy(F.window("ts", WINDOW, STEP))
-            .agg(*bucket_counts(F.col("prediction"), S.PREDICTION_BOUNDS, "le"))
+    hist = (_sliding(log, delay, bucket_counts(F.col("prediction"), S.PREDICTION_BOUNDS, "le"))
             .withColumn("window_end", F.window_time("window")).drop("window"))
     return window_quantiles(hist, S.PREDICTION_BOUNDS, {value: q})
 
