@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from emberline import schemas as S
 from emberline.operators.spatial import split_manifest
@@ -14,18 +15,18 @@ from emberline.sources.snapshots import PRODUCTION
 
 def write_snapshot(df: DataFrame, path: str, kind: str = PRODUCTION, now: datetime | None = None,
                    dry_run: bool = False) -> str | None:
-    """Append one stamped snapshot; older ones stay. An empty result is an error.
+    """Append one snapshot, stamped to the microsecond; older ones stay. An empty result is an error.
 
-    Rows are counted by the write itself, not by a second run of the plan.
+    Whether there are rows is read off the new folder, not by a second run of the plan.
     """
     if dry_run:
         return None
-    stamp = (now or datetime.now(timezone.utc)).strftime("%Y%m%d_%H%M%S")
-    seen = Observation()
-    (df.observe(seen, F.count(F.lit(1)).alias("n"))
-     .withColumns({"kind": F.lit(kind), "snapshot_ts": F.lit(stamp)})
-     .write.mode("append").partitionBy("kind", "snapshot_ts").option("compression", "snappy").parquet(path))
-    if seen.get["n"] == 0:
+    moment = now or datetime.now(timezone.utc)
+    stamp = f"{moment:%Y%m%d_%H%M%S_%f}"
+    stamped = df.withColumns({"kind": F.lit(kind), "snapshot_ts": F.lit(stamp)})
+    stamped.write.mode("append").partitionBy("kind", "snapshot_ts").option("compression", "snappy").parquet(path)
+    back = df.sparkSession.read.schema(stamped.schema).parquet(path)
+    if back.where((F.col("kind") == kind) & (F.col("snapshot_ts") == stamp)).isEmpty():
         raise ValueError("the dataset to write is empty")
     return stamp
 
@@ -33,10 +34,12 @@ def write_snapshot(df: DataFrame, path: str, kind: str = PRODUCTION, now: dateti
 def write_split(df: DataFrame, areas: DataFrame, path: str, entity: str = S.ENTITY) -> DataFrame:
     """One CSV folder per area, and the manifest with rows and dates per area.
 
-    Every task writes its own rows of each area: no shuffle, so a large area is no hot task.
+    Rows are rebalanced by area before they are written: Spark joins small areas in one task and splits
+    large ones, so files are few and even. The manifest is read off the folder, not from a second run of the plan.
     """
-    (df.dropna(subset=[entity]).write.mode("overwrite").partitionBy(entity).option("header", True).csv(path))
-    return split_manifest(df, areas, entity)
+    (df.dropna(subset=[entity]).hint("rebalance", F.col(entity)).write.mode("overwrite").partitionBy(entity).option("header", True).csv(path))
+    values = StructType([f for f in df.schema if f.name != entity] + [df.schema[entity]])
+    return split_manifest(df.sparkSession.read.schema(values).option("header", True).csv(path), areas, entity)
 
 
 def write_predictions(predictions: DataFrame, path: str) -> None:

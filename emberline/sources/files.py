@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from collections import defaultdict
+from collections.abc import Iterable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,20 +17,21 @@ LOG = logging.getLogger(__name__)
 
 
 def csv_headers(spark: SparkSession, folder: str) -> DataFrame:
-    """First line of every file that is not empty: `file_path`, `header`.
+    """First line of every file that is not blank: `file_path`, `header`. A file without one has the header "".
 
-    A line that starts like a number is data, never a header; leaving those out first keeps the
-    aggregation off the bulk of the text. A file with nothing else has the header "".
+    Only a file's first block is looked at, so the lines of large files are mostly left out.
     """
     def reader():
         return spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
     path = F.col("_metadata.file_path").alias("file_path")
     # Only the listing: the content column is pruned and no file is opened.
     files = reader().format("binaryFile").load(folder).filter(F.col("_metadata.file_size") > 0).select(path)
-    at = F.struct(F.col("_metadata.file_block_start"), F.monotonically_increasing_id())
-    lines = reader().text(folder).select(path, "value", at.alias("_at")).filter(~F.col("value").rlike("^[0-9+.-]"))
-    first = lines.groupBy("file_path").agg(F.min_by("value", "_at").alias("header"))
-    return files.join(first, "file_path", "left").withColumn("header", F.coalesce("header", F.lit("")))
+    lines = (reader().text(folder).filter((F.col("_metadata.file_block_start") == 0) & F.col("value").rlike(r"\S"))
+             .select(path, "value", F.monotonically_increasing_id().alias("_at")))
+    at = lines.groupBy("file_path").agg(F.min("_at").alias("_first"))
+    first = lines.join(at.withColumnRenamed("file_path", "_path"), (F.col("file_path") == F.col("_path")) & (F.col("_at") == F.col("_first")))
+    headers = first.select(F.col("file_path").alias("_path"), F.col("value").alias("header"))
+    return files.join(headers, F.col("file_path") == F.col("_path"), "left").select("file_path", F.coalesce("header", F.lit("")).alias("header"))
 
 
 def header_contract(headers: DataFrame) -> DataFrame:
@@ -58,6 +60,17 @@ def _layouts(spark: SparkSession, folder: str) -> list[tuple[str, str]]:
     return pairs
 
 
+def _distinct(names: Iterable[str]) -> tuple[str, ...]:
+    """Column names with a number after each that was there before."""
+    out: list[str] = []
+    for name in names:
+        n, own = 1, name
+        while own.lower() in map(str.lower, out):
+            own, n = f"{name}.{n}", n + 1
+        out.append(own)
+    return tuple(out)
+
+
 def _read(spark: SparkSession, columns: list[str], paths: list[str], root: str = "") -> DataFrame:
     schema = S.text_schema(columns)
     reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("enforceSchema", False)
@@ -79,7 +92,7 @@ def scan_csv(spark: SparkSession, folder: str, required: list[str], strict: bool
         return _read(spark, columns, [folder])
     layouts: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
     for path, header in _layouts(spark, folder):
-        names = tuple(c.strip().strip('"') for c in header.lstrip("\ufeff").split(","))
+        names = _distinct(c.strip().strip('"') for c in header.lstrip("\ufeff").split(","))
         absent = sorted(set(required) - set(names))
         if absent and strict:
             raise ValueError(f"{path} is missing required columns: {absent}")

@@ -13,8 +13,8 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("mergeSchema", True).parquet(path)
 
 
-def latest_snapshot(table: DataFrame, kind: str = PRODUCTION) -> DataFrame:
-    """The newest snapshot of one kind. Both filters are on partition columns, so Spark opens
-    no other snapshot's files."""
-    mine = table.filter(F.col("kind") == kind)
-    return mine.filter(F.col("snapshot_ts") == mine.agg(F.max("snapshot_ts")).scalar()).drop("kind", "snapshot_ts")
+def latest_snapshot(spark: SparkSession, path: str, kind: str = PRODUCTION) -> DataFrame:
+    """The newest snapshot of one kind. It is found by its folder's name; no other snapshot's files are opened."""
+    names = (spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", True)
+             .load(f"{path}/kind={kind}").select(F.regexp_extract("_metadata.file_path", "snapshot_ts=([^/]+)/", 1).alias("stamp")))
+    return spark.read.parquet(f"{path}/kind={kind}/snapshot_ts={names.agg(F.max('stamp')).first()[0]}")

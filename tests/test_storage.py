@@ -3,6 +3,8 @@ from __future__ import annotations
 import datetime as dt
 import json
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -85,7 +87,16 @@ def test_snapshots_append_and_do_not_multiply(spark):
     assert K.write_snapshot(df, path, dry_run=True) is None
     table = Z.read_snapshots(spark, path)
     assert table.count() == 12
-    assert Z.latest_snapshot(table).count() == 3 and Z.latest_snapshot(table, "wet").count() == 6
+    assert Z.latest_snapshot(spark, path).count() == 3 and Z.latest_snapshot(spark, path, "wet").count() == 6
+    moment = dt.datetime(2024, 1, 4)
+    K.write_snapshot(df, path, now=moment)
+    K.write_snapshot(df, path, now=moment.replace(microsecond=7))
+    assert Z.latest_snapshot(spark, path).count() == 3
+    # A broken older snapshot isn't opened.
+    folder = path.removeprefix("file:")
+    broken = next(p for p in Path(folder).rglob("snapshot_ts=20240101*/*.parquet"))
+    broken.write_bytes(b"not parquet")
+    assert Z.latest_snapshot(spark, path).count() == 3
     with pytest.raises(ValueError, match="empty"):
         K.write_snapshot(df.filter("id < 0"), path)
 
