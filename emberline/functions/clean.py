@@ -20,17 +20,18 @@ def clean_double(c: Column) -> Column:
 
 
 def clean_text(c: Column) -> Column:
-    return F.lower(F.trim(c.cast("string")))
+    """Lower case, without white space of any kind at either end."""
+    return F.lower(F.regexp_replace(c.cast("string"), r"(?U)^\s+|\s+$", ""))
 
 
 def utc_timestamp(date: Column, hhmm: Column) -> Column:
     """Date text and an HHMM number (5 is 00:05, 518 is 05:18) to a UTC timestamp, else null.
 
     The time is read as a number first, so a float-typed 518.0 is 05:18 as well; of more than
-    four digits the first four count. Plain arithmetic: no pattern is parsed per row.
+    four digits the first four count. A date with a time part is bad text.
     """
     text = date.cast("string")
-    day = F.when(F.length(text) >= 8, text).try_cast("date")
+    day = F.when(text.rlike(r"^\s*[0-9]{4}-[0-9]{1,2}-[0-9]{1,2}\s*$"), text).try_cast("date")
     number = F.lpad(hhmm.cast("string").try_cast("decimal(9,2)").cast("int").cast("string"), 4, "0").try_cast("int")
     # 60 h + m minutes out of 100 h + m.
     minutes = number - F.floor(number / 100) * 40

@@ -22,7 +22,8 @@ def bucket_names(bounds: list[float], prefix: str) -> list[str]:
 def bucket_quantile(q: float, bounds: list[float], prefix: str) -> Column:
     """Linear interpolation inside the first bucket whose cumulative count reaches q * total.
 
-    Ranks past the last finite bound give that bound; an empty histogram gives null.
+    Ranks past the last finite bound give that bound; an empty histogram gives null. At q = 0 the rank is 0, and
+    the first bucket that holds a value is the one interpolated in.
     """
     total = F.col(f"{prefix}_total")
     rank = F.lit(q) * total
@@ -30,11 +31,11 @@ def bucket_quantile(q: float, bounds: list[float], prefix: str) -> Column:
     for i, bound in enumerate(bounds):
         here = F.col(f"{prefix}_{i}")
         if i == 0:
-            value = F.lit(bound) if bound <= 0 else F.lit(bound) * rank / here
+            value = F.lit(bound) if bound <= 0 else F.lit(bound) * rank / F.nullif(here, F.lit(0))
         else:
             below = F.col(f"{prefix}_{i - 1}")
-            value = F.lit(bounds[i - 1]) + F.lit(bound - bounds[i - 1]) * ((rank - below) / (here - below))
-        out = out.when(here >= rank, value)
+            value = F.lit(bounds[i - 1]) + F.lit(bound - bounds[i - 1]) * ((rank - below) / F.nullif(here - below, F.lit(0)))
+        out = out.when((here >= rank) & (here > 0), value)
     return out.otherwise(F.lit(bounds[-1]))
 
 

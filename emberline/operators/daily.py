@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from emberline import schemas as S
 from emberline.operators.cleaning import require_columns
+from emberline.operators.enrich import assert_unique
 
 
 def aggregate_daily(df: DataFrame, date: str = "acq_date_wib", entity: str = S.ENTITY) -> DataFrame:
@@ -36,10 +37,12 @@ def aggregate_daily(df: DataFrame, date: str = "acq_date_wib", entity: str = S.E
 def join_daily_weather(daily: DataFrame, weather: DataFrame, entity: str = S.ENTITY) -> DataFrame:
     """Weather added after the aggregation: the join moves days, not detections.
 
-    Equal to joining each detection first, because weather is unique per entity and day.
+    Equal to joining each detection first, because weather is unique per entity and day; a second row for
+    a key fails the job.
     """
     columns = [c for c in S.WEATHER if c in weather.columns]
-    return daily.join(weather.select(F.col(S.ENTITY).alias(entity), "date", *columns), [entity, "date"], "left")
+    right = assert_unique(weather.select(F.col(S.ENTITY).alias(entity), "date", *columns), [entity, "date"], "weather")
+    return daily.join(right, [entity, "date"], "left")
 
 
 def count_daily(df: DataFrame, date: str = "acq_date", entity: str = S.ENTITY) -> DataFrame:

@@ -24,7 +24,7 @@ def assert_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
 
 
 def join_weather(detections: DataFrame, weather: DataFrame | None, date: str = "acq_date_wib",
-                 salts: int = 8, validate: bool = True) -> DataFrame:
+                 salts: int = 1, validate: bool = True) -> DataFrame:
     """Every detection with the weather of its entity and local day, null where there is none."""
     if weather is None:
         return detections

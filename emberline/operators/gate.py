@@ -27,11 +27,15 @@ class Thresholds:
 CI_THRESHOLDS = Thresholds(50.0, 30.0, 0.30, None)
 
 
-def evaluate_gate(runs: DataFrame, limits: Thresholds = Thresholds(), required: tuple[str, ...] = ()) -> DataFrame:
+def evaluate_gate(runs: DataFrame, limits: Thresholds = Thresholds(), required: tuple[str, ...] | None = None) -> DataFrame:
     """`failed_checks` and `passed` per run.
 
-    A missing or NaN metric passes, unless it is named in `required`.
+    Every metric that has a limit must be there: a missing or NaN one fails the run. `required` names
+    those that must, where runs hold a part of them; with `()` a missing metric passes.
     """
+    if required is None:
+        required = tuple(m for m, limit in (("rmse", limits.rmse_max), ("mae", limits.mae_max), ("f1_macro", limits.f1_macro_min),
+                                            ("recall_bahaya", limits.recall_bahaya_min)) if limit is not None)
     def check(metric: str, limit: float | None, digits: int, above: bool) -> Column | None:
         if limit is None or metric not in runs.columns:
             return None

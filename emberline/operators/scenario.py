@@ -73,13 +73,15 @@ def run_scenario(df: DataFrame, name: str, magnitude: float = 1.0, **options) ->
     return clamp_physical(SCENARIOS[name](df, magnitude, **options))
 
 
-def summarize_shift(before: DataFrame, after: DataFrame, columns: list[str]) -> DataFrame:
-    """Mean per column before and after, and the change in percent (0 when the base is near 0)."""
-    present = [c for c in columns if c in before.columns and c in after.columns]
-
-    def means(df: DataFrame, side: str) -> DataFrame:
-        row = df.agg(*[F.avg(c).alias(c) for c in present])
-        return row.unpivot([], present, "column", side)
-    both = means(before, "before").join(means(after, "after"), "column")
-    return both.withColumn("delta_pct", F.when(
+def summarize_shift(df: DataFrame, shift: Callable[[DataFrame], DataFrame], columns: list[str]) -> DataFrame:
+    """Mean per column before and after a shift, and the change in percent (0 when the base is near 0).
+
+    The shift works row by row, so both sides are averaged in one pass over the table.
+    """
+    present = [c for c in columns if c in df.columns]
+    both = shift(df.withColumns({f"_before_{c}": F.col(c) for c in present}))
+    means = both.agg(*[F.struct(F.lit(c).alias("column"), F.avg(f"_before_{c}").alias("before"), F.avg(c).alias("after")).alias(f"_{i}")
+                       for i, c in enumerate(present)])
+    rows = means.select(F.inline(F.array(*[f"_{i}" for i in range(len(present))])))
+    return rows.withColumn("delta_pct", F.when(
         F.abs("before") > 1e-9, (F.col("after") - F.col("before")) / F.col("before") * 100).otherwise(F.lit(0.0)))

@@ -33,9 +33,12 @@ def first_box(boxes: Sequence[Box], lat: str = "latitude", lon: str = "longitude
 
 
 def assign_few(df: DataFrame, boxes: Sequence[Box], out: str = S.ENTITY) -> DataFrame:
-    if len(boxes) > CASE_LIMIT:
-        raise ValueError(f"{len(boxes)} boxes: use assign_many with an area table")
-    return df.withColumn(out, first_box(boxes))
+    """The first box of a list; a long list is looked up through the grid, with the same result."""
+    if len(boxes) <= CASE_LIMIT:
+        return df.withColumn(out, first_box(boxes))
+    columns = f"priority int, {S.ENTITY} string, lat_min double, lon_min double, lat_max double, lon_max double"
+    areas = df.sparkSession.createDataFrame([(i, b[0], *map(float, b[1:])) for i, b in enumerate(boxes)], columns)
+    return assign_many(df, areas, out=out)
 
 
 def area_cells(areas: DataFrame, degrees: float) -> DataFrame:
@@ -61,11 +64,11 @@ def area_cells(areas: DataFrame, degrees: float) -> DataFrame:
 
 
 def assign_many(df: DataFrame, areas: DataFrame, degrees: float = 1.0, out: str = S.ENTITY,
-                salts: int = 8) -> DataFrame:
+                salts: int = 1) -> DataFrame:
     """First match out of a whole area table, by an equality join on grid cells.
 
     Each point meets one row, its cell, so no point-and-box pairs are produced and rows never
-    multiply. A crowded cell is spread by the salt.
+    multiply. A crowded cell is a skewed key, which Spark splits; `salts` spreads it by row position besides.
     """
     kept = [c for c in df.columns if c != out]
     points = df.select(*kept).withColumns({

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from emberline.operators import gate as G
 
 
-def gate_report(runs: DataFrame, limits: G.Thresholds = G.Thresholds()) -> DataFrame:
-    judged = G.evaluate_gate(runs, limits)
+def gate_report(runs: DataFrame, limits: G.Thresholds = G.Thresholds(), required: tuple[str, ...] | None = None) -> DataFrame:
+    judged = G.evaluate_gate(runs, limits, required)
     bounds = F.struct(*[F.lit(v).cast("double").alias(k) for k, v in asdict(limits).items()])
     metrics = F.struct("rmse", "mae", "f1_macro", "recall_bahaya")
     return judged.select("run_id", metrics.alias("metrics"), bounds.alias("thresholds"), "passed", "failed_checks")

@@ -30,7 +30,7 @@ def _(spark, sf):
     return C.coerce_numbers(whole, ["latitude", "longitude", "frp"]).select("event_id", "latitude", "longitude", "frp")
 
 
-@query("normalise_confidence", f"WITH {D.RAW_SQL} SELECT event_id, lower(trim(confidence)) AS confidence FROM raw")
+@query("normalise_confidence", f"WITH {D.RAW_SQL} SELECT event_id, lower({D.STRIPPED_SQL}) AS confidence FROM raw")
 def _(spark, sf):
     return D.raw_detections(spark, sf).select("event_id", clean.clean_text(F.col("confidence")).alias("confidence"))
 
@@ -80,7 +80,7 @@ def _(spark, sf):
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY latitude, longitude, acq_datetime_utc, satellite
     ORDER BY event_id) AS rn FROM timed)
-SELECT latitude, longitude, acq_date, acq_time, frp, lower(trim(confidence)) AS confidence, daynight, satellite,
+SELECT latitude, longitude, acq_date, acq_time, frp, lower({D.STRIPPED_SQL}) AS confidence, daynight, satellite,
   province_id, acq_datetime_utc, acq_datetime_utc + INTERVAL 7 HOUR AS acq_datetime_wib,
   CAST(acq_datetime_utc + INTERVAL 7 HOUR AS DATE) AS acq_date_wib
 FROM ranked WHERE rn = 1""")

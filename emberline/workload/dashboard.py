@@ -18,7 +18,7 @@ RANK_SQL = "CASE confidence WHEN 'n' THEN 1 WHEN 'h' THEN 2 ELSE 0 END"
 
 
 @query("dashboard_scan", f"""WITH {D.RAW_SQL}
-SELECT event_id, TRY_CAST(acq_date AS DATE) AS acq_date, lower(trim(confidence)) AS confidence,
+SELECT event_id, TRY_CAST(acq_date AS DATE) AS acq_date, lower({D.STRIPPED_SQL}) AS confidence,
   CASE WHEN isnan(TRY_CAST(trim(latitude) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(latitude) AS DOUBLE) END AS latitude,
   CASE WHEN isnan(TRY_CAST(trim(longitude) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(longitude) AS DOUBLE) END AS longitude,
   CASE WHEN isnan(TRY_CAST(trim(frp) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(frp) AS DOUBLE) END AS frp

@@ -93,7 +93,7 @@ def _(spark, sf):
 
 
 @query("high_confidence_count", f"""WITH {D.RAW_SQL}
-SELECT province_id, CAST(count(*) FILTER (lower(trim(confidence)) = 'h') AS BIGINT) AS n_confidence_high,
+SELECT province_id, CAST(count(*) FILTER (lower({D.STRIPPED_SQL}) = 'h') AS BIGINT) AS n_confidence_high,
   count(*) AS hotspot_count
 FROM timed GROUP BY province_id""")
 def _(spark, sf):

@@ -96,5 +96,4 @@ long_form AS ({' UNION ALL '.join(f"SELECT '{c}' AS col, avg({c}) AS b, avg({e})
 SELECT col AS "column", round(b, 6) AS before, round(a, 6) AS after,
   round(CASE WHEN abs(b) > 1e-9 THEN (a - b) / b * 100 ELSE 0 END, 6) AS delta_pct FROM long_form""")
 def _(spark, sf):
-    base = features(spark, sf)
-    return rounded(X.summarize_shift(base, X.run_scenario(base, "drought"), S.SHIFTED_WEATHER + S.FIRE[:2]), 6)
+    return rounded(X.summarize_shift(features(spark, sf), lambda df: X.run_scenario(df, "drought"), S.SHIFTED_WEATHER + S.FIRE[:2]), 6)

@@ -112,7 +112,7 @@ def raw_detections(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(e % 71 == 0, "2024-13-01").otherwise(F.date_format(utc, "yyyy-MM-dd")).alias("acq_date"),
         F.when(e % 73 == 0, "2460").when(e % 79 != 0, hhmm).alias("acq_time"),
         F.when(e % 67 == 0, "-1.5").when(e % 61 == 0, "NaN").otherwise(frp).alias("frp"),
-        F.when(e % 3 == 0, " H ").when(e % 3 == 1, "n").otherwise(F.lit(None).cast("string")).alias("confidence"),
+        F.when(e % 9 == 0, "\tH\u00a0").when(e % 3 == 0, " H ").when(e % 3 == 1, "n").otherwise(F.lit(None).cast("string")).alias("confidence"),
         F.when(e % 2 == 0, "D").otherwise("n").alias("daynight"),
         F.when(e % 2 == 0, "N").otherwise("1").alias("satellite"))
 
@@ -124,6 +124,9 @@ def landed_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(folder)
 
 
+#: Confidence without white space of any kind at either end.
+STRIPPED_SQL = r"regexp_replace(confidence, '^[\s\x{00A0}]+|[\s\x{00A0}]+$', '', 'g')"
+
 RAW_SQL = """raw AS (
   SELECT event_id, event_type AS province_id,
     CASE WHEN event_id % 97 = 0 THEN 'abc' WHEN event_id % 89 = 0 THEN ' NaN ' WHEN event_id % 83 <> 0
@@ -135,7 +138,7 @@ RAW_SQL = """raw AS (
       THEN CAST(extract(hour FROM ts) * 100 + extract(minute FROM ts) AS VARCHAR) END AS acq_time,
     CASE WHEN event_id % 67 = 0 THEN '-1.5' WHEN event_id % 61 = 0 THEN 'NaN'
       ELSE CAST(event_id * 7 % 90 AS VARCHAR) || '.' || lpad(CAST(event_id % 100 AS VARCHAR), 2, '0') END AS frp,
-    CASE event_id % 3 WHEN 0 THEN ' H ' WHEN 1 THEN 'n' END AS confidence,
+    CASE WHEN event_id % 9 = 0 THEN chr(9) || 'H' || chr(160) WHEN event_id % 3 = 0 THEN ' H ' WHEN event_id % 3 = 1 THEN 'n' END AS confidence,
     CASE WHEN event_id % 2 = 0 THEN 'D' ELSE 'n' END AS daynight,
     CASE WHEN event_id % 2 = 0 THEN 'N' ELSE '1' END AS satellite
   FROM events),
@@ -157,12 +160,12 @@ timed AS (
 
 
 def raw_weather(spark: SparkSession, sf_dir: str, entity: str = "type") -> DataFrame:
-    """Daily weather snapshots: several per key, some without a stamp, day 17 left out."""
+    """Daily weather snapshots: several per key, some without a stamp; day 17 is known only for a place without detections."""
     o = F.col("o_orderkey")
     name = (F.element_at(F.array(*[F.lit(t) for t in TYPES]), (F.col("o_custkey") % 5 + 1).cast("int"))
             if entity == "type" else (F.col("o_custkey") % 30).cast("string"))
-    return table(spark, sf_dir, "orders").filter(o % 30 != 16).select(
-        o.alias("snapshot_id"), name.alias("province_id"),
+    return table(spark, sf_dir, "orders").select(
+        o.alias("snapshot_id"), F.when(o % 30 == 16, "elsewhere" if entity == "type" else "30").otherwise(name).alias("province_id"),
         F.date_format(F.date_add(F.lit("2024-01-01").cast("date"), (o % 30).cast("int")), "yyyy-MM-dd").alias("date"),
         F.when(o % 97 != 0, F.date_format(F.col("o_orderdate").cast("timestamp"), "yyyy-MM-dd")).alias("fetched_at_utc"),
         (F.lit(28.0) + (o * 7 % 80) / F.lit(10.0)).alias("temperature_2m_max"),
@@ -176,8 +179,9 @@ def raw_weather(spark: SparkSession, sf_dir: str, entity: str = "type") -> DataF
 def weather_sql(entity: str = "type") -> str:
     name = ("list_extract(['click', 'error', 'purchase', 'signup', 'view'], CAST(o_custkey % 5 + 1 AS INTEGER))"
             if entity == "type" else "CAST(o_custkey % 30 AS VARCHAR)")
+    gap = "elsewhere" if entity == "type" else "30"
     return f"""snapshots AS (
-  SELECT o_orderkey AS snapshot_id, {name} AS province_id,
+  SELECT o_orderkey AS snapshot_id, CASE WHEN o_orderkey % 30 = 16 THEN '{gap}' ELSE {name} END AS province_id,
     DATE '2024-01-01' + CAST(o_orderkey % 30 AS INTEGER) AS date,
     CASE WHEN o_orderkey % 97 <> 0 THEN strftime(o_orderdate, '%Y-%m-%d') END AS fetched_at_utc,
     CAST(28 AS DOUBLE) + (o_orderkey * 7 % 80) / CAST(10 AS DOUBLE) AS temperature_2m_max,
@@ -186,7 +190,7 @@ def weather_sql(entity: str = "type") -> str:
     (o_orderkey * 13 % 250) / CAST(10 AS DOUBLE) AS windspeed_10m_max,
     CAST(o_orderkey * 17 % 360 AS DOUBLE) AS winddirection_10m_dominant,
     CAST(50 AS DOUBLE) + (o_orderkey * 19 % 500) / CAST(10 AS DOUBLE) AS relative_humidity_2m_mean
-  FROM orders WHERE o_orderkey % 30 <> 16),
+  FROM orders),
 weather AS (
   SELECT * EXCLUDE (rn) FROM (
     SELECT *, row_number() OVER (PARTITION BY province_id, date

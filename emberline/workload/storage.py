@@ -60,9 +60,12 @@ def _(spark, sf):
 @query("archive_scan", f"""WITH {D.RAW_SQL}
 SELECT event_id, CASE WHEN isnan(TRY_CAST(trim(latitude) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(latitude) AS DOUBLE) END AS latitude,
   TRY_CAST(trim(longitude) AS DOUBLE) AS longitude FROM raw
-WHERE event_id % 2 = 1 AND NOT isnan(TRY_CAST(trim(latitude) AS DOUBLE)) AND TRY_CAST(trim(longitude) AS DOUBLE) IS NOT NULL""")
+WHERE NOT isnan(TRY_CAST(trim(latitude) AS DOUBLE)) AND TRY_CAST(trim(longitude) AS DOUBLE) IS NOT NULL""")
 def _(spark, sf):
-    df = R.scan_archive(spark, f"{landed_detections(spark, sf)}/archive")
+    folder = new_folder(spark, "archive")
+    raw = D.raw_detections(spark, sf).withColumn("version", F.col("event_id").cast("string"))
+    as_layout(raw, S.ARCHIVE_COLUMNS + [S.ENTITY]).write.partitionBy(S.ENTITY).option("header", True).csv(folder)
+    df = R.scan_archive(spark, folder)
     return df.select(F.col("version").cast("long").alias("event_id"), "latitude", "longitude")
 
 
@@ -126,7 +129,7 @@ def snapshots(spark, sf) -> str:
 
 @query("all_snapshots", f"""WITH {D.det_sql()}, {DAILY_SQL}
 SELECT province_id, date, hotspot_count * f AS hotspot_count, CASE WHEN s > 1 THEN frp_max END AS frp_max, kind,
-  '2024020' || s || '_000000' AS snapshot_ts
+  '2024020' || s || '_000000_000000' AS snapshot_ts
 FROM daily, (VALUES (1, 'prod', 1), (2, 'prod', 1), (3, 'drought', 2)) v(s, kind, f)""")
 def _(spark, sf):
     return Z.read_snapshots(spark, snapshots(spark, sf)).withColumn("snapshot_ts", F.col("snapshot_ts").cast("string"))
@@ -134,12 +137,12 @@ def _(spark, sf):
 
 @query("latest_snapshot", f"WITH {D.det_sql()}, {DAILY_SQL} SELECT province_id, date, hotspot_count, frp_max FROM daily")
 def _(spark, sf):
-    return Z.latest_snapshot(Z.read_snapshots(spark, snapshots(spark, sf)))
+    return Z.latest_snapshot(spark, snapshots(spark, sf))
 
 
 @query("scenario_snapshot", f"WITH {D.det_sql()}, {DAILY_SQL} SELECT province_id, date, hotspot_count * 2 AS hotspot_count, frp_max FROM daily")
 def _(spark, sf):
-    return Z.latest_snapshot(Z.read_snapshots(spark, snapshots(spark, sf)), "drought")
+    return Z.latest_snapshot(spark, snapshots(spark, sf), "drought")
 
 
 @query("split_files", f"""WITH {D.det_sql()}, {D.AREA_SQL},
@@ -166,7 +169,7 @@ def _(spark, sf):
 
 @query("gate_report_files", gate_sql(12.0, 8.0, 0.78, 0.85))
 def _(spark, sf):
-    report, folder = T.gate_report(runs(spark, sf)), new_folder(spark, "gate")
+    report, folder = T.gate_report(runs(spark, sf), required=()), new_folder(spark, "gate")
     K.append_report(report, folder)
     back = spark.read.schema(report.schema).json(folder)
     return back.select("run_id", F.array_join("failed_checks", "; ").alias("failed_checks"), "passed")

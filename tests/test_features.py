@@ -134,3 +134,10 @@ def test_joining_weather_to_days_equals_joining_it_to_detections(spark):
     early = A.aggregate_daily(join_weather(det, weather)).select("province_id", "date", "hotspot_count", "precipitation_sum")
     late = A.join_daily_weather(A.aggregate_daily(det), weather).select("province_id", "date", "hotspot_count", "precipitation_sum")
     assert sorted(early.collect(), key=str) == sorted(late.collect(), key=str)
+
+
+def test_weather_that_repeats_a_key_fails_the_daily_join(spark):
+    daily = spark.createDataFrame([("a", dt.date(2024, 1, 1), 3)], "province_id string, date date, hotspot_count long")
+    weather = spark.createDataFrame([("a", dt.date(2024, 1, 1), 1.0), ("a", dt.date(2024, 1, 1), 2.0)], "province_id string, date date, precipitation_sum double")
+    with pytest.raises(Exception, match="more than one row for a key"):
+        A.join_daily_weather(daily, weather).collect()

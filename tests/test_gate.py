@@ -18,10 +18,12 @@ def runs(spark, *rows):
 def test_gate_modes(spark):
     df = runs(spark, ("m", 12.0, 8.0, 0.78, 0.85), ("m", 12.01, 9.0, 0.5, 0.1), ("m", None, NAN, None, None), ("m", 49.0, 29.0, 0.31, 0.0))
     full = {r["run_id"]: r for r in G.evaluate_gate(df).collect()}
-    assert full["r0"]["passed"] and full["r2"]["passed"]
+    assert full["r0"]["passed"] and not full["r2"]["passed"]
+    assert full["r2"]["failed_checks"] == [f"{m} is missing" for m in ("rmse", "mae", "f1_macro", "recall_bahaya")]
+    assert all(r["passed"] for r in G.evaluate_gate(df, required=()).collect() if r["run_id"] == "r2")
     assert full["r1"]["failed_checks"] == ["rmse=12.01 > threshold 12.0", "mae=9.00 > threshold 8.0",
                                            "f1_macro=0.500 < threshold 0.78", "recall_bahaya=0.100 < threshold 0.85"]
-    lenient = {r["run_id"]: r["passed"] for r in G.evaluate_gate(df, G.CI_THRESHOLDS).collect()}
+    lenient = {r["run_id"]: r["passed"] for r in G.evaluate_gate(df, G.CI_THRESHOLDS, required=()).collect()}
     assert all(lenient.values())
     strict = {r["run_id"]: r["failed_checks"] for r in G.evaluate_gate(df, required=("rmse", "mae")).collect()}
     assert strict["r2"] == ["rmse is missing", "mae is missing"] and strict["r0"] == []

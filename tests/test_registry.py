@@ -1,11 +1,10 @@
-"""The registered queries: pairing, plans, and a fast part of the comparison with DuckDB.
+"""The registered queries: pairing, plans, and the comparison with DuckDB.
 
-All of it, at any scale: `python tools/check.py --sf /root/testdata/sf0.01`.
+At any scale: `python tools/check.py --sf /root/testdata/sf0.01`.
 """
 
 from __future__ import annotations
 
-import os
 import sys
 from pathlib import Path
 
@@ -15,18 +14,17 @@ from conftest import SMALL
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 
 import __spark_entry__ as entry  # noqa: E402
+from emberline.workload import load  # noqa: E402
 from tools.check import compare, connect  # noqa: E402
 
-FAST = ["clean_detections", "detection_dedup", "weather_join", "training_table", "dense_calendar", "serving_frp_mean",
-        "point_in_box_many", "daily_pivot", "scenario_mixed", "latency_alert", "drift_alert", "load_summary",
-        "classification_metrics", "apply_decisions", "csv_to_daily", "latest_snapshot", "stream_request_stats"]
-NAMES = sorted(entry.oracle_sql()) if os.environ.get("EMBERLINE_ALL") else FAST
+LIBRARY = load()
+NAMES = sorted(LIBRARY.ORACLE)
 HAVE_DATA = pytest.mark.skipif(not Path(SMALL).exists(), reason="no test tables")
 
 
 def test_every_twin_has_a_query():
     assert set(entry.oracle_sql()) <= set(entry.queries())
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"train_regressor", "train_classifier", "score_latest"}
+    assert set(LIBRARY.QUERIES) <= set(entry.queries()) and set(LIBRARY.ORACLE) <= set(LIBRARY.QUERIES)
 
 
 @HAVE_DATA

@@ -52,7 +52,7 @@ def test_mixed_does_not_depend_on_partitioning(spark):
 
 def test_summary_of_a_zero_base(spark):
     df = spark.createDataFrame([(0.0, 2.0)], "a double, b double")
-    got = {r["column"]: r["delta_pct"] for r in X.summarize_shift(df, df.select((F.col("a") + 1).alias("a"), (F.col("b") * 2).alias("b")), ["a", "b", "c"]).collect()}
+    got = {r["column"]: r["delta_pct"] for r in X.summarize_shift(df, lambda t: t.withColumns({"a": F.col("a") + 1, "b": F.col("b") * 2}), ["a", "b", "c"]).collect()}
     assert got == {"a": 0.0, "b": 100.0}
 
 
