@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from emberline.session import new_folder
 
-# Cells per e-fold of the value: the first round has a few thousand cells in all, the second
-# splits one of them into at most 4096.
-RESOLUTIONS = (2 ** 8, 2 ** 20)
+# Cells per e-fold of the value in the first round: a few thousand in all. The second splits a cell's own range.
+RESOLUTION, SPLIT = 2 ** 8, 4096
 
 
 def _cell(value: Column, resolution: int) -> Column:
@@ -19,13 +18,13 @@ def _cell(value: Column, resolution: int) -> Column:
     return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(float(resolution))).cast("long")
 
 
-def _pick(counted: DataFrame, by: list[str], cell: str) -> DataFrame:
+def _pick(counted: DataFrame, by: list[str], cell: str, keep: list[str]) -> DataFrame:
     """The cell that holds the wanted rank, and the rank counted from that cell's start."""
     running = F.sum("_n").over(Window.partitionBy(*by, "p").orderBy(cell)
                                .rowsBetween(Window.unboundedPreceding, 0))
     return (counted.withColumn("_cum", running)
             .filter((F.col("_cum") >= F.col("_rank")) & (F.col("_cum") - F.col("_n") < F.col("_rank")))
-            .select(*by, "p", cell, (F.col("_rank") - F.col("_cum") + F.col("_n")).alias("_rank")))
+            .select(*by, "p", *keep, (F.col("_rank") - F.col("_cum") + F.col("_n")).alias("_rank")))
 
 
 def _settled(targets: DataFrame) -> DataFrame:
@@ -46,34 +45,33 @@ def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequenc
 
     Rows with a null value or a null group key count nowhere.
 
-    Counts per coarse cell locate the cell of each rank; counts per fine cell narrow it; only
-    the rows of that fine cell are grouped by value. Every step is an aggregation with map-side
-    partials over bounded cells, so no task ever sorts a whole group. The first two rounds run
-    while the plan is built.
+    Counts per coarse cell locate the cell of each rank; that cell's range, from its smallest to its largest
+    value, is split evenly, so values that lie close together (or near zero) part again; only the rows of
+    the small cell that holds the rank are grouped by value. Every step is an aggregation with map-side
+    partials. The first two rounds run while the plan is built.
     """
     by = list(by)
-    rows = df.dropna(subset=[*by, value]).select(*by, F.col(value).cast("double").alias("_v"))
-    coarse, fine = RESOLUTIONS
+    rows = (df.dropna(subset=[*by, value]).select(*by, F.col(value).cast("double").alias("_v"))
+            .withColumn("_c0", _cell(F.col("_v"), RESOLUTION)))
     group = Window.partitionBy(*by)
+    measures = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
 
     running = F.sum("_n").over(group.orderBy("_c0").rowsBetween(Window.unboundedPreceding, 0))
-    counted = (rows.groupBy(*by, _cell(F.col("_v"), coarse).alias("_c0")).agg(F.count(F.lit(1)).alias("_n"))
+    counted = (rows.groupBy(*by, "_c0").agg(*measures)
                .withColumns({"_total": F.sum("_n").over(group), "_before": running - F.col("_n")}))
 
     def sought(p: float) -> Column:
         rank = F.least(F.floor(F.lit(float(p)) * F.col("_total")), F.col("_total") - 1) + 1 - F.col("_before")
         return F.when(rank.between(1, F.col("_n")), F.struct(F.lit(float(p)).alias("p"), rank.alias("_rank")))
     # Only cells that hold a rank go on, once for each rank they hold.
-    first = counted.select(*by, "_c0", F.inline(F.array_compact(F.array(*[sought(p) for p in probs]))))
-
-    def narrow(targets: DataFrame, old: str, outer: int, new: str, inner: Column) -> DataFrame:
-        """Counts by `new` inside the target cells only, then met by the ranks looked for there."""
-        targets = _settled(targets)
-        cells = targets.select(*by, old).distinct()
-        counts = (rows.withColumn(old, _cell(F.col("_v"), outer)).join(cells, [*by, old], "left_semi")
-                  .groupBy(*by, old, inner.alias(new)).agg(F.count(F.lit(1)).alias("_n")))
-        return _pick(counts.join(targets, [*by, old]), by, new)
-
-    second = narrow(first, "_c0", coarse, "_c1", _cell(F.col("_v"), fine))
-    exact = narrow(second, "_c1", fine, "_x", F.col("_v"))
-    return exact.select(*by, "p", F.col("_x").alias("value"))
+    first = _settled(counted.select(*by, "_c0", "_lo", "_hi", F.inline(F.array_compact(F.array(*[sought(p) for p in probs])))))
+
+    width = F.col("_top") - F.col("_low")
+    part = F.when(width > 0, F.floor((F.col("_v") - F.col("_low")) / width * SPLIT)).otherwise(0).cast("long")
+    ranges = first.select(*by, "_c0", F.col("_lo").alias("_low"), F.col("_hi").alias("_top")).distinct()
+    counts = rows.join(ranges, [*by, "_c0"]).groupBy(*by, "_c0", part.alias("_c1")).agg(*measures)
+    second = _settled(_pick(counts.join(first.drop("_lo", "_hi"), [*by, "_c0"]), by, "_c1", ["_c0", "_lo", "_hi"]))
+
+    inside = rows.join(second, [*by, "_c0"]).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+    values = inside.groupBy(*by, "p", "_v").agg(F.count(F.lit(1)).alias("_n"), F.first("_rank").alias("_rank"))
+    return _pick(values, by, "_v", ["_v"]).select(*by, "p", F.col("_v").alias("value"))

@@ -32,6 +32,7 @@ def test_nearest_ranks_against_sorting(spark, threshold):
     data = [("hot", 3.25)] * 700 + [("hot", r.uniform(0, 10)) for _ in range(1300)]
     data += [("wide", r.choice([-1, 1]) * 10 ** r.uniform(-6, 9)) for _ in range(500)] + [("wide", 0.0)] * 20
     data += [("near", 1 + i * 1e-12) for i in range(50)] + [("single", 7.0), ("nulls", None)]
+    data += [("micros", 1.7e15 + i) for i in range(700)] + [("tiny", r.uniform(0, 2e-7)) for _ in range(300)]
     df = spark.createDataFrame(data, "g string, v double").repartition(7)
     got = {(x["g"], x["p"]): x["value"] for x in K.nearest_ranks(df, "v", PROBS, ["g"]).collect()}
     groups = {}
@@ -142,3 +143,9 @@ def test_stability_index(spark):
     moved = base.select((F.col("x") + 400).alias("x"), "y")
     got = {r["feature"]: r for r in G.stability_index(base, moved, ["x", "y"]).collect()}
     assert got["x"]["drifted"] and not got["y"]["drifted"] and got["y"]["psi"] == pytest.approx(0.0)
+
+
+def test_quantile_at_zero_is_where_the_first_filled_bucket_begins(spark):
+    df = spark.createDataFrame([(0.2,), (0.3,)], "v double").agg(*bucket_counts(F.col("v"), S.DURATION_BOUNDS, "le"))
+    low = max([b for b in S.DURATION_BOUNDS if b < 0.2], default=0.0)
+    assert df.select(bucket_quantile(0.0, S.DURATION_BOUNDS, "le").alias("x")).first()["x"] == low
