@@ -80,6 +80,23 @@ def clean_detections(df: DataFrame, order: list[Column],
     return project_detections(out)
 
 
+def cleaning_counts(df: DataFrame) -> DataFrame:
+    """How many rows each step of `clean_detections` leaves: one row, one pass over the raw table."""
+    require_columns(df, S.DETECTION_REQUIRED, "detections")
+    complete = F.lit(True)
+    for c in S.DETECTION_REQUIRED:
+        complete = complete & F.col(c).isNotNull()
+    typed = coerce_numbers(df.withColumn("_complete", complete), ["latitude", "longitude", "frp"])
+    valid = (F.col("_complete") & F.col("latitude").between(-90, 90) & F.col("longitude").between(-180, 180) & (F.col("frp") >= 0))
+    timed = typed.withColumn("_valid", F.coalesce(valid, F.lit(False))).withColumn(
+        "acq_datetime_utc", F.when(F.col("_valid"), clean.utc_timestamp(F.col("acq_date"), F.col("acq_time"))))
+    keys = [c for c in ("latitude", "longitude", "acq_datetime_utc", "satellite") if c in df.columns or c == "acq_datetime_utc"]
+    known = F.col("acq_datetime_utc").isNotNull()
+    return timed.agg(
+        F.count(F.lit(1)).alias("n_raw"), F.count_if("_complete").alias("n_complete"), F.count_if("_valid").alias("n_valid"),
+        F.count_if(known).alias("n_timed"), F.count_distinct(F.when(known, F.struct(*keys))).alias("n_distinct"))
+
+
 def project_detections(df: DataFrame) -> DataFrame:
     kept = [c for c in S.DETECTION_KEPT if c in df.columns]
     return df.select(*kept, S.ENTITY, "acq_datetime_utc", "acq_datetime_wib", "acq_date_wib")

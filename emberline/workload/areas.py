@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from emberline import schemas as S
@@ -96,6 +98,18 @@ def _(spark, sf):
         "province_id", "chunk_start", "chunk_end", "days", "old_start")
 
 
+# The same twelve days for every area of the table.
+@query("fetch_plan", f"""WITH {D.AREA_SQL},
+starts AS (SELECT unnest([DATE '2024-01-01', DATE '2024-01-06', DATE '2024-01-11']) AS chunk_start)
+SELECT province_id, chunk_start, least(CAST(chunk_start + 4 AS DATE), DATE '2024-01-12') AS chunk_end,
+  CAST(least(CAST(chunk_start + 4 AS DATE), DATE '2024-01-12') - chunk_start + 1 AS INTEGER) AS days,
+  round((lat_min + lat_max) / 2, 8) AS lat, round((lon_min + lon_max) / 2, 8) AS lon
+FROM areas, starts""")
+def _(spark, sf):
+    plan = A.fetch_plan(spark, D.area_table(spark, sf), date(2024, 1, 1), date(2024, 1, 12))
+    return plan.select("province_id", "chunk_start", "chunk_end", "days", F.round("lat", 8).alias("lat"), F.round("lon", 8).alias("lon"))
+
+
 @query("inclusive_days", f"""WITH {D.det_sql('user')}
 SELECT province_id, CAST(max(acq_date) - min(acq_date) + 1 AS INTEGER) AS n_days FROM det GROUP BY province_id""")
 def _(spark, sf):

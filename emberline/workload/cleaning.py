@@ -127,3 +127,11 @@ WHERE w.date IS NULL GROUP BY d.province_id""")
 def _(spark, sf):
     weather = C.clean_weather(D.raw_weather(spark, sf), [F.desc("snapshot_id")])
     return E.unmatched(D.detections(spark, sf), weather)
+
+
+@query("cleaning_counts", f"""WITH {D.RAW_SQL}
+SELECT (SELECT count(*) FROM raw) AS n_raw, (SELECT count(*) FROM numbers) AS n_complete, (SELECT count(*) FROM valid) AS n_valid,
+  (SELECT count(*) FROM timed) AS n_timed,
+  (SELECT count(*) FROM (SELECT DISTINCT latitude, longitude, acq_datetime_utc, satellite FROM timed)) AS n_distinct""")
+def _(spark, sf):
+    return C.cleaning_counts(D.raw_detections(spark, sf))
