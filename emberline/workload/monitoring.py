@@ -14,6 +14,7 @@ from emberline.operators import drift as G
 from emberline.operators import metrics as M
 from emberline.operators import requests as R
 from emberline.operators import windows as W
+from emberline.session import new_folder
 from emberline.workload import standins as D
 from emberline.workload.features import DAILY_SQL, rounded
 from emberline.workload.registry import query
@@ -236,7 +237,9 @@ SELECT a.feature, round(sum((a.share - e.share) * ln(a.share / e.share)), 8) AS
 FROM shares a JOIN shares e ON a.feature = e.feature AND a.bin = e.bin AND a.now AND NOT e.now GROUP BY a.feature""")
 def _(spark, sf):
     # The ranks read the features three times: keep the daily rows, which are far fewer than detections.
-    daily = A.aggregate_daily(D.detections(spark, sf, "user")).persist()
+    folder = new_folder(spark, "daily")
+    A.aggregate_daily(D.detections(spark, sf, "user")).write.parquet(folder)
+    daily = spark.read.parquet(folder)
     return rounded(G.stability_index(daily.filter(F.col("date") <= SPLIT), daily.filter(F.col("date") > SPLIT),
                                      ["hotspot_count", "frp_mean"]))
 

@@ -47,6 +47,28 @@ def _(spark, sf):
                      "acq_date", "acq_time", "frp", F.col("type").isNotNull().alias("has_type"))
 
 
+def landed_by_prefix(spark, sf) -> str:
+    """Raw detections as one CSV file per area, which only the file's name tells: <area>_20240101_UTC.csv."""
+    folder = new_folder(spark, "prefixed")
+    raw = D.raw_detections(spark, sf).withColumn("version", F.col("event_id").cast("string"))
+    named = as_layout(raw, S.NRT_COLUMNS + [S.ENTITY]).withColumn("file", F.concat(S.ENTITY, F.lit("_20240101_UTC"))).drop(S.ENTITY)
+    named.repartition("file").write.partitionBy("file").option("header", True).csv(f"{folder}/parts")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(path(f"{folder}/named"))
+    for found in files.globStatus(path(f"{folder}/parts/file=*/part-*.csv")):
+        part = found.getPath()
+        files.rename(part, path(f"{folder}/named/{part.getParent().getName().removeprefix('file=')}.csv"))
+    return f"{folder}/named"
+
+
+@query("prefix_scan", f"""WITH {D.RAW_SQL}
+SELECT event_id, province_id, trim(latitude) AS latitude, acq_date, frp FROM raw""")
+def _(spark, sf):
+    df = R.scan_detections(spark, landed_by_prefix(spark, sf))
+    return df.select(F.col("version").cast("long").alias("event_id"), S.ENTITY, F.trim("latitude").alias("latitude"), "acq_date", "frp")
+
+
 @query("csv_to_daily", f"""WITH {D.RAW_SQL},
 one AS (SELECT *, row_number() OVER (PARTITION BY latitude, longitude, acq_datetime_utc, satellite ORDER BY event_id) AS rn FROM timed)
 SELECT province_id, CAST(acq_datetime_utc + INTERVAL 7 HOUR AS DATE) AS date, count(*) AS hotspot_count, round(sum(frp), 6) AS frp_sum
@@ -176,7 +198,7 @@ def _(spark, sf):
 
 
 @query("round_report_files", f"""WITH {ALL_SQL}
-SELECT model, new_run_id, decision, 'manual' AS reason, CAST(3 AS INTEGER) AS n_stages,
+SELECT model, new_run_id, decision, 'manual' AS reason, CAST(4 AS INTEGER) AS n_stages, decision AS last_stage,
   coalesce(printf('rmse=%.4f', new_metric), 'no metric') AS first_detail, decision <> 'abort' AS decided FROM decided""")
 def _(spark, sf):
     decisions = T.decide_round(runs(spark, sf), versions(spark, sf))
@@ -185,7 +207,7 @@ def _(spark, sf):
     K.append_report(report, folder)
     back = spark.read.schema(report.schema).json(folder)
     return back.select("model", "new_run_id", "decision", "reason", F.size("stages").alias("n_stages"),
-                       F.col("stages")[0]["detail"].alias("first_detail"), F.col("stages")[2]["ok"].alias("decided"))
+                       F.col("stages")[0]["detail"].alias("first_detail"), F.col("stages")[2]["ok"].alias("decided"), F.col("stages")[3]["name"].alias("last_stage"))
 
 
 @query("union_by_name", f"""WITH {D.RAW_SQL}

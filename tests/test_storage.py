@@ -119,7 +119,7 @@ def test_round_report_is_nested(spark):
     for _ in range(2):
         K.append_report(T.round_report(decided, F.lit("t"), F.lit("manual")), path)
     rows = spark.read.json(path).collect()
-    assert len(rows) == 2 and [s["name"] for s in rows[0]["stages"]] == ["evaluate_new", "get_production", "decide"]
+    assert len(rows) == 2 and [s["name"] for s in rows[0]["stages"]] == ["evaluate_new", "get_production", "decide", rows[0]["decision"]]
 
 
 def test_shared_folder_follows_the_session(spark):
