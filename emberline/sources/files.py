@@ -71,9 +71,9 @@ def _distinct(names: Iterable[str]) -> tuple[str, ...]:
     return tuple(out)
 
 
-def _read(spark: SparkSession, columns: list[str], paths: list[str], root: str = "") -> DataFrame:
+def _read(spark: SparkSession, columns: list[str], paths: list[str], root: str = "", renamed: bool = False) -> DataFrame:
     schema = S.text_schema(columns)
-    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("enforceSchema", False)
+    reader = spark.read.option("header", True).option("pathGlobFilter", "*.csv").option("enforceSchema", renamed)
     if root:
         schema, reader = schema.add(S.ENTITY, "string"), reader.option("basePath", root)
     return reader.schema(schema).csv(paths).select("*", F.col("_metadata.file_name").alias("file_name"))
@@ -90,9 +90,10 @@ def scan_csv(spark: SparkSession, folder: str, required: list[str], strict: bool
     """
     if columns is not None:
         return _read(spark, columns, [folder])
-    layouts: dict[tuple[str, tuple[str, ...]], list[str]] = defaultdict(list)
+    layouts: dict[tuple[str, tuple[str, ...], bool], list[str]] = defaultdict(list)
     for path, header in _layouts(spark, folder):
-        names = _distinct(c.strip().strip('"') for c in header.lstrip("\ufeff").split(","))
+        stated = tuple(c.strip().strip('"') for c in header.lstrip("\ufeff").split(","))
+        names = _distinct(stated)
         absent = sorted(set(required) - set(names))
         if absent and strict:
             raise ValueError(f"{path} is missing required columns: {absent}")
@@ -100,10 +101,10 @@ def scan_csv(spark: SparkSession, folder: str, required: list[str], strict: bool
             LOG.warning("skipped %s: no columns %s", path, absent)
             continue
         root, partitioned, _ = path.partition(f"/{S.ENTITY}=")
-        layouts[(root if partitioned else "", names)].append(path)
+        layouts[(root if partitioned else "", names, names != stated)].append(path)
     out = None
-    for (root, names), paths in sorted(layouts.items()):
-        part = _read(spark, list(names), sorted(paths), root)
+    for (root, names, renamed), paths in sorted(layouts.items()):
+        part = _read(spark, list(names), sorted(paths), root, renamed)
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return out
 

@@ -127,3 +127,13 @@ def test_shared_folder_follows_the_session(spark):
     assert shared_folder(spark) == shared_folder(spark)
     if root:
         assert shared_folder(spark) == root.rstrip("/")
+
+
+def test_odd_headers(spark, tmp_path):
+    """A blank first line, a header that begins with a digit or a sign, a repeated column."""
+    (tmp_path / "a_20240101_UTC.csv").write_text("\n  \nlatitude,longitude,acq_date,acq_time,frp\n1.5,2,2024-01-01,5,3\n")
+    (tmp_path / "b_20240101_UTC.csv").write_text("-x,latitude,longitude,acq_date,acq_time,frp\n0,4,2,2024-01-01,5,3\n")
+    (tmp_path / "c_20240101_UTC.csv").write_text("latitude,longitude,acq_date,acq_time,frp,note,note\n7,2,2024-01-01,5,3,p,q\n")
+    got = R.scan_detections(spark, str(tmp_path))
+    assert sorted((r[S.ENTITY], float(r["latitude"])) for r in got.collect()) == [("a", 1.5), ("b", 4.0), ("c", 7.0)]
+    assert got.filter("latitude = '7'").select("note", "`note.1`").first() == ("p", "q")
