@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from emberline.llm import mixing, near_dedup, packing, quality_rules, substring_dedup
+from emberline.llm.lookup import parted
 from emberline.llm.queries import vocabulary
 from emberline.llm.tables import stored
 
@@ -25,10 +26,14 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id; a repeated row (same id and text) stays once."""
-    others = near_dedup.near_duplicates(docs).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    left = docs.join(others, F.col("doc_id") == F.col("__gone"), "left_anti")
-    return left.select(*COLUMNS).dropDuplicates(["doc_id", "text"])
+    """Of each group of near copies the document with the smallest id; a repeated row (same id and text) stays once.
+
+    Only documents that may go are moved; the others stay where they are read."""
+    found = stored(near_dedup.near_duplicates(docs).groupBy("doc_id").agg(F.max(~F.col("kept")).alias("__gone"), F.count("*").alias("__rows"))
+                   .where("doc_id is not null and (__gone or __rows > 1)").select("doc_id", "__gone"), "gone")
+    stay, others = parted(docs.select(*COLUMNS), found)
+    judged = others.join(found.hint("shuffle_hash"), "doc_id", "left").where("not coalesce(__gone, false)")
+    return stay.unionByName(judged.select(*COLUMNS).dropDuplicates(["doc_id", "text"]))
 
 
 def without_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,20 +17,17 @@ from pyspark.sql import functions as F
 BITS = 22
 
 
-def _place():
-    return F.pmod(F.xxhash64("doc_id"), F.lit(1 << BITS))
-
-
-def parted(documents: DataFrame, known: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents that are surely not named by `known`, and the others. Null ids aren't named."""
-    parts = (known.where("doc_id is not null").select((_place() + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
+def parted(documents: DataFrame, known: DataFrame, by: str = "doc_id") -> tuple[DataFrame, DataFrame]:
+    """The documents that are surely not named by `known`, and the others. A null in the column `by` is not named."""
+    place = F.pmod(F.xxhash64(by), F.lit(1 << BITS))
+    parts = (known.where(F.col(by).isNotNull()).select((place + 1).alias("p")).groupBy(F.bitmap_bucket_number("p").alias("k"))
              .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits")).collect())
     bitmap = np.zeros(1 << BITS, bool)
     for part in parts:
         bits = np.unpackbits(np.frombuffer(part["bits"], np.uint8), bitorder="little")
         bitmap[(part["k"] - 1) * len(bits):part["k"] * len(bits)] = bits
     shared = documents.sparkSession.sparkContext.broadcast(np.packbits(bitmap))
-    given = documents.withColumn("__place", F.when(F.col("doc_id").isNotNull(), _place()).otherwise(-1))
+    given = documents.withColumn("__place", F.when(F.col(by).isNotNull(), place).otherwise(-1))
 
     def side(wanted: bool):
         def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
