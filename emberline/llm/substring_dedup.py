@@ -31,9 +31,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words as W
+from .lookup import parted
+from .tables import stored
 
 LENGTH, MINIMISER, HOT, PER_BUCKET = 35, 5, 8192, 200_000
-FLUSH_BYTES = 48 << 20
+FLUSH_BYTES = 16 << 20
 _KEYS = ("__k1", "__k2")
 
 
@@ -114,10 +116,10 @@ class _Packer:
     def batches(self, n_buckets: int) -> Iterator[pa.RecordBatch]:
         order = np.argsort(np.array(self.buckets, np.int64), kind="stable")
         buckets, texts = np.array(self.buckets, np.int64)[order], list(self.known)
-        edges = np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])) if len(buckets) else []
-        pack = zstandard.ZstdCompressor(level=3)
+        edges = [*np.flatnonzero(np.append(True, buckets[1:] != buckets[:-1])[:len(buckets)]).tolist(), len(buckets)]
+        pack = zstandard.ZstdCompressor(level=6)
         rows = []
-        for a, b in zip(edges, [*edges[1:], len(buckets)], strict=True):
+        for a, b in zip(edges[:-1], edges[1:], strict=True):
             own = order[a:b]
             k1, k2, first = zip(*[self.places[i] for i in own], strict=True)
             rows.append((int(buckets[a]), pack.compress(b"\n".join([texts[i] for i in own])), k1, k2, first,
@@ -225,11 +227,12 @@ def remove_repeats(documents: DataFrame, keep: list[str], with_text: bool, lengt
     total, hot_ones = hot_minimisers(documents, k, minimiser, hot)
     n_buckets = max(1, -(-total // per_bucket))
     keyed = _keyed(documents)
-    runs = (pack(keyed, k, minimiser, hot_ones, n_buckets).groupBy("bucket").applyInArrow(count_bucket(k), RUNS)
-            .groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n")).alias("__runs")))
-    given = (keyed.select(*keep, F.col("text").alias("__text"), *_KEYS)
-             .join(runs, (F.col(_KEYS[0]) == F.col("k1")) & (F.col(_KEYS[1]) == F.col("k2")), "left")
-             .select(*keep, "__text", "__runs"))
+    runs = stored(pack(keyed, k, minimiser, hot_ones, n_buckets).groupBy("bucket").applyInArrow(count_bucket(k), RUNS)
+                  .groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n")).alias("__runs")), "runs")
+    # Documents without a repeated window stay where they are read.
+    whole, some = parted(keyed.select(*keep, F.col("text").alias("__text"), *_KEYS), runs.select(F.col("k1").alias(_KEYS[0])), _KEYS[0])
+    cut_ones = some.join(runs, (F.col(_KEYS[0]) == F.col("k1")) & (F.col(_KEYS[1]) == F.col("k2")), "left").select(*keep, "__text", "__runs")
+    given = whole.select(*keep, "__text", F.lit(None).cast(runs.schema["__runs"].dataType).alias("__runs")).unionByName(cut_ones)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch, block in W.blocks(batches, "__text"):

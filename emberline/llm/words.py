@@ -69,16 +69,23 @@ class Spans:
 
 
 def block_of(texts: pa.Array) -> Block:
+    """No copy of the bytes, unless there are nulls."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = pc.fill_null(texts.cast(pa.large_string()), "")
+    if not (pa.types.is_string(texts.type) or pa.types.is_large_string(texts.type)):
+        texts = texts.cast(pa.string())
+    if texts.null_count:
+        texts = pc.fill_null(texts, "")
+    if not len(texts):
+        return Block(np.zeros(0, np.uint8), np.zeros(1, np.int64))
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
     _, offsets, data = texts.buffers()
-    offsets = np.frombuffer(offsets, np.int64, len(texts) + 1, texts.offset * 8) if len(texts) else np.zeros(1, np.int64)
+    offsets = np.frombuffer(offsets, kind, len(texts) + 1, texts.offset * np.dtype(kind).itemsize).astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     return Block(data[offsets[0]:offsets[-1]], offsets - offsets[0])
 
 
-def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 20) -> Iterator[tuple[pa.RecordBatch, Block]]:
+def blocks(batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = 1 << 18) -> Iterator[tuple[pa.RecordBatch, Block]]:
     """Cuts batches into runs of whole rows of about `limit` bytes; a longer text is a run of its own."""
     for batch in batches:
         whole = block_of(batch.column(batch.schema.get_field_index(column)))
