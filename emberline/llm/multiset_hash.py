@@ -33,25 +33,40 @@ SHIFTS, FIELD = 12, 16
 MASK = sum(1 << (FIELD * i) for i in range(4))
 _PARTS = (("h1", 1), ("h2", 16))
 _SUMS = [f"{h}_{i}" for h, _ in _PARTS for i in range(SHIFTS)]
+LANES = len(_SUMS) * 4
 
 
 def _hex(text: Column, start: int, n: int) -> Column:
     return F.conv(F.substring(text, start, n), 16, 10).cast("long")
 
 
-def phrase_signs(texts: DataFrame, key: list[str]) -> DataFrame:
-    """key, signs: the sums of signs over the phrases of each text, modulo 2^16."""
-    phrases = texts.select(*key, F.posexplode(F.split(F.regexp_replace("text", PHRASE_END, "$1\n"), "\n")).alias("pos", "unit"))
+def phrase_signs(texts: DataFrame, key: list[str], kinds: int = 1) -> DataFrame:
+    """key, s0, s1, ...: for each kind of text (column `kind`, from 0) the sums of signs over its phrases, modulo 2^16.
+
+    What is shuffled are sums, four to a number; they become one value a lane only where a key's pieces are together."""
+    phrases = texts.select(*key, "kind", F.posexplode(F.split(F.regexp_replace("text", PHRASE_END, "$1\n"), "\n")).alias("pos", "unit"))
     digest = F.md5("unit")
-    units = phrases.select(*key, (F.col("pos") / PIECE).cast("int").alias("piece"), *[_hex(digest, at, 15).alias(h) for h, at in _PARTS])
-    packed = units.groupBy(*key, "piece").agg(F.count("*").alias("n"), *[
-        F.sum(F.shiftright(h, i).bitwiseAND(F.lit(MASK))).alias(f"{h}_{i}") for h, _ in _PARTS for i in range(SHIFTS)])
+    units = phrases.select(*key, "kind", (F.col("pos") / PIECE).cast("int").alias("piece"), *[_hex(digest, at, 15).alias(h) for h, at in _PARTS])
     # Four counts a number; each piece is short enough for its counts not to run over.
-    counts = [F.shiftright(s, FIELD * j).bitwiseAND(F.lit((1 << FIELD) - 1)) for s in _SUMS for j in range(4)]
-    pieces = packed.select(*key, F.transform(F.array(*counts), lambda c: 2 * c - F.col("n")).alias("signs"))
-    total = lambda sums, more: F.when(F.size(sums) == 0, more).otherwise(F.zip_with(sums, more, lambda x, y: x + y))
-    return pieces.groupBy(*key).agg(F.collect_list("signs").alias("all")).select(
-        *key, modulo(F.aggregate("all", F.array().cast("array<bigint>"), total), FIELD).alias("signs"))
+    packed = units.groupBy(*key, "kind", "piece").agg(F.count("*").alias("n"), *[
+        F.sum(F.shiftright(h, i).bitwiseAND(F.lit(MASK))).alias(f"{h}_{i}") for h, _ in _PARTS for i in range(SHIFTS)])
+    pieces = packed.groupBy(*key).agg(F.collect_list(F.struct("kind", "n", F.array(*_SUMS).alias("sums"))).alias("pieces"))
+
+    def lanes(piece: Column) -> Column:
+        fields = F.flatten(F.transform(piece["sums"], lambda s: F.array(*[F.shiftright(s, FIELD * j).bitwiseAND(F.lit((1 << FIELD) - 1)) for j in range(4)])))
+        return F.transform(fields, lambda c: 2 * c - piece["n"])
+
+    def total(kind: int) -> Column:
+        own = F.transform(F.filter("pieces", lambda p: p["kind"] == kind), lanes)
+        return F.aggregate(own, F.array_repeat(F.lit(0).cast("long"), LANES), lambda s, x: F.zip_with(s, x, lambda p, q: p + q))
+
+    return pieces.select(*key, *[signed(total(i)).alias(f"s{i}") for i in range(kinds)])
+
+
+def signed(values: Column) -> Column:
+    """Values modulo 2^16 as numbers of two bytes, from -2^15 on."""
+    half = 1 << (FIELD - 1)
+    return F.transform(values, lambda x: (F.pmod(x + half, F.lit(1 << FIELD)) - half).cast("smallint"))
 
 
 def paragraph_numbers(text: Column) -> Column:
@@ -67,23 +82,22 @@ def modulo(values: Column, bits: int) -> Column:
 
 def combined(a: tuple[Column, Column], b: tuple[Column, Column], sign: int = 1) -> tuple[Column, Column]:
     """Numbers and signs of a multiset with another one added (sign 1) or taken away (sign -1)."""
-    return tuple(modulo(F.zip_with(x, y, lambda p, q: p + sign * q), bits) for x, y, bits in zip(a, b, (30, FIELD), strict=True))
+    added = [F.zip_with(x, y, lambda p, q: p.cast("long") + sign * q) for x, y in zip(a, b, strict=True)]
+    return modulo(added[0], 30), signed(added[1])
 
 
 def text_of(numbers: Column, signs: Column) -> Column:
     """The fingerprint as a string of hexadecimal digits."""
-    return F.concat_ws("", F.transform(numbers, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")), F.transform(signs, lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")))
+    return F.concat_ws("", F.transform(numbers, lambda x: F.lpad(F.lower(F.hex(x)), 8, "0")),
+                       F.transform(modulo(signs, FIELD), lambda x: F.lpad(F.lower(F.hex(x)), 4, "0")))
 
 
 def likeness(a: tuple[Column, Column], b: tuple[Column, Column]) -> Column:
     """0 to 1: how much two fingerprints' texts have in common."""
-    def centred(x: Column) -> Column:
-        return F.when(x >= 1 << (FIELD - 1), x - (1 << FIELD)).otherwise(x)
-
     def square(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0).cast("long"), lambda s, x: s + centred(x) * centred(x))
+        return F.aggregate(values, F.lit(0).cast("long"), lambda s, x: s + x.cast("long") * x)
 
-    apart = square(F.zip_with(a[1], b[1], lambda x, y: F.pmod(x - y, F.lit(1 << FIELD))))
+    apart = square(signed(F.zip_with(a[1], b[1], lambda x, y: x.cast("long") - y)))
     own = square(a[1]) + square(b[1])
     equal = (a[0] == b[0]) & (a[1] == b[1])
     return F.when(equal, 1.0).when(own == 0, 0.0).otherwise(F.greatest(F.lit(0.0), 1 - apart.cast("double") / own))
@@ -119,29 +133,32 @@ def next_of_each(keyed: DataFrame) -> DataFrame:
 
 
 def with_next(keyed: DataFrame, links: DataFrame) -> DataFrame:
-    """Each distinct row once: keys, text, and edited, the text whose last half is replaced by the next one's beginning."""
+    """Each distinct row once: keys, those of the row before, text, and edited, the text whose last half is replaced by
+    the next one's beginning."""
     texts = keyed.dropDuplicates(_KEY)
     to_me = links.select(*[F.col(f"next_{k}").alias(f"to_{k}") for k in _KEY], *[F.col(k).alias(f"for_{k}") for k in _KEY], "needed")
     heads = texts.join(to_me, _on("to_")).select("for_k1", "for_k2", F.expr("left(text, cast(needed as int))").alias("head"))
-    own = texts.join(links.select(*[F.col(k).alias(f"of_{k}") for k in _KEY], *[f"next_{k}" for k in _KEY], "needed"), _on("of_"))
+    before = links.select(*[F.col(f"next_{k}").alias(f"of_{k}") for k in _KEY], *[F.col(k).alias(f"before_{k}") for k in _KEY])
+    mine = links.select(*[F.col(k).alias(f"my_{k}") for k in _KEY], "needed").join(before, [F.col(f"my_{k}") == F.col(f"of_{k}") for k in _KEY])
+    own = texts.join(mine, _on("my_"))
     return own.join(heads, _on("for_")).select(
-        *_KEY, "next_k1", "next_k2", "text", F.concat(F.expr("left(text, cast(length(text) - needed as int))"), "head").alias("edited"))
+        *_KEY, "before_k1", "before_k2", "text", F.concat(F.expr("left(text, cast(length(text) - needed as int))"), "head").alias("edited"))
 
 
 def fingerprint_documents(documents: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of every document."""
     keyed = _keyed(documents)
     pairs = with_next(keyed, next_of_each(keyed))
-    facts = pairs.select(*_KEY, "next_k1", "next_k2", F.sha2("edited", 256).alias("edited_sha256"),
+    facts = pairs.select(*_KEY, "before_k1", "before_k2", F.sha2("edited", 256).alias("edited_sha256"),
                          paragraph_numbers(F.col("text")).alias("n0"), paragraph_numbers(F.col("edited")).alias("n1"))
     kinds = F.explode(F.array(*[F.struct(F.lit(i).alias("kind"), F.col(x).alias("text")) for i, x in enumerate(("text", "edited"))]))
-    signs = phrase_signs(pairs.select(*_KEY, kinds.alias("x")).select(*_KEY, "x.kind", "x.text"), [*_KEY, "kind"])
-    wide = signs.groupBy(*[F.col(k).alias(f"of_{k}") for k in _KEY]).agg(*[F.max(F.when(F.col("kind") == i, F.col("signs"))).alias(f"s{i}") for i in (0, 1)])
+    signs = phrase_signs(pairs.select(*_KEY, kinds.alias("x")).select(*_KEY, "x.kind", "x.text"), _KEY, 2)
+    wide = signs.select(*[F.col(k).alias(f"of_{k}") for k in _KEY], "s0", "s1")
     known = stored(facts.join(wide, _on("of_")).drop("of_k1", "of_k2"), "fingerprints")
-    following = known.select(*[F.col(k).alias(f"at_{k}") for k in _KEY], F.col("n0").alias("n2"), F.col("s0").alias("s2"))
+    following = known.select(*[F.col(f"before_{k}").alias(f"at_{k}") for k in _KEY], F.col("n0").alias("n2"), F.col("s0").alias("s2"))
+    rows = keyed.select("doc_id", *[F.col(k).alias(f"row_{k}") for k in _KEY], F.length("text").cast("long").alias("n_chars"))
     own, new, after = ((F.col(f"n{i}"), F.col(f"s{i}")) for i in range(3))
-    results = known.join(following, [F.col(f"next_{k}") == F.col(f"at_{k}") for k in _KEY]).select(
-        *[F.col(k).alias(f"of_{k}") for k in _KEY], "edited_sha256", text_of(*own).alias("fingerprint"), text_of(*new).alias("edited_fingerprint"),
-        likeness(own, new).alias("near_edited"), likeness(own, after).alias("near_next"))
-    rows = keyed.select("doc_id", *_KEY, F.length("text").cast("long").alias("n_chars"))
-    return rows.join(results, _on("of_")).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
+    # All three sides meet by the row's key, so what is long isn't moved again.
+    together = known.drop("before_k1", "before_k2").join(following, _on("at_")).join(rows, _on("row_"))
+    return together.select("doc_id", "n_chars", "edited_sha256", text_of(*own).alias("fingerprint"), text_of(*new).alias("edited_fingerprint"),
+                           likeness(own, new).alias("near_edited"), likeness(own, after).alias("near_next"))

@@ -196,11 +196,11 @@ def test_fingerprints_of_odd_rows(spark):
 def test_fingerprints_do_not_depend_on_order_and_can_be_edited(spark):
     lines = [prose(i, 30).replace("\n", " ") for i in range(4)]
     texts = spark.createDataFrame([("all", "\n".join(lines)), ("turned", "\n".join(lines[::-1])), ("less", "\n".join(lines[:3])), ("last", lines[3])], "k string, text string")
-    signs = {r["k"]: r["signs"] for r in multiset_hash.phrase_signs(texts, ["k"]).collect()}
+    signs = {r["k"]: r["s0"] for r in multiset_hash.phrase_signs(texts.withColumn("kind", F.lit(0)), ["k"]).collect()}
     numbers = {r["k"]: r["x"] for r in texts.select("k", multiset_hash.paragraph_numbers(F.col("text")).alias("x")).collect()}
     assert signs["all"] == signs["turned"] and numbers["all"] == numbers["turned"]
     frame = spark.createDataFrame([tuple(x[k] for x in (numbers, signs) for k in ("less", "last", "all"))],
-                                  "a array<long>, b array<long>, c array<long>, d array<long>, e array<long>, f array<long>")
+                                  "a array<long>, b array<long>, c array<long>, d array<smallint>, e array<smallint>, f array<smallint>")
     both = multiset_hash.combined((F.col("a"), F.col("d")), (F.col("b"), F.col("e")))
     less = multiset_hash.combined((F.col("c"), F.col("f")), (F.col("b"), F.col("e")), -1)
     got = frame.select(*both, *less).first()
@@ -208,10 +208,10 @@ def test_fingerprints_do_not_depend_on_order_and_can_be_edited(spark):
 
 
 def test_long_texts_are_summed_in_pieces(spark, monkeypatch):
-    texts = spark.createDataFrame([("k", prose(9, 900))], "k string, text string")
-    whole = multiset_hash.phrase_signs(texts, ["k"]).first()["signs"]
+    texts = spark.createDataFrame([("k", prose(9, 900), 0)], "k string, text string, kind int")
+    whole = multiset_hash.phrase_signs(texts, ["k"]).first()["s0"]
     monkeypatch.setattr(multiset_hash, "PIECE", 17)
-    assert multiset_hash.phrase_signs(texts, ["k"]).first()["signs"] == whole
+    assert multiset_hash.phrase_signs(texts, ["k"]).first()["s0"] == whole
 
 
 def test_fingerprints_of_an_empty_table_and_one_row(spark, empty):
