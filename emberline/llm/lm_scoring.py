@@ -7,7 +7,8 @@ document's score is the sum over its words of log p(word | both sides), and the
 
 Counts of word buckets come from all words of all documents. Training goes in rounds: every task starts from the
 same weights, masks every `stride`-th word of its own texts (another offset in each round) and takes Adagrad steps
-in numpy; the tasks' weights are then averaged, weighted by the words they masked. So what training gathers grows
+in numpy; the tasks' weights are then averaged, weighted by the words they masked. There are as many rounds as offsets,
+so every word of every text is masked once. So what training gathers grows
 with the input, one row per weight and task before the partial sums, and what reaches the driver is one row per
 weight. Texts are read whole where they lie. A task that is run again starts from the same weights and reads
 the same rows.
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 from . import words as W
 
 BUCKETS, EMBEDDED, WIDTH, HIDDEN, CLASSES, OWN_CLASSES = 1 << 16, 1 << 13, 16, 32, 128, 64
-SIDE, STRIDE, ROUNDS, STEP, BATCH = 4, 16, 2, 0.1, 2048
+SIDE, STRIDE, ROUNDS, STEP, BATCH = 4, 2, 2, 0.1, 2048
 
 _SHAPES = {"embedding": (EMBEDDED + 1, WIDTH), "w1": (2 * WIDTH, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, CLASSES), "b2": (CLASSES,)}
 
@@ -103,11 +104,15 @@ def step(weights: dict[str, np.ndarray], squares: dict[str, np.ndarray], rows: n
     back = (d @ weights["w2"].T) * (1 - h * h)
     inner = back @ weights["w1"].T / SIDE
     gradient = {"w2": h.T @ d, "b2": d.sum(0), "w1": x.T @ back, "b1": back.sum(0), "embedding": np.zeros_like(weights["embedding"])}
+    # By place in the text first (places differ, so plain indexing adds right), then once by embedding row.
+    low = int(at[0]) - SIDE
+    by_place = np.zeros((int(at[-1]) + SIDE + 1 - low, WIDTH), np.float32)
     for side, sign in ((0, -1), (1, 1)):
         for j in range(1, SIDE + 1):
-            near = rows[at + sign * j]
-            for k in range(WIDTH):
-                gradient["embedding"][:, k] += np.bincount(near, inner[:, side * WIDTH + k], EMBEDDED + 1)
+            by_place[at + (sign * j - low)] += inner[:, side * WIDTH:(side + 1) * WIDTH]
+    near = rows[low:low + len(by_place)]
+    for k in range(WIDTH):
+        gradient["embedding"][:, k] = np.bincount(near, by_place[:, k], EMBEDDED + 1)
     gradient["embedding"][-1] = 0
     for k, g in gradient.items():
         squares[k] += g * g
@@ -166,12 +171,14 @@ def score(documents: DataFrame, keep: list[str], weights: dict[str, np.ndarray],
 
 
 def train(documents: DataFrame, rounds: int = ROUNDS, stride: int = STRIDE, rate: float = STEP) -> tuple[dict[str, np.ndarray], np.ndarray, np.ndarray]:
-    """Weights, class of each bucket, and log-probability within the class."""
+    """Weights, class of each bucket, and log-probability within the class. Every word is a target once."""
+    if rounds != stride:
+        raise ValueError("there must be a round for every offset, or words would be left out")
     counts = count_words(documents)
     of, within = classes(counts)
     weights = drawn(counts, of)
     for i in range(rounds):
-        weights = train_round(documents, weights, of, i * stride // rounds, stride, rate / (i + 1))
+        weights = train_round(documents, weights, of, i, stride, rate / (i + 1))
     return weights, of, within
 
 

@@ -158,6 +158,29 @@ def test_scores_prefer_text_like_the_corpus(spark):
     assert [r["log_prob"] for r in got if r["doc_id"] == 7] == [pytest.approx(want, rel=1e-4)]
 
 
+def test_registered_training_masks_every_word_once(spark, odd, monkeypatch):
+    places = []
+
+    def one_round(documents, weights, of, offset, stride, rate):
+        places.extend(range(offset, 64, stride))
+        return weights
+
+    monkeypatch.setattr(lm_scoring, "train_round", one_round)
+    lm_scoring.train(odd)
+    assert sorted(places) == list(range(64))
+    with pytest.raises(ValueError, match="every offset"):
+        lm_scoring.train(odd, rounds=2, stride=16)
+
+
+def test_registered_training_prefers_text_like_the_corpus(spark):
+    phrase = "the quick brown fox jumps over the lazy dog and runs home again".split()
+    draw = random.Random(5)
+    rows = [(i, " ".join(phrase[j % 13] for j in range(i, i + 400)), "en", "a", 1) for i in range(120)]
+    rows += [(900 + i, " ".join(draw.choice(phrase) for _ in range(400)), "en", "a", 1) for i in range(5)]
+    got = lm_scoring.pseudo_likelihood(spark.createDataFrame(rows, SCHEMA).repartition(3), ["doc_id"]).collect()
+    assert np.mean([r["mean_log_prob"] for r in got if r["doc_id"] < 900]) > np.mean([r["mean_log_prob"] for r in got if r["doc_id"] >= 900]) + 0.3
+
+
 def test_language_model_on_odd_and_empty_tables(spark, odd, empty):
     assert lm_scoring.pseudo_likelihood(odd, ["doc_id"]).count() == len(odd_rows())
     assert lm_scoring.pseudo_likelihood(empty, ["doc_id"]).count() == 0
