@@ -14,9 +14,6 @@ from emberline.workload import standins as D
 from emberline.workload.features import DAILY_SQL
 from emberline.workload.registry import query
 
-# Boosting is sequential: the 600 rounds of the default take minutes of small jobs here, whatever the rows. All rows are used.
-SHORT = N.TrainParams(n_estimators=10, max_depth=5)
-
 
 def table(spark, sf):
     weather = C.clean_weather(D.raw_weather(spark, sf, "group"), [F.desc("snapshot_id")])
@@ -48,7 +45,7 @@ SELECT count(*) AS n_rows, CAST({len(S.FEATURES)} AS INTEGER) AS n_features, tru
 WHERE date > (SELECT max(date) - 14 FROM labelled)""")
 def _(spark, sf):
     data = table(spark, sf).persist()
-    report = G.fit_and_report(data, SHORT)[1]
+    report = G.fit_and_report(data)[1]
     held = N.time_split(data)[1].agg(F.avg(F.abs(S.TARGET_COUNT)).alias("zero"))
     out = report.join(held).select("n_rows", "n_features", (F.col("mae") < F.col("zero")).alias("beats_zero"))
     return stored_once(spark, out, data)
@@ -62,7 +59,7 @@ SELECT count(*) AS n_rows, true AS rated FROM every WHERE date > (SELECT max(dat
 def _(spark, sf):
     data = all_classes(spark, sf).persist()
     train, test = N.time_split(data)
-    report = N.classifier_report(N.score(N.train_classifier(train, SHORT), test))
+    report = N.classifier_report(N.score(N.train_classifier(train), test))
     return stored_once(spark, report.select("n_rows", F.col("f1_macro").between(0.01, 1).alias("rated")), data)
 
 
@@ -71,7 +68,7 @@ SELECT province_id, CAST(hotspot_count AS BIGINT) AS today_count, date AS date_t
 FROM (SELECT *, row_number() OVER (PARTITION BY province_id ORDER BY date DESC) AS rn FROM labelled) WHERE rn = 1""")
 def _(spark, sf):
     data = table(spark, sf).persist()
-    rows = G.score_latest(N.train_regressor(N.time_split(data)[0], SHORT), data)
+    rows = G.score_latest(N.train_regressor(N.time_split(data)[0]), data)
     return stored_once(spark, rows.select(S.ENTITY, F.col("today_count").cast("long").alias("today_count"), "date_today",
                                           F.col("prediction_count").isNotNull().alias("scored")), data)
 
