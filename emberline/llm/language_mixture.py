@@ -7,9 +7,10 @@ likelihoods. The set of languages grows greedily, each time by the one that rais
 long as it raises the likelihood by more than a penalty for its additional parameter (half the logarithm of
 the number of words, and a constant per language). The language with the largest proportion is the prediction.
 
-What is gathered is one row per language and bucket, at most `languages` x `buckets`; languages beyond the
-`languages` largest of the training rows are counted, too, but not learned. Texts are read whole and stay
-where they are.
+Every language of the training rows is learned. What is gathered is one row per language and bucket that occurs in
+it. Up to `DENSE` languages the log-probabilities are one array of buckets x languages, above that sparse rows of
+the counted pairs alone, and blocks of texts get smaller as languages get more. Texts are read whole and stay where
+they are.
 
 Defined results: null text or a text without a letter gets `und` and score 0, as does every text if nothing
 was learned; repeated rows each get a row; a null id is held out like an id whose checksum says so is not (its
@@ -19,6 +20,7 @@ remainder is null: it is neither learned from nor held out); other columns are n
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 
-BUCKETS, LANGUAGES, SMOOTHING, PENALTY, ROUNDS, ORDERS = 1 << 16, 200, 0.5, 3.0, 12, (1, 2, 3, 4)
+BUCKETS, DENSE, SMOOTHING, PENALTY, ROUNDS, ORDERS = 1 << 16, 200, 0.5, 3.0, 12, (1, 2, 3, 4)
 _LETTER = regex.compile(r"\p{L}")
 
 
@@ -64,39 +66,82 @@ def ngrams(block: W.Block, buckets: int) -> tuple[W.Spans, list[tuple[np.ndarray
     return spans, out
 
 
-def learn(documents: DataFrame, buckets: int = BUCKETS, languages: int = LANGUAGES, smoothing: float = SMOOTHING) -> tuple[list[str], np.ndarray]:
-    """Languages and the log-probability of each bucket in each, from rows with text and lang."""
+@dataclass
+class Sparse:
+    """Log-probabilities of buckets in languages: `base` of a language for what it hasn't, and what a counted pair has above that."""
+
+    base: np.ndarray
+    begin: np.ndarray
+    language: np.ndarray
+    above: np.ndarray
+
+    def __len__(self) -> int:
+        return len(self.begin) - 1
+
+    def add(self, out: np.ndarray, word: np.ndarray, bucket: np.ndarray) -> None:
+        """Adds the log-probabilities of each word's n-grams to its row of `out`, some n-grams at a time."""
+        out += np.bincount(word, minlength=len(out))[:, None] * self.base
+        ends = np.cumsum(self.begin[bucket + 1] - self.begin[bucket])
+        at = 0
+        while at < len(bucket):
+            done = ends[at - 1] if at else 0
+            to = max(at + 1, int(np.searchsorted(ends, done + (1 << 22), "right")))
+            first, size = self.begin[bucket[at:to]], self.begin[bucket[at:to] + 1] - self.begin[bucket[at:to]]
+            pair = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            low, high = word[at:to].min(), word[at:to].max() + 1
+            place = (np.repeat(word[at:to], size) - low) * len(self.base) + self.language[pair]
+            out[low:high] += np.bincount(place, self.above[pair], (high - low) * len(self.base)).reshape(high - low, -1)
+            at = to
+
+
+def learn(documents: DataFrame, buckets: int = BUCKETS, dense: int = DENSE, smoothing: float = SMOOTHING) -> tuple[list[str], np.ndarray | Sparse]:
+    """All languages and the log-probability of each bucket in each, from rows with text and lang."""
     known = documents.where("text is not null and lang is not null")
-    chosen = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(languages).collect()]
-    place = {x: i for i, x in enumerate(sorted(chosen))}
+    # One row per language comes back.
+    place = {x: i for i, x in enumerate(sorted(r["lang"] for r in known.select("lang").distinct().collect()))}
     if not place:
         return [], np.zeros((buckets, 0), np.float32)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(len(place) * buckets, np.int64)
+        total = np.zeros(len(place) * buckets if len(place) <= dense else 0, np.int64)
         for batch, block in W.blocks(batches):
-            language = np.array([place.get(x, -1) for x in batch.column(1).to_pylist()])
+            language = np.array([place[x] for x in batch.column(1).to_pylist()])
             spans, grams = ngrams(block, buckets)
             for word, bucket in grams:
-                own = language[spans.doc[word]]
-                total += np.bincount(own[own >= 0] * buckets + bucket[own >= 0], minlength=len(total))
+                pair = language[spans.doc[word]] * buckets + bucket
+                if len(total):
+                    total += np.bincount(pair, minlength=len(total))
+                else:
+                    some, n = np.unique(pair, return_counts=True)
+                    yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(n)], ["place", "n"])
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], ["place", "n"])
 
     got = known.select("text", "lang").mapInArrow(count, "place long, n long").groupBy("place").agg(F.sum("n").alias("n")).toPandas()
+    if len(place) > dense:
+        language, bucket = np.divmod(got["place"].to_numpy(), buckets)
+        n = got["n"].to_numpy()
+        order = np.lexsort((language, bucket))
+        base = np.log(smoothing / (np.bincount(language, n, len(place)) + smoothing * buckets))
+        begin = np.concatenate([[0], np.cumsum(np.bincount(bucket, minlength=buckets))])
+        return sorted(place), Sparse(base, begin, language[order].astype(np.int32), np.log1p(n[order] / smoothing).astype(np.float32))
     n = np.zeros(len(place) * buckets)
     n[got["place"]] = got["n"]
     n = n.reshape(len(place), buckets).T
     return sorted(place), np.log((n + smoothing) / (n.sum(0) + smoothing * buckets)).astype(np.float32)
 
 
-def word_likelihoods(block: W.Block, table: np.ndarray) -> tuple[W.Spans, np.ndarray]:
+def word_likelihoods(block: W.Block, table: np.ndarray | Sparse) -> tuple[W.Spans, np.ndarray]:
     """Words and the mean log-likelihood over orders of each in each language."""
     spans, grams = ngrams(block, len(table))
-    out = np.zeros((len(spans.doc), table.shape[1]))
+    sparse = not isinstance(table, np.ndarray)
+    out = np.zeros((len(spans.doc), len(table.base) if sparse else table.shape[1]))
     for word, bucket in grams:
-        for j in range(table.shape[1]):
-            out[:, j] += np.bincount(word, table[bucket, j], len(spans.doc))
+        if sparse:
+            table.add(out, word, bucket)
+        else:
+            for j in range(table.shape[1]):
+                out[:, j] += np.bincount(word, table[bucket, j], len(spans.doc))
     return spans, out / len(ORDERS)
 
 
@@ -148,13 +193,14 @@ def infer(spans: W.Spans, logs: np.ndarray, n: int, penalty: float = PENALTY, ro
     return out
 
 
-def predict(documents: DataFrame, keep: list[str], languages: list[str], table: np.ndarray, penalty: float = PENALTY, rounds: int = ROUNDS) -> DataFrame:
+def predict(documents: DataFrame, keep: list[str], languages: list[str], table: np.ndarray | Sparse, penalty: float = PENALTY, rounds: int = ROUNDS) -> DataFrame:
     """The columns `keep`, lang_pred, score (the share of that language) and lang_set, all chosen languages."""
     shared = documents.sparkSession.sparkContext.broadcast(table)
 
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table, names = shared.value, np.array([*languages, "und"])
-        for batch, block in W.blocks(batches, "__text", 1 << 19):
+        # A block's array of words x languages stays as large as it is for `DENSE` languages.
+        for batch, block in W.blocks(batches, "__text", (1 << 19) * DENSE // max(DENSE, len(languages))):
             spans, logs = word_likelihoods(block, table)
             share = infer(spans, logs, block.n, penalty, rounds)
             lettered = np.array([bool(x and _LETTER.search(x)) for x in batch.column(len(keep)).to_pylist()])
