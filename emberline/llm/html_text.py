@@ -4,9 +4,10 @@ The standard library's parser streams a page's events. Text is gathered into lin
 tags; each line's ratio is its characters over the tags met in it. Lines below elements that are never
 article text (menus, footers, forms, scripts, ...), or whose class or id says so, are set apart.
 The ratios of the rest are smoothed by a Gaussian and split in two clusters by a threshold (the mean of the
-clusters' means, repeated until it stands still). Lines of the upper cluster vote with their characters for the
-container they lie in; the container with most votes is the article, and all its lines are its text, so
-that short paragraphs between long ones stay.
+clusters' means, repeated until it stands still). Lines of the upper cluster vote with their characters for all
+containers they lie in; the smallest container with nearly all votes is the article, and all its lines are its text, so
+that short paragraphs between long ones stay. Tags don't vote: an article or main element around the smallest container
+is taken in its place only if it holds little besides.
 
 Character references are decoded, white space inside a line is one space, lines are joined by one space.
 
@@ -36,6 +37,8 @@ BLOCKS = frozenset("""address article aside blockquote body br button canvas cap
     select summary table tbody td template textarea tfoot th thead title tr ul video""".split())
 #: Elements that can hold an article.
 CONTAINERS = frozenset("html body main article section div td center".split())
+#: The share of the upper cluster's characters that the article's container has at least.
+NEARLY_ALL = 0.9
 #: Elements without an end tag.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of a class, id or role that set an element apart.
@@ -154,18 +157,17 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     votes = np.zeros(len(page.parents))
     inside = np.zeros(len(page.parents))
     for (_, _, own), n, vote in zip(page.lines, size, upper, strict=True):
-        votes[own] += n * vote
         while own >= 0:
+            votes[own] += n * vote
             inside[own] += n
             own = page.parents[own]
-    # An article or main element stands for all that lies in it.
-    named = [i for i, kind in enumerate(page.kinds) if kind in ("article", "main")]
-    for i in named:
-        votes[i] = inside[i] + 0.5 * (page.kinds[i] == "article")
-    best = max(named, key=lambda i: votes[i]) if named and max(votes[i] for i in named) >= 1 else int(votes.argmax())
-    # A parent with little besides, such as a title, belongs to it.
-    while not named and (up := page.parents[best]) >= 0 and page.kinds[up] not in ("html", "body", "page") and inside[up] <= 1.3 * inside[best]:
-        best = up
+    # Containers with nearly all votes lie one in another, and later ones deeper.
+    best = int(np.flatnonzero(votes >= NEARLY_ALL * votes[0])[-1])
+    # A parent with little besides, such as a title, belongs to it; an article or main element may have somewhat more.
+    up = best
+    while (up := page.parents[up]) >= 0 and page.kinds[up] not in ("html", "body", "page"):
+        if inside[up] <= (1.5 if page.kinds[up] in ("article", "main") else 1.3) * inside[best]:
+            best = up
     below = np.zeros(len(page.parents), bool)
     for i, up in enumerate(page.parents):  # parents come first
         below[i] = i == best or up >= 0 and below[up]
