@@ -2,7 +2,8 @@
 
 The standard library's parser streams a page's events. Text is gathered into lines that end at block-level
 tags; each line's ratio is its characters over the tags met in it. Lines below elements that are never
-article text (menus, footers, forms, scripts, ...), or whose class or id says so, are set apart.
+article text (menus, footers, forms, scripts, ...), or whose class or id says so, are set apart; where only a part of a
+longer name says so (`with-sidebar`), a container that holds most of the page's text is kept.
 The ratios of the rest are smoothed by a Gaussian and split in two clusters by a threshold (the mean of the
 clusters' means, repeated until it stands still). Lines of the upper cluster vote with their characters for all
 containers they lie in; the smallest container with nearly all votes is the article, and all its lines are its text, so
@@ -28,7 +29,7 @@ from pyspark.sql import functions as F
 
 #: Elements whose text is never article text.
 APART = frozenset("""head title script style noscript template nav footer aside form button select textarea option dialog menu
-    iframe object canvas svg audio video figcaption""".split())
+    iframe object canvas svg audio video""".split())
 #: The same outside of an article.
 APART_OUTSIDE = frozenset(["header"])
 #: Elements that end a line.
@@ -36,7 +37,7 @@ BLOCKS = frozenset("""address article aside blockquote body br button canvas cap
     figure footer form frameset h1 h2 h3 h4 h5 h6 head header hr html iframe legend li main menu nav object ol optgroup option p pre section
     select summary table tbody td template textarea tfoot th thead title tr ul video""".split())
 #: Elements that can hold an article.
-CONTAINERS = frozenset("html body main article section div td center".split())
+CONTAINERS = frozenset("html body main article section div table td center".split())
 #: The share of the upper cluster's characters that the article's container has at least.
 NEARLY_ALL = 0.9
 #: Elements without an end tag.
@@ -50,13 +51,20 @@ _NAME = re.compile(r"[a-z]+")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
 
-def _set_apart(attributes: list[tuple[str, str | None]]) -> bool:
+def _set_apart(attributes: list[tuple[str, str | None]]) -> tuple[bool, bool]:
+    """Whether the element is set apart, and whether only by a name that is part of a longer one, as in `with-sidebar`."""
+    part = False
     for key, value in attributes:
-        if value and key in ("class", "id", "role") and not NAMES.isdisjoint(_NAME.findall(_CAMEL.sub(" ", value).lower())):
-            return True
+        if value and key in ("class", "id", "role"):
+            for name in value.split():
+                words = _NAME.findall(_CAMEL.sub(" ", name).lower())
+                if not NAMES.isdisjoint(words):
+                    if len(words) == 1:
+                        return True, False
+                    part = True
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and value and "display:none" in value.replace(" ", "").lower():
-            return True
-    return False
+            return True, False
+    return part, part
 
 
 class _Lines(HTMLParser):
@@ -70,6 +78,7 @@ class _Lines(HTMLParser):
         self.containers: list[int] = [0]
         self.parents: list[int] = [-1]
         self.kinds: list[str] = ["page"]
+        self.doubtful: list[int] = []
         self.lines: list[tuple[str, int, int]] = []
 
     def end_line(self) -> None:
@@ -85,8 +94,12 @@ class _Lines(HTMLParser):
         self.tags += 1
         if tag in VOID:
             return
-        apart = (tag in APART or tag in APART_OUTSIDE and not self.articles
-                 or bool(attributes) and tag not in ("html", "body", "main") and _set_apart(attributes))
+        apart = tag in APART or tag in APART_OUTSIDE and not self.articles
+        maybe = False
+        if not apart and attributes and tag not in ("html", "body", "main"):
+            apart, maybe = _set_apart(attributes)
+            if maybe and tag in CONTAINERS:
+                apart = False
         if not apart and tag not in CONTAINERS:
             return
         own = -1
@@ -94,6 +107,8 @@ class _Lines(HTMLParser):
             own = len(self.parents)
             self.parents.append(self.containers[-1])
             self.kinds.append("apart" if apart else tag)
+            if maybe:
+                self.doubtful.append(own)
             self.containers.append(own)
         self.open.append((tag, apart, own))
         self.apart += apart
@@ -124,6 +139,27 @@ class _Lines(HTMLParser):
             self.parts.append(data)
 
 
+def without_doubtful(page: _Lines) -> None:
+    """Takes away the lines of containers with a telling part of a name, but for those that hold most of the page's text."""
+    inside = [0] * len(page.parents)
+    for text, _, own in page.lines:
+        while own >= 0:
+            inside[own] += len(text)
+            own = page.parents[own]
+    gone = [False] * len(page.parents)
+    doubtful = set(page.doubtful)
+    for i, up in enumerate(page.parents):  # parents come first
+        gone[i] = up >= 0 and gone[up] or i in doubtful and 2 * inside[i] <= inside[0]
+    lines, before = [], 0
+    for text, tags, own in page.lines:
+        if gone[own]:
+            before += tags
+        else:
+            lines.append((text, tags + before, own))
+            before = 0
+    page.lines = lines
+
+
 def smoothed(ratios: np.ndarray, sigma: float) -> np.ndarray:
     reach = int(np.ceil(2 * sigma))
     kernel = np.exp(-0.5 * (np.arange(-reach, reach + 1) / sigma) ** 2)
@@ -141,6 +177,9 @@ def threshold(values: np.ndarray) -> float:
         if new == at:
             break
         at = new
+    # Two clusters that lie near each other are one: of few lines alike, none is left out.
+    if values[values < at].mean() > 0.5 * values[values >= at].mean():
+        return float(values.min())
     return float(at)
 
 
@@ -149,6 +188,8 @@ def main_text(html: str, sigma: float = 1.0) -> str:
     page.feed(html)
     page.close()
     page.end_line()
+    if page.doubtful:
+        without_doubtful(page)
     if not page.lines:
         return ""
     size = np.array([len(text) for text, _, _ in page.lines], float)

@@ -23,3 +23,24 @@ def test_page_without_tags_of_an_article():
     page = f"<body>{LINKS}<div><h1>Head</h1>{paragraphs('first')}<p>Ok.</p>{paragraphs('second')}</div>{LINKS}</body>"
     got = html_text.main_text(page)
     assert got.startswith("Head first") and "Ok." in got and "second" in got and "Three" not in got
+
+
+def test_an_article_in_siblings_is_whole():
+    for tag in ("section", "div", "article"):
+        page = f"<body>{LINKS}<div><{tag}>{paragraphs('first', 'second')}</{tag}><{tag}>{paragraphs('third')}</{tag}></div>{LINKS}</body>"
+        got = html_text.main_text(page)
+        assert all(w in got for w in ("first", "second", "third")) and "Three" not in got
+    cells = f"<body><table><tr><td>{paragraphs('first')}</td><td>{paragraphs('second')}</td></tr></table></body>"
+    assert "first" in html_text.main_text(cells) and "second" in html_text.main_text(cells)
+
+
+def test_part_of_a_name_does_not_remove_the_article():
+    for name in ("content with-sidebar", "post share-enabled", "reader-view"):
+        page = f'<body>{LINKS}<div class="{name}">{paragraphs("first", "second")}<div class="share-buttons"><p>Share this</p></div></div>{LINKS}</body>'
+        got = html_text.main_text(page)
+        assert "first" in got and "second" in got and "Share this" not in got
+
+
+def test_captions_stay():
+    page = f"<article>{paragraphs('first')}<figure><img src='x'><figcaption>The caption.</figcaption></figure>{paragraphs('second')}</article>"
+    assert "The caption." in html_text.main_text(page)
