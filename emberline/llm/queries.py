@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import html_text, language_mixture, lm_scoring, mixing, multiset_hash, near_dedup, packing, quality_classifier, quality_rules, substring_dedup
+from . import (html_text, language_mixture, line_dedup, lm_scoring, mixing, multiset_hash, near_dedup, packing, prefix_trie, quality_classifier, quality_rules,
+               substring_dedup, vector_codes)
 from .registry import ORACLE, QUERIES, query, table
 
 
@@ -193,3 +194,101 @@ def op8_multiset_fingerprints(spark, sf_dir):
 @query("op7_masked_lm_scores")
 def op7_masked_lm_scores(spark, sf_dir):
     return lm_scoring.pseudo_likelihood(table(spark, sf_dir, "documents"), ["doc_id"])
+
+
+@query("op11_line_dedup", r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), l AS (
+  SELECT r, doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM d
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM l
+), shared AS (
+  SELECT key, max(doc_id) AS keeper FROM k WHERE length(key) >= 20 AND doc_id IS NOT NULL GROUP BY key HAVING count(DISTINCT doc_id) >= 3
+), judged AS (
+  SELECT k.*, s.key IS NOT NULL AND k.doc_id <> s.keeper AS gone FROM k LEFT JOIN shared s ON s.key = k.key
+)
+SELECT any_value(doc_id) AS doc_id, count(*) AS n_lines, count(*) FILTER (coalesce(gone, false)) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT coalesce(gone, false)), '')) AS kept_sha256
+FROM judged GROUP BY r
+""")
+def op11_line_dedup(spark, sf_dir):
+    return line_dedup.drop_shared_lines(table(spark, sf_dir, "documents"), ["doc_id"], with_text=False)
+
+
+def _lloyd_sql(rounds: int = vector_codes.ROUNDS) -> str:
+    """Every round as two tables: who goes where, and the entries after it."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (
+  SELECT x.row, x.p, x.w, min(list_sum(list_transform(list_zip(x.w, b.w), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT * 16 + b.e) AS m
+  FROM x JOIN b{i} b ON b.p = x.p GROUP BY x.row, x.p, x.w)""")
+        if i < rounds:
+            steps.append(f"""b{i + 1} AS MATERIALIZED (
+  SELECT o.p, o.e, coalesce(n.w, o.w) AS w FROM b{i} o LEFT JOIN (
+    SELECT p, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY j) AS w FROM (
+      SELECT p, m % 16 AS e, j, sum(w[j])::BIGINT AS s, count(*) AS n FROM a{i}, (SELECT unnest(range(1, (SELECT width + 1 FROM shape))) AS j) GROUP BY p, m % 16, j)
+    GROUP BY p, e) n ON n.p = o.p AND n.e = o.e)""")
+    return f"""
+WITH v0 AS (
+  SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS row, vec_id, label, embedding FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda z: z IS NULL OR NOT isfinite(z))) = 0
+), shape AS (
+  SELECT len(embedding) // 8 AS width, len(embedding) AS size FROM v0 WHERE row = (SELECT min(row) FROM v0) AND len(embedding) > 0 AND len(embedding) % 8 = 0
+), v AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY row) AS row, vec_id, label, list_transform(embedding, lambda z: floor(4096 * z::DOUBLE)::BIGINT) AS v
+  FROM v0 WHERE len(embedding) = (SELECT size FROM shape)
+), x AS MATERIALIZED (
+  SELECT row, p, v[p * (SELECT width FROM shape) + 1:(p + 1) * (SELECT width FROM shape)] AS w FROM v, (SELECT unnest(range(0, 8)) AS p)
+), b0 AS MATERIALIZED (SELECT p, row - 1 AS e, w FROM x WHERE row <= 16
+), {", ".join(steps)}, coded AS (
+  SELECT row, string_agg(lpad(lower(to_hex(m % 16)), 2, '0'), '' ORDER BY p) AS code, sum(m // 16)::BIGINT AS error FROM a{rounds} GROUP BY row
+), joined AS (
+  SELECT v.vec_id, v.label, c.code, c.error FROM coded c JOIN v USING (row)
+), books AS (
+  SELECT sha256(string_agg(z::VARCHAR, ',' ORDER BY p, e, j)) AS h FROM (SELECT p, e, unnest(w) AS z, unnest(range(1, len(w) + 1)) AS j FROM b{rounds})
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, (SELECT h FROM books) AS codebooks_sha256 FROM joined
+"""
+
+
+@query("op12_vector_codes", _lloyd_sql())
+def op12_vector_codes(spark, sf_dir):
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
+@query("op13_prefix_trie", r"""
+WITH t AS (
+  SELECT conv_id AS c, coalesce(role, '') AS r, coalesce(text, '') AS x,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL
+), ids AS (
+  -- h: CRC-32 of the decimal id, bit by bit
+  SELECT c, c - c % 100 AS base, xor(list_reduce(list_concat([4294967295::BIGINT], range(0, 8 * length(c::VARCHAR))), lambda a, i:
+           xor((CASE WHEN i % 8 = 0 THEN xor(a, ascii(substr(c::VARCHAR, i // 8 + 1, 1))::BIGINT) ELSE a END) >> 1,
+               CASE WHEN (CASE WHEN i % 8 = 0 THEN xor(a, ascii(substr(c::VARCHAR, i // 8 + 1, 1))::BIGINT) ELSE a END) & 1 = 1 THEN 3988292384::BIGINT ELSE 0 END)),
+         4294967295::BIGINT) % 6 AS h FROM (SELECT DISTINCT c FROM t)
+), turns AS (
+  SELECT i.c, t.pos AS place, t.r, t.x FROM ids i JOIN t ON t.c = i.base AND t.pos <= i.h
+  UNION ALL SELECT i.c, t.pos + 6, t.r, t.x FROM ids i JOIN t ON t.c = i.c AND t.pos > i.h
+), seqs AS (
+  SELECT i.c, coalesce(s.s, []) AS s, coalesce(len(s.s), 0) AS n FROM ids i
+  LEFT JOIN (SELECT c, list({'r': r, 'x': x} ORDER BY place) AS s FROM turns GROUP BY c) s USING (c)
+), steps AS (
+  SELECT c, n, d, s[1:d] AS prefix FROM (SELECT c, s, n, unnest(range(0, n + 1)) AS d FROM seqs)
+), nodes AS (
+  SELECT prefix, d AS depth, min(c) AS conv_id, count(*) AS n_convs, coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (n = d), '') AS ends
+  FROM steps GROUP BY prefix, d
+), kids AS (
+  SELECT prefix[1:depth - 1] AS prefix, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY 1
+), own AS (
+  SELECT n.*, coalesce(k.n, 0) AS n_children, (n_convs - 1) * coalesce(length(n.prefix[depth].x), 0) AS saved FROM nodes n LEFT JOIN kids k ON k.prefix = n.prefix
+), up AS (
+  SELECT prefix[1:a] AS prefix, sum(saved)::BIGINT AS saved, count(*) FILTER (n_children = 0) AS leaves
+  FROM (SELECT prefix, saved, n_children, unnest(range(0, depth + 1)) AS a FROM own) GROUP BY 1
+)
+SELECT o.conv_id, o.depth, q.conv_id AS parent_conv_id, o.n_convs, o.n_children, u.leaves AS n_leaves, u.saved AS saved_tokens, sha256(o.ends) AS ends_sha256
+FROM own o JOIN up u ON u.prefix = o.prefix LEFT JOIN nodes q ON o.depth > 0 AND q.prefix = o.prefix[1:o.depth - 1]
+""")
+def op13_prefix_trie(spark, sf_dir):
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
