@@ -234,9 +234,13 @@ def link_forest(k: int, percent: int):
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []
         for group in groups(batches, 3):
-            block = W.block_of(group.column(4))
-            doc, value = shingle_sets(block, k)
-            found.append((group.column(3).to_numpy(), link_sets(doc, value, block.n, percent)))
+            docs, values, before = [np.zeros(0, np.int64)], [np.zeros(0, W.U)], 0
+            for part, block in W.blocks(iter([group])):
+                doc, value = shingle_sets(block, k)
+                docs.append(doc + before)
+                values.append(value)
+                before += part.num_rows
+            found.append((group.column(3).to_numpy(), link_sets(np.concatenate(docs), np.concatenate(values), before, percent)))
             if len(found) > 500:
                 yield _edges(found)
                 found = []

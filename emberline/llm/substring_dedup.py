@@ -6,11 +6,13 @@ string (their words joined by a space) to the bucket that the minimiser names; e
 equal minimisers, so they meet there. Sorting a bucket's windows by hash brings equal ones together,
 and their bytes are compared, so counts are exact. Runs of repeated windows go back by document.
 
-Skew. A minimiser with more than `hot` super-k-mers has its windows sent one by one, dealt by the
-window's own hash, so that a passage found in a third of all documents is spread over the buckets.
-Equal strings of one map task travel once, marked as repeated; the other places where they occur need no
-answer and are handed on as they are, so a bucket gets at most one copy per map task.
-Buckets hold about `per_bucket` windows whatever the input's size.
+Skew. Windows whose minimiser has more than `hot` super-k-mers go by a second one, of `second` words, and
+still travel packed; where that is frequent, too, a window goes by its own hash. Which values are frequent
+is told by bitmaps of a fixed size, so that nothing grows with the corpus; a value that shares the bit of a
+frequent one is only dealt otherwise. Equal strings of one map task travel once, marked as repeated; the other
+places where they occur need no answer and are handed on as they are, so a bucket gets at most one copy per map task.
+Buckets hold about `per_bucket` windows, whatever the input's size, and are counted a piece at a time: only
+their strings, and a hash and a place per window, are held together.
 
 Defined results: null text is empty; texts shorter than a window are left as they are; repeated rows
 are documents of their own, so both lose what they share; a null id is an id like any other; other
@@ -34,33 +36,40 @@ from . import words as W
 from .lookup import parted
 from .tables import stored
 
-LENGTH, MINIMISER, HOT, PER_BUCKET = 35, 5, 8192, 200_000
-FLUSH_BYTES = 16 << 20
+LENGTH, MINIMISER, SECOND, HOT, PER_BUCKET = 35, 5, 20, 8192, 150_000
+FLUSH_BYTES, PIECE_BYTES, BITS = 16 << 20, 1 << 18, 22
 _KEYS = ("__k1", "__k2")
 
 
-def super_kmers(block: W.Block, k: int, m: int):
-    """Words of a block, first word and hash of each window, and for each super-k-mer: its first window
-    (an index into the windows), number of windows, minimiser."""
-    spans = W.words(block)
-    hashed = W.hashes(W.prefix(block), spans.start, spans.end)
-    n = len(spans.doc) - k + 1
-    if n <= 0:
-        none = np.zeros(0, np.int64)
-        return spans, none, none.astype(W.U), none, none, none.astype(W.U)
-    first, small = W.windows(spans.doc, hashed, m)
-    low = np.full(len(spans.doc), np.iinfo(np.uint64).max, W.U)
+def _least(doc: np.ndarray, hashed: np.ndarray, at: np.ndarray, k: int, m: int) -> np.ndarray:
+    """For the windows of k words that begin at `at`, the smallest hash among their runs of m words."""
+    first, small = W.windows(doc, hashed, m)
+    low = np.full(len(doc), np.iinfo(np.uint64).max, W.U)
     low[first] = small
     reach = 1
     while 2 * reach <= k - m + 1:
         low[:-reach] = np.minimum(low[:-reach], low[reach:])
         reach *= 2
-    at, whole = W.windows(spans.doc, hashed, k)
-    least = np.minimum(low[at], low[at + k - m + 1 - reach])
+    return np.minimum(low[at], low[at + k - m + 1 - reach])
+
+
+def _runs(at: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First window and number of windows of each run of consecutive windows with one key."""
     new = np.ones(len(at), bool)
-    new[1:] = (at[1:] != at[:-1] + 1) | (least[1:] != least[:-1])
+    new[1:] = (at[1:] != at[:-1] + 1) | (key[1:] != key[:-1])
     begin = np.flatnonzero(new)
-    return spans, at, whole, begin, np.diff(np.append(begin, len(at))), least[begin]
+    return begin, np.diff(np.append(begin, len(at)))
+
+
+def _windows(block: W.Block, k: int) -> tuple[W.Spans, np.ndarray, np.ndarray]:
+    """Words of a block, their hashes, and the first word of each window."""
+    spans = W.words(block)
+    n = max(0, len(spans.doc) - k + 1)
+    return spans, W.hashes(W.prefix(block), spans.start, spans.end), np.flatnonzero(spans.doc[:n] == spans.doc[len(spans.doc) - n:])
+
+
+def _bit(value: np.ndarray) -> np.ndarray:
+    return (W.mix(value) >> W.U(64 - BITS)).astype(np.int64)
 
 
 def _keyed(documents: DataFrame) -> DataFrame:
@@ -68,23 +77,34 @@ def _keyed(documents: DataFrame) -> DataFrame:
     return documents.withColumns({_KEYS[0]: F.xxhash64("doc_id", "text"), _KEYS[1]: F.xxhash64(F.lit(7), "text", "doc_id")})
 
 
-def hot_minimisers(documents: DataFrame, k: int, m: int, hot: int) -> tuple[int, np.ndarray]:
-    """Number of windows, and the minimisers of more than `hot` super-k-mers: at most 1 / `hot` of all."""
+def frequent(documents: DataFrame, k: int, m: int, second: int, hot: int) -> tuple[int, list[np.ndarray]]:
+    """Number of windows, and for either kind of minimiser a bitmap of 2^22 bits with those of more than `hot` super-k-mers."""
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            minimisers, sizes = [np.zeros(0, W.U)], 0
+            found, sizes = ([np.zeros(0, W.U)], [np.zeros(0, W.U)]), 0
             for _, block in W.blocks(iter([batch])):
-                *_, n, least = super_kmers(block, k, m)
-                minimisers.append(least)
-                sizes += int(n.sum())
-            value, times = np.unique(np.concatenate(minimisers), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(value.view(np.int64)), pa.array(times)], ["minimiser", "n"])
-            yield pa.RecordBatch.from_arrays([pa.array([None], pa.int64()), pa.array([sizes])], ["minimiser", "n"])
-
-    found = (documents.select("text").mapInArrow(count, "minimiser long, n long").groupBy("minimiser").agg(F.sum("n").alias("n"))
-             .where((F.col("n") > hot) | F.col("minimiser").isNull()).collect())
-    total = sum(r["n"] for r in found if r["minimiser"] is None)
-    return total, np.sort(np.array([r["minimiser"] for r in found if r["minimiser"] is not None], np.int64).view(W.U))
+                spans, hashed, at = _windows(block, k)
+                sizes += len(at)
+                if len(at):
+                    for kind, size in enumerate((m, second)):
+                        least = _least(spans.doc, hashed, at, k, size)
+                        found[kind].append(least[_runs(at, least)[0]])
+            for kind, values in enumerate(found):
+                value, times = np.unique(np.concatenate(values), return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), kind, np.int32)), pa.array(value.view(np.int64)), pa.array(_bit(value)), pa.array(times)], names)
+            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array([0]), pa.array([sizes])], names)
+
+    names = ["kind", "minimiser", "bit", "n"]
+    counted = (documents.select("text").mapInArrow(count, "kind int, minimiser long, bit long, n long").groupBy("kind", "minimiser", "bit").agg(F.sum("n").alias("n"))
+               .where((F.col("n") > hot) | (F.col("kind") == 2)))
+    rows = (counted.select("kind", (F.col("bit") + 1).alias("p"), "n").groupBy("kind", F.bitmap_bucket_number("p").alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"), F.max("n").alias("n")).collect())
+    maps = [np.zeros(1 << BITS, bool), np.zeros(1 << BITS, bool)]
+    for r in rows:
+        if r["kind"] < 2:
+            bits = np.unpackbits(np.frombuffer(r["bits"], np.uint8), bitorder="little")
+            maps[r["kind"]][(r["k"] - 1) * len(bits):r["k"] * len(bits)] = bits
+    return sum(r["n"] for r in rows if r["kind"] == 2), maps
 
 
 PACKED = ("bucket int, packed binary, k1 array<long>, k2 array<long>, first array<int>, twice array<boolean>, "
@@ -107,6 +127,7 @@ class _Packer:
         if at < len(self.buckets):
             self.twice[at] = True
             self.same.append((*place, n))
+            self.bytes += 200
         else:
             self.buckets.append(bucket)
             self.places.append(place)
@@ -137,17 +158,32 @@ _PACKED_TYPES = [pa.int32(), pa.binary(), *[pa.list_(x) for x in (pa.int64(), pa
                                                                   pa.int64(), pa.int64(), pa.int32(), pa.int32())]]
 
 
-def pack(keyed: DataFrame, k: int, m: int, hot: np.ndarray, n_buckets: int) -> DataFrame:
+def super_kmers(block: W.Block, k: int, m: int, second: int, maps: list[np.ndarray]):
+    """Words of a block; first word, number of windows and key of each super-k-mer."""
+    spans, hashed, at = _windows(block, k)
+    if not len(at):
+        return spans, at, at, at.astype(W.U)
+    key = _least(spans.doc, hashed, at, k, m)
+    many = maps[0][_bit(key)]
+    if many.any():
+        longer = _least(spans.doc, hashed, at, k, second)
+        key[many] = W.mix(longer[many] + W.U(1))
+        many &= maps[1][_bit(longer)]
+        if many.any():
+            key[many] = W.mix(W.windows(spans.doc, hashed, k)[1][many] + W.U(2))
+    begin, n = _runs(at, key)
+    return spans, at[begin], n, key[begin]
+
+
+def pack(keyed: DataFrame, k: int, m: int, second: int, maps: list[np.ndarray], n_buckets: int) -> DataFrame:
     """Each document's super-k-mers as packed strings, gathered by bucket within a map task."""
+    shared = keyed.sparkSession.sparkContext.broadcast([np.packbits(x) for x in maps])
+
     def to_buckets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        packer = _Packer()
+        packer, bits = _Packer(), [np.unpackbits(x).astype(bool) for x in shared.value]
         for batch, block in W.blocks(batches):
-            spans, at, whole, begin, n, least = super_kmers(block, k, m)
-            apart = np.isin(least, hot)
-            lone = np.repeat(apart, n)  # windows that travel alone
-            first = np.concatenate([at[begin[~apart]], at[lone]])
-            size = np.concatenate([n[~apart], np.ones(int(lone.sum()), np.int64)])
-            bucket = np.concatenate([least[~apart], whole[lone]]) % W.U(n_buckets)
+            spans, first, size, key = super_kmers(block, k, m, second, bits)
+            bucket = key % W.U(n_buckets)
             text, start, end = W.joined(block, spans)
             edges = W.doc_edges(spans, block.n)
             doc = spans.doc[first]
@@ -164,29 +200,56 @@ def pack(keyed: DataFrame, k: int, m: int, hot: np.ndarray, n_buckets: int) -> D
     return keyed.select("text", *_KEYS).mapInArrow(to_buckets, PACKED)
 
 
-def repeated_windows(texts: list[bytes], weight: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+def _pieces(texts: list[bytes], most: int) -> Iterator[tuple[int, int]]:
+    begin, size = 0, 0
+    for i, text in enumerate(texts):
+        if size and size + len(text) > most:
+            yield begin, i
+            begin, size = i, 0
+        size += len(text)
+    yield begin, len(texts)
+
+
+def repeated_windows(texts: list[bytes], weight: np.ndarray, k: int, piece: int = PIECE_BYTES) -> tuple[np.ndarray, np.ndarray]:
     """String and first word of every window that occurs more than once among the strings, in order."""
-    block = W.Block(np.frombuffer(b"".join(texts), np.uint8), np.cumsum([0, *map(len, texts)]))
-    spans = W.words(block)
-    first, hashed = W.windows(spans.doc, W.hashes(W.prefix(block), spans.start, spans.end), k)
+    found = []
+    for begin, end in _pieces(texts, piece):
+        block = W.Block(np.frombuffer(b"".join(texts[begin:end]), np.uint8), np.cumsum([0, *map(len, texts[begin:end])]))
+        spans = W.words(block)
+        first, value = W.windows(spans.doc, W.hashes(W.prefix(block), spans.start, spans.end), k)
+        doc = spans.doc[first]
+        found.append((value, doc + begin, first - W.doc_edges(spans, block.n)[doc], spans.start[first] - block.offsets[doc], spans.end[first + k - 1] - block.offsets[doc]))
+    hashed, doc, first, start, end = (np.concatenate(x) for x in zip(*found, strict=True))
+    del found
     order = np.argsort(hashed, kind="stable")
     h = hashed[order]
     edges = np.flatnonzero(np.append(True, h[1:] != h[:-1])) if len(h) else np.zeros(0, np.int64)
-    many = np.repeat(np.diff(np.append(edges, len(h))) > 1, np.diff(np.append(edges, len(h))))
-    found = weight[spans.doc[first]] > 1
-    data = block.data.tobytes()
-    some = order[many]
-    if len(some):
-        at = [data[a:b] for a, b in zip(spans.start[first[some]].tolist(), spans.end[first[some] + k - 1].tolist(), strict=True)]
-        if all(x == y or p != q for x, y, p, q in zip(at, at[1:], hashed[some].tolist(), hashed[some][1:].tolist(), strict=False)):
-            found[some] = True
-        else:  # two different windows with one hash
-            times: Counter = Counter()
-            for text, w in zip(at, weight[spans.doc[first[some]]].tolist(), strict=True):
-                times[text] += w
-            found[some] |= np.array([times[text] > 1 for text in at])
-    edges = W.doc_edges(spans, block.n)
-    return spans.doc[first[found]], first[found] - edges[spans.doc[first[found]]]
+    times = np.diff(np.append(edges, len(h)))
+    some = order[np.repeat(times > 1, times)]
+    out = weight[doc] > 1
+
+    def windows(places: np.ndarray) -> Iterator[bytes]:
+        for i, a, b in zip(doc[places].tolist(), start[places].tolist(), end[places].tolist(), strict=True):
+            yield texts[i][a:b]
+
+    for a in range(0, len(some), 4096):
+        part = some[a:a + 4097]  # one more, so that each is compared with its successor
+        value, last = hashed[part], None
+        for same, window in zip(np.append(False, value[1:] == value[:-1]).tolist(), windows(part), strict=True):
+            if same and window != last:
+                break
+            last = window
+        else:
+            continue
+        break
+    else:
+        out[some] = True
+        return doc[out], first[out]
+    counts: Counter = Counter()  # two different windows with one hash
+    for w, window in zip(weight[doc[some]].tolist(), windows(some), strict=True):
+        counts[window] += w
+    out[some] |= np.array([counts[window] > 1 for window in windows(some)])
+    return doc[out], first[out]
 
 
 RUNS = "k1 long, k2 long, first int, n int"
@@ -194,20 +257,18 @@ RUNS = "k1 long, k2 long, first int, n int"
 
 def count_bucket(k: int):
     def count(bucket: pa.Table) -> pa.Table:
-        texts, k1, k2, base, twice = [], [], [], [], []
-        unpack = zstandard.ZstdDecompressor()
-        for packed, *places in zip(*(bucket.column(x).to_pylist() for x in ("packed", "k1", "k2", "first", "twice")), strict=True):
-            if packed is not None:
-                texts += unpack.decompress(packed).split(b"\n")
-                for own, some in zip((k1, k2, base, twice), places, strict=True):
-                    own += some
+        unpack, texts = zstandard.ZstdDecompressor(), []
+        for packed in bucket.column("packed"):
+            if packed.is_valid:
+                texts += unpack.decompress(packed.as_buffer()).split(b"\n")
+        k1, k2, base, twice = (pc.list_flatten(bucket.column(x)).to_numpy() for x in ("k1", "k2", "first", "twice"))
         # Strings that several map tasks sent are one string here.
-        at, first = repeated_windows(texts, np.array(twice, np.int64) + 1, k)
+        at, first = repeated_windows(texts, twice.astype(np.int64) + 1, k)
         new = np.ones(len(at), bool)
         new[1:] = (at[1:] != at[:-1]) | (first[1:] != first[:-1] + 1)
         begin = np.flatnonzero(new)
         own = at[begin]
-        runs = [np.array(k1, np.int64)[own], np.array(k2, np.int64)[own], np.array(base, np.int64)[own] + first[begin],
+        runs = [k1[own], k2[own], base[own] + first[begin],
                 np.diff(np.append(begin, len(at)))]
         handed = [pc.list_flatten(bucket.column(x)).to_numpy() for x in ("same_k1", "same_k2", "same_first", "same_n")]
         return pa.table([pa.array(np.concatenate(x), t) for x, t in zip(zip(runs, handed, strict=True),
@@ -220,14 +281,15 @@ RESULT = "__words long, __removed long, __sha256 string, __kept string"
 
 
 def remove_repeats(documents: DataFrame, keep: list[str], with_text: bool, length: int = LENGTH, minimiser: int = MINIMISER,
-                   hot: int = HOT, per_bucket: int = PER_BUCKET) -> DataFrame:
+                   second: int = SECOND, hot: int = HOT, per_bucket: int = PER_BUCKET) -> DataFrame:
     """The columns `keep` of every document and n_words, n_removed, kept_sha256; `kept_text` (the words
     left, joined by one space) only where `with_text` asks for it."""
     k = length
-    total, hot_ones = hot_minimisers(documents, k, minimiser, hot)
+    second = min(second, k)
+    total, maps = frequent(documents, k, minimiser, second, hot)
     n_buckets = max(1, -(-total // per_bucket))
     keyed = _keyed(documents)
-    runs = stored(pack(keyed, k, minimiser, hot_ones, n_buckets).groupBy("bucket").applyInArrow(count_bucket(k), RUNS)
+    runs = stored(pack(keyed, k, minimiser, second, maps, n_buckets).groupBy("bucket").applyInArrow(count_bucket(k), RUNS)
                   .groupBy("k1", "k2").agg(F.collect_list(F.struct("first", "n")).alias("__runs")), "runs")
     # Documents without a repeated window stay where they are read.
     whole, some = parted(keyed.select(*keep, F.col("text").alias("__text"), *_KEYS), runs.select(F.col("k1").alias(_KEYS[0])), _KEYS[0])

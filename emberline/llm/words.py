@@ -8,6 +8,8 @@ code points. A range's hash is a polynomial over its bytes modulo 2^64, mixed.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -18,7 +20,12 @@ import pyarrow.compute as pc
 U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WORD_BASE = 0xD1342543DE82EF95 | 1
-_POWERS: dict[int, np.ndarray] = {}
+_KEPT_POWERS = 1 << 19
+
+
+def _process_wide(name: str) -> dict:
+    """A dict of this process. Functions travel by value, so what a module keeps in itself would be kept again by every task."""
+    return sys.modules.setdefault(f"_emberline_{name}", types.ModuleType(name)).__dict__
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -35,12 +42,15 @@ _BYTES = mix(np.arange(1, 257, dtype=U) * U(_BASE)) | U(1)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    """base^0 .. base^(n-1) modulo 2^64, kept for the next call."""
-    have = _POWERS.get(base)
+    """base^0 .. base^(n-1) modulo 2^64, at least; up to 2^19 of them are kept for the next call."""
+    kept = _process_wide("powers")
+    have = kept.get(base)
     if have is None or len(have) < n:
         have = np.full(max(n, 1 << 16), base, U)
         have[0] = 1
-        _POWERS[base] = have = np.cumprod(have, dtype=U)
+        have = np.cumprod(have, dtype=U)
+        if len(have) <= _KEPT_POWERS:
+            kept[base] = have
     return have
 
 
