@@ -5,8 +5,8 @@ hashes of their keys; the distinct documents of a hash are counted; a key of at
 in at least `min_docs` documents loses all its lines but those of the largest doc_id that holds it. What is left of
 a text is put together by position.
 
-Skew. A map task sends a key once for each batch, with the ids that hold it there, so a line that is found in a
-third of all documents is one narrow row per batch. Distinct documents are counted by (key, id) first, which spreads
+Skew. A map task sends a key once for each 262,144 lines, with the ids that hold it there, so a line that is found in a
+third of all documents is one narrow row for as many. Distinct documents are counted by (key, id) first, which spreads
 such a line evenly, and combined before the second shuffle. Only documents that lose a line are moved.
 
 Defined results: a null or empty text is one empty line; a null id counts for no key and loses no line; rows that
@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .lookup import parted
-from .tables import stored
+from .tables import bounded_batches, stored
 
 MIN_CHARS, MIN_DOCS = 20, 3
 KEYS = "h1 long, h2 long, ids array<long>"
@@ -65,27 +65,31 @@ def keyed_lines(block: W.Block) -> Lines:
 
 
 def line_keys(documents: DataFrame, min_chars: int) -> DataFrame:
-    """h1, h2, ids: the keys of each batch and the distinct ids that hold them there."""
+    """h1, h2, ids: the keys of a run of lines and the distinct ids that hold them there."""
+    def gathered(found: list[tuple]) -> pa.RecordBatch:
+        x, y, z = (np.concatenate(values) for values in zip((np.zeros(0, W.U), np.zeros(0, W.U), np.zeros(0, np.int64)), *found, strict=True))
+        order = np.lexsort((z, y, x))
+        x, y, z = x[order], y[order], z[order]
+        other = np.ones(len(x), bool)
+        other[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
+        new = other.copy()
+        new[1:] |= z[1:] != z[:-1]
+        x, y, z, other = x[new], y[new], z[new], other[new]
+        begin = np.flatnonzero(other)
+        lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(z)), pa.int32()), pa.array(z))
+        return pa.RecordBatch.from_arrays([pa.array(x[begin].view(np.int64)), pa.array(y[begin].view(np.int64)), lists], ["h1", "h2", "ids"])
+
     def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            h1, h2, ids = [np.zeros(0, W.U)], [np.zeros(0, W.U)], [np.zeros(0, np.int64)]
-            for part, block in W.blocks(iter([batch])):
-                found = keyed_lines(block)
-                long = found.chars >= min_chars
-                h1.append(found.h1[long])
-                h2.append(found.h2[long])
-                ids.append(part.column(0).to_numpy()[found.doc[long]])
-            x, y, z = np.concatenate(h1), np.concatenate(h2), np.concatenate(ids)
-            order = np.lexsort((z, y, x))
-            x, y, z = x[order], y[order], z[order]
-            other = np.ones(len(x), bool)
-            other[1:] = (x[1:] != x[:-1]) | (y[1:] != y[:-1])
-            new = other.copy()
-            new[1:] |= z[1:] != z[:-1]
-            x, y, z, other = x[new], y[new], z[new], other[new]
-            begin = np.flatnonzero(other)
-            lists = pa.ListArray.from_arrays(pa.array(np.append(begin, len(z)), pa.int32()), pa.array(z))
-            yield pa.RecordBatch.from_arrays([pa.array(x[begin].view(np.int64)), pa.array(y[begin].view(np.int64)), lists], ["h1", "h2", "ids"])
+        found, held = [], 0
+        for part, block in W.blocks(batches):
+            lines = keyed_lines(block)
+            long = lines.chars >= min_chars
+            found.append((lines.h1[long], lines.h2[long], part.column(0).to_numpy()[lines.doc[long]]))
+            held += len(found[-1][0])
+            if held > 1 << 18:
+                yield gathered(found)
+                found, held = [], 0
+        yield gathered(found)
 
     return documents.where("doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(explode, KEYS)
 
@@ -103,6 +107,7 @@ def _mark(doc: np.ndarray, h1: np.ndarray, h2: np.ndarray) -> np.ndarray:
 
 def drop_shared_lines(documents: DataFrame, keep: list[str], with_text: bool, min_chars: int = MIN_CHARS, min_docs: int = MIN_DOCS) -> DataFrame:
     """The columns `keep` of every document and n_lines, n_dropped, kept_sha256; `kept_text` only where `with_text` asks for it."""
+    bounded_batches(documents.sparkSession)
     keys = stored(line_keys(documents, min_chars), "line-keys")
     gone = stored(keys.join(shared_keys(keys, min_docs), ["h1", "h2"]).select("h1", "h2", "keeper", F.explode("ids").alias("__id"))
                   .where("__id <> keeper").groupBy("__id").agg(F.collect_set(F.struct("h1", "h2")).alias("__gone")), "gone-lines")

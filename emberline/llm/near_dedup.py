@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from . import words as W
 from .components import components
 from .lookup import named
-from .tables import stored
+from .tables import bounded_batches, stored
 
 WORDS, PERCENT = 3, 85
 MINIMA, BANDS, ROWS, BITS = 128, 25, 5, 4
@@ -251,6 +251,7 @@ def link_forest(k: int, percent: int):
 def near_duplicates(documents: DataFrame, words: int = WORDS, percent: int = PERCENT, least_estimate: float = LEAST_ESTIMATE,
                     block: int = BLOCK, text_block: int = TEXT_BLOCK) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document."""
+    bounded_batches(documents.sparkSession)
     every = stored(profiles(documents, words), "profiles")
     # One row per class, the one with the smallest id; its bands and signature are those of the whole class.
     real = every.where("n > 0 and doc_id is not null")

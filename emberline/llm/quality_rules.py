@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .lookup import labelled
+from .tables import bounded_batches
 
 BUCKETS = 1 << 16
 THRESHOLD = -0.7
@@ -97,6 +98,7 @@ COLUMNS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_re
 def rate(documents: DataFrame, labels: DataFrame, keep: list[str], buckets: int = BUCKETS, smoothing: float = 1.0,
          threshold: float = THRESHOLD) -> DataFrame:
     """The columns `keep` of every document, its base counts, score and verdict."""
+    bounded_batches(documents.sparkSession)
     trusted = labelled(documents, labels.where("quality = 1"), "quality")
     ratio = log_ratios(count_ngrams(documents, buckets), count_ngrams(trusted, buckets), buckets, smoothing).astype(np.float32)
     spark = documents.sparkSession

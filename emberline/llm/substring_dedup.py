@@ -34,10 +34,10 @@ from pyspark.sql import functions as F
 
 from . import words as W
 from .lookup import parted
-from .tables import stored
+from .tables import bounded_batches, stored
 
 LENGTH, MINIMISER, SECOND, HOT, PER_BUCKET = 35, 5, 20, 8192, 150_000
-FLUSH_BYTES, PIECE_BYTES, BITS = 16 << 20, 1 << 18, 22
+FLUSH_BYTES, PIECE_BYTES, BITS = 12 << 20, 1 << 18, 22
 _KEYS = ("__k1", "__k2")
 
 
@@ -79,25 +79,31 @@ def _keyed(documents: DataFrame) -> DataFrame:
 
 def frequent(documents: DataFrame, k: int, m: int, second: int, hot: int) -> tuple[int, list[np.ndarray]]:
     """Number of windows, and for either kind of minimiser a bitmap of 2^22 bits with those of more than `hot` super-k-mers."""
+    def counted(found: list[list], sizes: int) -> Iterator[pa.RecordBatch]:
+        for kind, values in enumerate(found):
+            value, times = np.unique(np.concatenate([np.zeros(0, W.U), *values]), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), kind, np.int32)), pa.array(value.view(np.int64)), pa.array(_bit(value)), pa.array(times)], names)
+        yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array([0]), pa.array([sizes])], names)
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found, sizes = ([np.zeros(0, W.U)], [np.zeros(0, W.U)]), 0
-            for _, block in W.blocks(iter([batch])):
-                spans, hashed, at = _windows(block, k)
-                sizes += len(at)
-                if len(at):
-                    for kind, size in enumerate((m, second)):
-                        least = _least(spans.doc, hashed, at, k, size)
-                        found[kind].append(least[_runs(at, least)[0]])
-            for kind, values in enumerate(found):
-                value, times = np.unique(np.concatenate(values), return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(value), kind, np.int32)), pa.array(value.view(np.int64)), pa.array(_bit(value)), pa.array(times)], names)
-            yield pa.RecordBatch.from_arrays([pa.array([2], pa.int32()), pa.array([0]), pa.array([0]), pa.array([sizes])], names)
+        found, sizes, held = [[], []], 0, 0
+        for _, block in W.blocks(batches):
+            spans, hashed, at = _windows(block, k)
+            sizes += len(at)
+            if len(at):
+                for kind, size in enumerate((m, second)):
+                    least = _least(spans.doc, hashed, at, k, size)
+                    found[kind].append(least[_runs(at, least)[0]])
+                    held += len(found[kind][-1])
+            if held > 1 << 20:
+                yield from counted(found, sizes)
+                found, sizes, held = [[], []], 0, 0
+        yield from counted(found, sizes)
 
     names = ["kind", "minimiser", "bit", "n"]
-    counted = (documents.select("text").mapInArrow(count, "kind int, minimiser long, bit long, n long").groupBy("kind", "minimiser", "bit").agg(F.sum("n").alias("n"))
-               .where((F.col("n") > hot) | (F.col("kind") == 2)))
-    rows = (counted.select("kind", (F.col("bit") + 1).alias("p"), "n").groupBy("kind", F.bitmap_bucket_number("p").alias("k"))
+    known = (documents.select("text").mapInArrow(count, "kind int, minimiser long, bit long, n long").groupBy("kind", "minimiser", "bit").agg(F.sum("n").alias("n"))
+             .where((F.col("n") > hot) | (F.col("kind") == 2)))
+    rows = (known.select("kind", (F.col("bit") + 1).alias("p"), "n").groupBy("kind", F.bitmap_bucket_number("p").alias("k"))
             .agg(F.bitmap_construct_agg(F.bitmap_bit_position("p")).alias("bits"), F.max("n").alias("n")).collect())
     maps = [np.zeros(1 << BITS, bool), np.zeros(1 << BITS, bool)]
     for r in rows:
@@ -285,6 +291,7 @@ def remove_repeats(documents: DataFrame, keep: list[str], with_text: bool, lengt
     """The columns `keep` of every document and n_words, n_removed, kept_sha256; `kept_text` (the words
     left, joined by one space) only where `with_text` asks for it."""
     k = length
+    bounded_batches(documents.sparkSession)
     second = min(second, k)
     total, maps = frequent(documents, k, minimiser, second, hot)
     n_buckets = max(1, -(-total // per_bucket))
