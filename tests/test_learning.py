@@ -9,7 +9,7 @@ from emberline import schemas as S
 from emberline.operators import learning as N
 from emberline.plans import scoring as G
 
-SHORT = N.TrainParams(n_estimators=5, max_depth=3, min_child_samples=1)
+SHORT = N.TrainParams(n_estimators=20, max_depth=3, min_child_samples=1)
 
 
 @pytest.fixture(scope="module")
