@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline import schemas as S
@@ -58,7 +58,7 @@ def training_window(features: DataFrame, today: date) -> DataFrame:
     return features.filter((F.col("date") > F.date_sub(F.lit(today), days)) & (F.col("date") <= F.lit(today)))
 
 
-def event_days(daily: DataFrame, limit: int = EVENT_HOTSPOTS_PER_DAY) -> DataFrame:
+def event_days(daily: DataFrame, limit: int | Column = EVENT_HOTSPOTS_PER_DAY) -> DataFrame:
     """Days with enough hotspots, over all entities, to trigger a retrain."""
     return (daily.groupBy("date").agg(F.sum("hotspot_count").alias("n_hotspots"))
             .filter(F.col("n_hotspots") >= limit))

@@ -9,69 +9,85 @@ from pyspark.sql import functions as F
 
 from emberline.session import new_folder
 
-# Cells per e-fold of the value in the first round: a few thousand in all. The second splits a cell's own range.
-RESOLUTION, SPLIT = 2 ** 8, 4096
+# Size of a sketch, and the step of the shares at which it is asked: several times the error of a sketch of that size.
+SKETCH, STEP = 4096, 0.005
+# A bracket of more rows is narrowed by a sketch of its own rows before its values are counted.
+BRACKET_ROWS = 4_000_000
+# Up to so many targets go along with the plan as they are; more are written, so that Spark knows their size.
+FEW = 1000
 
 
-def _cell(value: Column, resolution: int) -> Column:
-    """A whole number that never falls as the value rises."""
-    return F.floor(F.signum(value) * F.log1p(F.abs(value)) * F.lit(float(resolution))).cast("long")
+def _settled(targets: DataFrame) -> tuple[DataFrame, int]:
+    """The targets as a table of known size, and the rows that their largest bracket holds.
 
+    An aggregation's size is unknown to Spark, so it would shuffle every row to join with it."""
+    spark = targets.sparkSession
+    some = targets.limit(FEW + 1).collect()
+    if len(some) <= FEW:
+        return spark.createDataFrame(some, targets.schema), max([int(r["_held"]) for r in some], default=0)
+    folder = new_folder(spark, "ranks")
+    targets.write.parquet(folder)
+    read = spark.read.schema(targets.schema).parquet(folder)
+    return read, int(read.agg(F.max("_held")).first()[0])
 
-def _pick(counted: DataFrame, by: list[str], cell: str, keep: list[str]) -> DataFrame:
-    """The cell that holds the wanted rank, and the rank counted from that cell's start."""
-    running = F.sum("_n").over(Window.partitionBy(*by, "p").orderBy(cell)
-                               .rowsBetween(Window.unboundedPreceding, 0))
-    return (counted.withColumn("_cum", running)
-            .filter((F.col("_cum") >= F.col("_rank")) & (F.col("_cum") - F.col("_n") < F.col("_rank")))
-            .select(*by, "p", *keep, (F.col("_rank") - F.col("_cum") + F.col("_n")).alias("_rank")))
 
+def _asked(sketch: str, step: float) -> Column:
+    """The sketch's values at every step of the shares from 0 to 1."""
+    n = round(1 / step)
+    return F.kll_sketch_get_quantile_double(sketch, F.array(*[F.lit(i / n) for i in range(n + 1)]))
 
-def _settled(targets: DataFrame) -> DataFrame:
-    """Targets written to the shared folder and read back.
 
-    An aggregation's size is unknown to Spark, so it would shuffle every row to join with it. A
-    table has a size: Spark broadcasts it if that is under the session's threshold, and shuffles
-    if not. The rounds before are not run again either.
-    """
-    spark = targets.sparkSession
-    folder = new_folder(spark, "ranks")
-    targets.write.parquet(folder)
-    return spark.read.schema(targets.schema).parquet(folder)
+def _bracket(rank: Column, n: Column, low: Column, high: Column, step: float) -> list[Column]:
+    """The values between which `_q`, the sketch's answers, place a rank (from 1) of n, a step of margin on either side, and the rows there."""
+    steps = round(1 / step)
+    first, last = F.floor(rank / n * steps) - 1, F.ceil(rank / n * steps) + 1
+    return [F.when(first < 0, low).otherwise(F.get("_q", F.greatest(first, F.lit(0)).cast("int"))).alias("_lo"),
+            F.when(last > steps, high).otherwise(F.get("_q", F.least(last, F.lit(steps)).cast("int"))).alias("_hi"),
+            F.ceil(n * (3 / steps)).cast("long").alias("_held")]
 
 
-def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = ()) -> DataFrame:
+def nearest_ranks(df: DataFrame, value: str, probs: Sequence[float], by: Sequence[str] = (), sketch: int = SKETCH,
+                  step: float = STEP, bracket_rows: int = BRACKET_ROWS) -> DataFrame:
     """For each p the value at 0-based position least(floor(p n), n - 1) in sorted order.
 
     Rows with a null value or a null group key count nowhere.
 
-    Counts per coarse cell locate the cell of each rank; that cell's range, from its smallest to its largest
-    value, is split evenly, so values that lie close together (or near zero) part again; only the rows of
-    the small cell that holds the rank are grouped by value. Every step is an aggregation with map-side
-    partials. The first two rounds run while the plan is built.
+    One pass gives a mergeable sketch per group, which brackets each rank between two values, however these are
+    distributed; a second pass counts the rows below a bracket and, by value, those inside, so the answer is exact.
+    A bracket of very many rows is narrowed by a pass more. A rank outside its bracket would be an error of the query,
+    never a wrong value. All passes but the last run while the plan is built.
     """
     by = list(by)
-    rows = (df.dropna(subset=[*by, value]).select(*by, F.col(value).cast("double").alias("_v"))
-            .withColumn("_c0", _cell(F.col("_v"), RESOLUTION)))
-    group = Window.partitionBy(*by)
-    measures = [F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_lo"), F.max("_v").alias("_hi")]
-
-    running = F.sum("_n").over(group.orderBy("_c0").rowsBetween(Window.unboundedPreceding, 0))
-    counted = (rows.groupBy(*by, "_c0").agg(*measures)
-               .withColumns({"_total": F.sum("_n").over(group), "_before": running - F.col("_n")}))
+    rows = df.dropna(subset=[*by, value]).select(*by, F.col(value).cast("double").alias("_v"))
+    whole = rows.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.kll_sketch_agg_double("_v", F.lit(sketch)).alias("_s"),
+                                  F.min("_v").alias("_low"), F.max("_v").alias("_high")).where("_n > 0").withColumn("_q", _asked("_s", step))
 
     def sought(p: float) -> Column:
-        rank = F.least(F.floor(F.lit(float(p)) * F.col("_total")), F.col("_total") - 1) + 1 - F.col("_before")
-        return F.when(rank.between(1, F.col("_n")), F.struct(F.lit(float(p)).alias("p"), rank.alias("_rank")))
-    # Only cells that hold a rank go on, once for each rank they hold.
-    first = _settled(counted.select(*by, "_c0", "_lo", "_hi", F.inline(F.array_compact(F.array(*[sought(p) for p in probs])))))
-
-    width = F.col("_top") - F.col("_low")
-    part = F.when(width > 0, F.floor((F.col("_v") - F.col("_low")) / width * SPLIT)).otherwise(0).cast("long")
-    ranges = first.select(*by, "_c0", F.col("_lo").alias("_low"), F.col("_hi").alias("_top")).distinct()
-    counts = rows.join(ranges, [*by, "_c0"]).groupBy(*by, "_c0", part.alias("_c1")).agg(*measures)
-    second = _settled(_pick(counts.join(first.drop("_lo", "_hi"), [*by, "_c0"]), by, "_c1", ["_c0", "_lo", "_hi"]))
-
-    inside = rows.join(second, [*by, "_c0"]).filter(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    values = inside.groupBy(*by, "p", "_v").agg(F.count(F.lit(1)).alias("_n"), F.first("_rank").alias("_rank"))
-    return _pick(values, by, "_v", ["_v"]).select(*by, "p", F.col("_v").alias("value"))
+        rank = F.least(F.floor(F.lit(float(p)) * F.col("_n")), F.col("_n") - 1) + 1
+        return F.struct(F.lit(float(p)).alias("p"), rank.cast("long").alias("_rank"), *_bracket(rank, F.col("_n"), F.col("_low"), F.col("_high"), step))
+
+    targets, held = _settled(whole.select(*by, F.inline(F.array(*[sought(p) for p in probs]))))
+
+    def met() -> DataFrame:
+        """Rows that lie below the end of a bracket, once for each."""
+        if by:
+            return rows.join(targets, by).where("_v <= _hi")
+        one_each = [F.struct(*[F.lit(r[c]).alias(c) for c in targets.columns]) for r in targets.collect()]  # a row per p
+        return rows.select("_v", F.inline(F.array(*one_each))).where("_v <= _hi") if one_each else rows.join(targets.limit(0))
+
+    while held > bracket_rows:
+        inside = F.col("_v") >= F.col("_lo")
+        narrowed = met().groupBy(*by, "p", "_rank", "_lo", "_hi").agg(
+            F.count_if(~inside).alias("_below"), F.count_if(inside).alias("_n"), F.kll_sketch_agg_double(F.when(inside, F.col("_v")), F.lit(sketch)).alias("_s"))
+        narrowed = narrowed.withColumn("_q", _asked("_s", step))
+        ends = _bracket(F.col("_rank") - F.col("_below"), F.col("_n"), F.col("_lo"), F.col("_hi"), step)
+        before, (targets, held) = held, _settled(narrowed.select(*by, "p", "_rank", *ends))
+        if held >= before:
+            break
+
+    counted = (met().groupBy(*by, "p", F.when(F.col("_v") >= F.col("_lo"), F.col("_v")).alias("_at"))
+               .agg(F.count(F.lit(1)).alias("_n"), F.first("_rank").alias("_rank")))
+    upto = F.sum("_n").over(Window.partitionBy(*by, "p").orderBy(F.asc_nulls_first("_at")).rowsBetween(Window.unboundedPreceding, 0))
+    found = counted.withColumn("_upto", upto).groupBy(*by, "p").agg(F.min_by(F.struct("_at"), F.when(F.col("_upto") >= F.col("_rank"), F.col("_upto"))).alias("_x"))
+    exact = F.when(F.col("_x._at").isNull(), F.raise_error(F.lit("a rank lies outside its bracket")).cast("double")).otherwise(F.col("_x._at"))
+    return found.select(*by, "p", exact.alias("value"))

@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from emberline import schemas as S
 from emberline.operators.joins import salted_left_join
+from emberline.session import new_folder
 
 Box = tuple[str, float, float, float, float]
 
 # An ordered CASE is compiled into one method; past this many boxes the grid join is used.
 CASE_LIMIT = 64
+# Boxes of a grid cell beyond which it is cut into quarters, and how often at most.
+CELL_BOXES, LEVELS = 64, 16
 
 
 def configured_boxes() -> list[Box]:
@@ -41,44 +44,107 @@ def assign_few(df: DataFrame, boxes: Sequence[Box], out: str = S.ENTITY) -> Data
     return assign_many(df, areas, out=out)
 
 
-def area_cells(areas: DataFrame, degrees: float) -> DataFrame:
-    """Grid cell to the boxes that may win in it, in priority order.
-
-    A box that covers the whole cell beats everything after it, so later boxes drop out there.
-    """
+def _inside(areas: DataFrame, degrees: float) -> DataFrame:
+    """The coarse cells of every box: a row per box and cell that it meets, at level 0."""
     def span(low: str, high: str) -> Column:
         return F.sequence(F.floor(F.col(low) / degrees), F.floor(F.col(high) / degrees))
+    return (areas.select("priority", S.ENTITY, "lat_min", "lon_min", "lat_max", "lon_max")
+            .withColumn("_cell_lat", F.explode(span("lat_min", "lat_max"))).withColumn("_cell_lon", F.explode(span("lon_min", "lon_max"))))
 
+
+def _pruned(met: DataFrame, size: float) -> DataFrame:
+    """Boxes that may win in their cell, and how many these are; a box that covers the cell beats all after it."""
     def covers(cell: str, low: str, high: str) -> Column:
-        return (F.col(low) <= F.col(cell) * degrees) & (F.col(high) >= (F.col(cell) + 1) * degrees)
+        return (F.col(low) <= F.col(cell) * size) & (F.col(high) >= (F.col(cell) + 1) * size)
+    cell = ["_cell_lat", "_cell_lon"]
+    full = F.when(covers("_cell_lat", "lat_min", "lat_max") & covers("_cell_lon", "lon_min", "lon_max"), F.col("priority"))
+    best = met.groupBy(*cell).agg(F.min(full).alias("_full"))
+    live = met.join(best, cell).where("_full is null or priority <= _full").drop("_full")
+    return live.join(live.groupBy(*cell).agg(F.count(F.lit(1)).alias("_live")), cell)
+
 
-    cells = (areas.withColumn("_cell_lat", F.explode(span("lat_min", "lat_max")))
-             .withColumn("_cell_lon", F.explode(span("lon_min", "lon_max"))))
-    full = covers("_cell_lat", "lat_min", "lat_max") & covers("_cell_lon", "lon_min", "lon_max")
+def _listed(live: DataFrame) -> DataFrame:
     box = F.struct("priority", S.ENTITY, "lat_min", "lon_min", "lat_max", "lon_max")
-    grouped = cells.groupBy("_cell_lat", "_cell_lon").agg(
-        F.sort_array(F.collect_list(box)).alias("_boxes"),
-        F.min(F.when(full, F.col("priority"))).alias("_full"))
-    live = F.filter("_boxes", lambda b: F.col("_full").isNull() | (b["priority"] <= F.col("_full")))
-    return grouped.select("_cell_lat", "_cell_lon", live.alias("_boxes"))
+    return live.groupBy("_cell_lat", "_cell_lon").agg(F.sort_array(F.collect_list(box)).alias("_boxes"))
+
+
+def area_cells(areas: DataFrame, degrees: float, most: int = CELL_BOXES, levels: int = LEVELS) -> tuple[DataFrame, DataFrame | None]:
+    """Coarse cells with the boxes that may win in them, in priority order, or with the levels to which they are split; and the split cells.
+
+    A cell with more than `most` such boxes is cut into quarters, level by level, so lists stay short where many small
+    boxes lie together; only where more than `most` boxes meet within 1 / 2^`levels` of a cell's side is a list longer.
+    The number of rounds follows the table of areas, not the points.
+    """
+    folder = new_folder(areas.sparkSession, "area-cells")
+
+    def settled(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return areas.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    live = _pruned(_inside(areas, degrees), degrees)
+    crowded = live.where(F.col("_live") > most)
+    if not levels or crowded.isEmpty():
+        return _listed(live).withColumn("_levels", F.lit(None).cast("array<int>")), None
+    coarse = _listed(live.where(F.col("_live") <= most)).withColumn("_levels", F.lit(None).cast("array<int>"))
+    top = ["_top_lat", "_top_lon"]
+    crowded = settled(crowded.withColumns({"_top_lat": F.col("_cell_lat"), "_top_lon": F.col("_cell_lon")}), "level0")
+    fine, used = [], []
+    for level in range(1, levels + 1):
+        size, half = degrees / 2 ** level, F.array(F.lit(0), F.lit(1))
+        # Every quarter is kept, also one that no box meets, so a point below a split cell always finds just one.
+        quarters = (crowded.select("_cell_lat", "_cell_lon", *top).distinct().withColumn("_i", F.explode(half)).withColumn("_j", F.explode(half))
+                    .select(*top, F.col("_cell_lat").alias("_up_lat"), F.col("_cell_lon").alias("_up_lon"), (F.col("_cell_lat") * 2 + F.col("_i")).alias("_cell_lat"), (F.col("_cell_lon") * 2 + F.col("_j")).alias("_cell_lon")))
+        boxes = crowded.select(F.col("_cell_lat").alias("_up_lat"), F.col("_cell_lon").alias("_up_lon"), "priority", S.ENTITY, "lat_min", "lon_min", "lat_max", "lon_max")
+        # A cell's four quarters meet its own boxes: at most four rows per box and cell, as many as it has quarters.
+        met = quarters.join(boxes, ["_up_lat", "_up_lon"]).where(
+            (F.col("lat_min") < (F.col("_cell_lat") + 1) * size) & (F.col("lat_max") >= F.col("_cell_lat") * size)
+            & (F.col("lon_min") < (F.col("_cell_lon") + 1) * size) & (F.col("lon_max") >= F.col("_cell_lon") * size))
+        live = settled(_pruned(met.drop("_up_lat", "_up_lon"), size), f"level{level}")
+        last = level == levels
+        crowded = live.where(F.lit(False) if last else F.col("_live") > most)
+        split = crowded.select("_cell_lat", "_cell_lon").distinct()
+        leaves = quarters.select(*top, "_cell_lat", "_cell_lon").join(split, ["_cell_lat", "_cell_lon"], "left_anti")
+        listed = leaves.join(_listed(live), ["_cell_lat", "_cell_lon"], "left").withColumn("_level", F.lit(level))
+        fine.append(settled(listed, f"leaves{level}"))
+        used.append(level)
+        if crowded.isEmpty():
+            break
+    every = fine[0]
+    for x in fine[1:]:
+        every = every.unionByName(x)
+    below = every.groupBy(*top).agg(F.sort_array(F.collect_set("_level")).alias("_levels"))
+    below = below.select(F.col("_top_lat").alias("_cell_lat"), F.col("_top_lon").alias("_cell_lon"), F.lit(None).cast(coarse.schema["_boxes"].dataType).alias("_boxes"), "_levels")
+    return coarse.unionByName(below), every.drop(*top)
 
 
 def assign_many(df: DataFrame, areas: DataFrame, degrees: float = 1.0, out: str = S.ENTITY,
-                salts: int = 1) -> DataFrame:
-    """First match out of a whole area table, by an equality join on grid cells.
+                salts: int = 1, most: int = CELL_BOXES, levels: int = LEVELS) -> DataFrame:
+    """First match out of a whole area table, by equality joins on grid cells.
 
     Each point meets one row, its cell, so no point-and-box pairs are produced and rows never
-    multiply. A crowded cell is a skewed key, which Spark splits; `salts` spreads it by row position besides.
+    multiply. In a coarse cell that is split, a point probes one cell per level that occurs there, and finds just
+    one of them. A crowded cell is a skewed key, which Spark splits; `salts` spreads it by row position besides.
     """
     kept = [c for c in df.columns if c != out]
+    coarse, fine = area_cells(areas, degrees, most, levels)
     points = df.select(*kept).withColumns({
         "_cell_lat": F.floor(F.col("latitude") / degrees),
         "_cell_lon": F.floor(F.col("longitude") / degrees)})
-    joined = salted_left_join(points, area_cells(areas, degrees), ["_cell_lat", "_cell_lon"],
-                              ["latitude", "longitude"], salts)
+    joined = salted_left_join(points, coarse, ["_cell_lat", "_cell_lon"], ["latitude", "longitude"], salts)
     hits = F.filter("_boxes", lambda b: F.col("latitude").between(b["lat_min"], b["lat_max"])
                     & F.col("longitude").between(b["lon_min"], b["lon_max"]))
-    return joined.select(*kept, F.get(hits, F.lit(0))[S.ENTITY].alias(out))
+    found = F.get(hits, F.lit(0))[S.ENTITY].alias(out)
+    if fine is None:
+        return joined.select(*kept, found)
+    whole = joined.where("_levels is null").select(*kept, found)
+    scale = F.lit(degrees) / F.pow(F.lit(2.0), F.col("_level"))
+    probes = joined.where("_levels is not null").select(*kept, F.explode("_levels").alias("_level")).withColumns({
+        "_cell_lat": F.floor(F.col("latitude") / scale), "_cell_lon": F.floor(F.col("longitude") / scale)})
+    keys = ["_level", "_cell_lat", "_cell_lon"]
+    if salts > 1:
+        fine = fine.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+        probes, keys = probes.withColumn("_salt", F.pmod(F.hash("latitude", "longitude"), F.lit(salts))), [*keys, "_salt"]
+    return whole.unionByName(probes.join(fine, keys).select(*kept, found))
 
 
 def coverage(df: DataFrame, entity: str = S.ENTITY, date: str = "acq_date") -> DataFrame:

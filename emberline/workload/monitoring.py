@@ -252,9 +252,12 @@ def _(spark, sf):
 
 
 @query("event_days", f"""WITH {D.det_sql('user')}, {DAILY_SQL}
-SELECT date, CAST(sum(hotspot_count) AS BIGINT) AS n_hotspots FROM daily GROUP BY date HAVING sum(hotspot_count) >= 330""")
+SELECT date, CAST(sum(hotspot_count) AS BIGINT) AS n_hotspots FROM daily GROUP BY date
+  HAVING sum(hotspot_count) >= (SELECT avg(n) FROM (SELECT sum(hotspot_count) AS n FROM daily GROUP BY date))""")
 def _(spark, sf):
-    return G.event_days(A.aggregate_daily(D.detections(spark, sf, "user")), 330)
+    # The limit is the mean day, so that at every size there are days on both sides of it.
+    daily = A.aggregate_daily(D.detections(spark, sf, "user"))
+    return G.event_days(daily, daily.groupBy("date").agg(F.sum("hotspot_count").alias("n")).agg(F.avg("n")).scalar())
 
 
 # RMSE of the persistence forecast in the first half against the second half.

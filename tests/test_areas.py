@@ -43,6 +43,30 @@ def test_many_overlapping_boxes_keep_every_row_once(spark):
     assert {r["id"]: r[S.ENTITY] for r in X.assign_few(df, boxes).collect()} == got
 
 
+@pytest.mark.parametrize("salts", [1, 3])
+def test_many_small_boxes_in_one_degree_and_one_world_wide(spark, salts):
+    """Cells are cut until lists are short; every point still meets one of them, on edges, too."""
+    r = random.Random(8)
+    boxes = [(f"b{i}", lat := r.randint(0, 990) / 1000, lon := 100 + r.randint(0, 990) / 1000, lat + 0.01, lon + 0.01) for i in range(10_000)]
+    boxes.append(("world", -90.0, -180.0, 90.0, 180.0))
+    table = spark.createDataFrame([(i, b[0], b[0], *map(float, b[1:])) for i, b in enumerate(boxes)], S.AREA_SCHEMA)
+    rows = [(i, r.randint(0, 1000) / 1000, 100 + r.randint(0, 1000) / 1000) for i in range(400)] + [(1000, 50.0, 50.0), (1001, -89.5, -179.5), (1002, 91.0, 0.0), (1003, None, 1.0)]
+    df = spark.createDataFrame(rows, "id int, latitude double, longitude double")
+    got = [(x["id"], x[S.ENTITY]) for x in X.assign_many(df, table, salts=salts).collect()]
+    assert sorted(got) == [(i, None if lat is None else first(boxes, lat, lon)) for i, lat, lon in rows]
+    coarse, fine = X.area_cells(table, 1.0)
+    longest = fine.agg(F.max(F.size("_boxes"))).first()[0]
+    assert longest <= X.CELL_BOXES and coarse.where(F.size("_boxes") > X.CELL_BOXES).isEmpty() and coarse.where("_levels is not null").count() >= 1
+
+
+def test_boxes_that_share_a_point_end_in_the_last_level(spark):
+    boxes = [(f"b{i}", 0.5, 100.5, 0.5, 100.5 + i / 1e9) for i in range(200)]
+    table = spark.createDataFrame([(i, b[0], b[0], *map(float, b[1:])) for i, b in enumerate(boxes)], S.AREA_SCHEMA)
+    df = spark.createDataFrame([(1, 0.5, 100.5), (2, 0.5, 100.5 + 1.5e-7), (3, 0.5, 100.6)], "id int, latitude double, longitude double")
+    got = {x["id"]: x[S.ENTITY] for x in X.assign_many(df, table, levels=3).collect()}
+    assert got == {1: "b0", 2: first(boxes, 0.5, 100.5 + 1.5e-7), 3: None}
+
+
 def test_grid_join_makes_no_pairs(spark, plan):
     _, df = points(spark, 10)
     text = plan(X.assign_many(df, A.default_areas(spark)))

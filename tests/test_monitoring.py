@@ -43,6 +43,24 @@ def test_nearest_ranks_against_sorting(spark, threshold):
     assert got == {(g, p): nearest(vs, p) for g, vs in groups.items() for p in PROBS}
 
 
+@pytest.mark.parametrize(("sketch", "step", "bracket_rows"), [(4096, 0.005, 4_000_000), (200, 0.05, 600)])
+def test_nearest_ranks_of_values_near_zero_beside_a_large_one(spark, sketch, step, bracket_rows):
+    """Whatever the distribution, also where brackets are narrowed again and again."""
+    r = random.Random(6)
+    data = [("a", r.uniform(0, 1e-9)) for _ in range(5000)] + [("a", 1e300), ("a", -1e300)] + [("b", float(i % 3)) for i in range(999)]
+    df = spark.createDataFrame(data, "g string, v double").repartition(5)
+    settings = {"sketch": sketch, "step": step, "bracket_rows": bracket_rows}
+    got = {(x["g"], x["p"]): x["value"] for x in K.nearest_ranks(df, "v", PROBS, ["g"], **settings).collect()}
+    assert got == {(g, p): nearest([v for h, v in data if h == g], p) for g in "ab" for p in PROBS}
+    alone = {x["p"]: x["value"] for x in K.nearest_ranks(df, "v", PROBS, **settings).collect()}
+    assert alone == {p: nearest([v for _, v in data], p) for p in PROBS}
+
+
+def test_nearest_ranks_of_no_rows(spark):
+    none = spark.createDataFrame([("a", None)], "g string, v double")
+    assert K.nearest_ranks(none, "v", PROBS).count() == 0 and K.nearest_ranks(none, "v", PROBS, ["g"]).count() == 0
+
+
 def test_nearest_ranks_without_groups(spark):
     df = spark.range(1001).select((F.col("id") % 500).cast("double").alias("v"))
     got = {x["p"]: x["value"] for x in K.nearest_ranks(df, "v", PROBS).collect()}
