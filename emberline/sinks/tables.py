@@ -10,14 +10,15 @@ from pyspark.sql.types import StructType
 
 from emberline import schemas as S
 from emberline.operators.spatial import split_manifest
-from emberline.sources.snapshots import PRODUCTION
+from emberline.sources.snapshots import MANIFEST, MANIFEST_SCHEMA, PRODUCTION
 
 
 def write_snapshot(df: DataFrame, path: str, kind: str = PRODUCTION, now: datetime | None = None,
                    dry_run: bool = False) -> str | None:
     """Append one snapshot, stamped to the microsecond; older ones stay. An empty result is an error.
 
-    Whether there are rows is read off the new folder, not by a second run of the plan.
+    The snapshot counts once its row in the manifest is there, which is written last: kind, stamp, files, rows and
+    schema. Files and rows are read off the new folder, not by a second run of the plan.
     """
     if dry_run:
         return None
@@ -25,9 +26,13 @@ def write_snapshot(df: DataFrame, path: str, kind: str = PRODUCTION, now: dateti
     stamp = f"{moment:%Y%m%d_%H%M%S_%f}"
     stamped = df.withColumns({"kind": F.lit(kind), "snapshot_ts": F.lit(stamp)})
     stamped.write.mode("append").partitionBy("kind", "snapshot_ts").option("compression", "snappy").parquet(path)
-    back = df.sparkSession.read.schema(stamped.schema).parquet(path)
-    if back.where((F.col("kind") == kind) & (F.col("snapshot_ts") == stamp)).isEmpty():
+    spark = df.sparkSession
+    back = spark.read.schema(stamped.schema).parquet(path).where((F.col("kind") == kind) & (F.col("snapshot_ts") == stamp))
+    found = back.agg(F.count(F.lit(1)).alias("n_rows"), F.count_distinct(F.col("_metadata.file_path")).alias("n_files")).first()
+    if not found["n_rows"]:
         raise ValueError("the dataset to write is empty")
+    entry = spark.createDataFrame([(kind, stamp, found["n_files"], found["n_rows"], df.schema.json())], MANIFEST_SCHEMA)
+    entry.coalesce(1).write.mode("append").json(f"{path}/{MANIFEST}")
     return stamp
 
 

@@ -6,6 +6,7 @@ import json
 from pathlib import Path
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from emberline import schemas as S
@@ -101,6 +102,23 @@ def test_snapshots_append_and_do_not_multiply(spark):
         K.write_snapshot(df.filter("id < 0"), path)
 
 
+def test_a_snapshot_without_its_manifest_row_is_not_read(spark):
+    path = new_folder(spark, "half")
+    df = spark.range(5)
+    with pytest.raises(AnalysisException):
+        Z.latest_snapshot(spark, path)
+    stamp = K.write_snapshot(df, path, now=dt.datetime(2024, 1, 1))
+    spark.range(50).write.parquet(Z.snapshot_folder(path, Z.PRODUCTION, "20250101_000000_000000"))  # stopped before its manifest row
+    assert Z.latest_snapshot(spark, path).count() == 5 and Z.read_snapshots(spark, path).count() == 5
+    entry = Z.manifest(spark, path).first()
+    assert (entry["kind"], entry["snapshot_ts"], entry["n_rows"]) == (Z.PRODUCTION, stamp, 5) and entry["n_files"] >= 1 and "bigint" not in entry["schema"]
+    with pytest.raises(ValueError, match="empty"):
+        K.write_snapshot(df.where("id < 0"), path, now=dt.datetime(2026, 1, 1))
+    assert Z.latest_snapshot(spark, path).count() == 5 and Z.manifest(spark, path).count() == 1
+    with pytest.raises(ValueError, match="no complete snapshot"):
+        Z.latest_snapshot(spark, path, "other")
+
+
 def test_predictions_keep_nulls(spark):
     from emberline.operators.scoring import prediction_rows
     scored = spark.createDataFrame([("a", 3, dt.date(2024, 1, 1), 12.8), ("b", 1, dt.date(2024, 1, 1), None)],
