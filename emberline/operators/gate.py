@@ -27,6 +27,15 @@ class Thresholds:
 CI_THRESHOLDS = Thresholds(50.0, 30.0, 0.30, None)
 
 
+# Wording of failed checks and of decisions.
+CHECK_FAILED = "{metric}=%.{digits}f {sign} threshold {limit}"
+NO_METRIC = "new model {metric} unavailable"
+FIRST_VERSION = "no existing Production — first promotion"
+COMPARED = "new %.4f {sign} threshold %.4f"
+GAIN = " (improvement %.2f%% vs prod %.4f)"
+NO_GAIN = " (no improvement {percent:.0f}%% vs prod %.4f)"
+
+
 def evaluate_gate(runs: DataFrame, limits: Thresholds = Thresholds(), required: tuple[str, ...] | None = None) -> DataFrame:
     """`failed_checks` and `passed` per run.
 
@@ -43,7 +52,7 @@ def evaluate_gate(runs: DataFrame, limits: Thresholds = Thresholds(), required:
         # Spark orders NaN above all numbers, so it has to be left out by hand.
         bad = ((value > limit) if above else (value < limit)) & ~F.isnan(value)
         sign = ">" if above else "<"
-        return F.when(bad, F.format_string(f"{metric}=%.{digits}f {sign} threshold {limit}", value))
+        return F.when(bad, F.format_string(CHECK_FAILED.format(metric=metric, digits=digits, sign=sign, limit=limit), value))
     checks = [c for c in (
         check("rmse", limits.rmse_max, 2, True), check("mae", limits.mae_max, 2, True),
         check("f1_macro", limits.f1_macro_min, 3, False),
@@ -99,14 +108,14 @@ def decide(compared: DataFrame, improvement: float = 0.02, lower_is_better: bool
     bar = prod * F.lit(1 - improvement if lower_is_better else 1 + improvement)
     better = new < bar if lower_is_better else new > bar
     yes, no = ("<", ">=") if lower_is_better else (">", "<=")
-    gain = F.format_string(" (improvement %.2f%% vs prod %.4f)", (prod - new) / prod * 100, prod)
-    short = F.format_string(f" (no improvement {improvement * 100:.0f}%% vs prod %.4f)", prod)
+    gain = F.format_string(GAIN, (prod - new) / prod * 100, prod)
+    short = F.format_string(NO_GAIN.format(percent=improvement * 100), prod)
     decision = (F.when(new.isNull(), "abort").when(prod.isNull() | better, "promote").otherwise("keep-staging"))
-    detail = (F.when(new.isNull(), F.lit(f"new model {metric} unavailable"))
-              .when(prod.isNull(), F.lit("no existing Production — first promotion"))
-              .when(better, F.concat(F.format_string(f"new %.4f {yes} threshold %.4f", new, bar),
+    detail = (F.when(new.isNull(), F.lit(NO_METRIC.format(metric=metric)))
+              .when(prod.isNull(), F.lit(FIRST_VERSION))
+              .when(better, F.concat(F.format_string(COMPARED.format(sign=yes), new, bar),
                                      gain if lower_is_better else F.lit("")))
-              .otherwise(F.concat(F.format_string(f"new %.4f {no} threshold %.4f", new, bar),
+              .otherwise(F.concat(F.format_string(COMPARED.format(sign=no), new, bar),
                                   short if lower_is_better else F.lit(""))))
     return compared.withColumns({"decision": decision, "detail": detail})
 

@@ -24,6 +24,8 @@ def _shift(amount: float) -> Callable[[Column], Column]:
     return lambda v: v + F.lit(amount)
 
 
+# The shifts and factors of the three scenarios below, at a magnitude of 1.
+
 def drought(df: DataFrame, magnitude: float = 1.0) -> DataFrame:
     """A long dry spell: forecasts should rise. Dry days round half to even."""
     return _apply(df, {
