@@ -52,5 +52,8 @@ def write_predictions(predictions: DataFrame, path: str) -> None:
     predictions.write.mode("overwrite").option("ignoreNullFields", False).json(path)
 
 
-def append_report(report: DataFrame, path: str) -> None:
-    report.write.mode("append").option("ignoreNullFields", False).json(path)
+def append_report(report: DataFrame, path: str, round_id: str | None = None) -> None:
+    """Add a report to those in `path`. With a round's id it has its own folder, so a round that is retried
+    replaces its report in place of adding a second one."""
+    target, mode = (path, "append") if round_id is None else (f"{path}/round_id={round_id}", "overwrite")
+    report.write.mode(mode).option("ignoreNullFields", False).json(target)

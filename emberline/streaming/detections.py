@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline import schemas as S
@@ -26,6 +26,19 @@ def dedup(stream: DataFrame, delay: str = "1 hour", salts: int = 8) -> DataFrame
     return thinned.dropDuplicatesWithinWatermark(KEYS)
 
 
+def dedup_first(stream: DataFrame, order: list[Column], delay: str = "1 hour") -> DataFrame:
+    """Of each set of duplicates the first in `order` (ascending, nulls first, total), as the batch form chooses.
+
+    A detection's time is part of its key, so a set is complete once the watermark has passed that time: then its row
+    comes out, once. Copies later than the delay are dropped, rows without a time too. The choice is an aggregate that is
+    taken in each task first, so a key with very many copies sends one row per task, and the state holds one row per key.
+    """
+    timed = stream.filter(F.col("acq_datetime_utc").isNotNull()).withWatermark("acq_datetime_utc", delay)
+    rest = [c for c in stream.columns if c not in KEYS]
+    first = timed.groupBy(*KEYS).agg(F.min_by(F.struct(*rest), F.struct(*order)).alias("_first"))
+    return first.select(*[F.col(c) if c in KEYS else F.col("_first")[c].alias(c) for c in stream.columns])
+
+
 def daily_counts(stream: DataFrame, delay: str = "1 hour", offset_hours: int = 0, entity: str = S.ENTITY) -> DataFrame:
     """Counts per entity and day, each day once, after the watermark has passed its end.
 

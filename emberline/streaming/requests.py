@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from emberline import schemas as S
@@ -64,3 +64,30 @@ def drift_alert(series: DataFrame, threshold: float = 1.5, minutes: int = 10) ->
 
 def latency_alert(series: DataFrame, threshold: float = 1.0, minutes: int = 5) -> DataFrame:
     return sustained(series, F.col("value") > threshold, minutes)
+
+
+def alert_runs(series: DataFrame, condition: Column, minutes: int, alert: str, at: str = "window_end") -> DataFrame:
+    """Runs of evaluations that hold, as they end: one row per run that held for `minutes`, out of the stream itself.
+
+    `at` is the event time of a series with one evaluation a minute, as `window_time` gives it. Evaluations that hold
+    make sessions; one that is missing, null or false leaves more than the gap of 90 seconds and ends the run. A run comes out
+    once the watermark has passed its end. The state holds one row per open run. Spark wants a key beside a session: the
+    alert's name, taken from the row, since a constant key would be optimised away.
+    """
+    name = F.when(F.col(at).isNotNull(), alert)
+    runs = (series.filter(condition).groupBy(name.alias("alert"), F.session_window(at, "90 seconds"))
+            .agg(F.min(at).alias("_from"), F.max(at).alias("_to"), F.count(F.lit(1)).alias("n_evaluations"))
+            .filter(F.col("n_evaluations") > minutes))
+    held_from, held_to = (F.timestamp_micros(F.unix_micros(c) + 1) for c in ("_from", "_to"))
+    return runs.select("alert", held_from.alias("held_from"), (held_from + F.make_dt_interval(mins=F.lit(minutes))).alias("firing_from"),
+                       held_to.alias("held_to"), "n_evaluations")
+
+
+def latency_runs(log: DataFrame, threshold: float = 1.0, q: float = 0.95, minutes: int = 5, delay: str = "10 minutes") -> DataFrame:
+    hist = (_sliding(log, delay, bucket_counts(F.col("duration_s"), S.DURATION_BOUNDS, "le"))
+            .withColumn("window_end", F.window_time("window")).drop("window"))
+    return alert_runs(window_quantiles(hist, S.DURATION_BOUNDS, {"value": q}), F.col("value") > threshold, minutes, "latency")
+
+
+def drift_runs(log: DataFrame, earlier: DataFrame, threshold: float = 1.5, minutes: int = 10, **series) -> DataFrame:
+    return alert_runs(drift_series(log, earlier, **series), F.col("ratio") > threshold, minutes, "drift")

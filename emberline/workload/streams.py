@@ -47,6 +47,17 @@ def _(spark, sf):
                        "satellite").agg(F.count(F.lit(1)).alias("n"))
 
 
+# What the watermark has passed is out; the rows are those of the batch form.
+@query("stream_dedup_first", f"""WITH {D.det_sql()}, {D.DUP_SQL}
+SELECT event_id, province_id, priority, frp FROM (
+  SELECT *, row_number() OVER (PARTITION BY latitude, longitude, acq_datetime_utc, satellite ORDER BY priority, event_id) AS rn FROM dup)
+WHERE rn = 1 AND acq_datetime_utc <= (SELECT max(acq_datetime_utc) - INTERVAL 1 HOUR FROM det)""")
+def _(spark, sf):
+    copies = D.with_duplicates(D.from_events(events_stream(spark, sf)))
+    first = V.dedup_first(copies, [F.col("priority"), F.col("event_id")])
+    return finished(spark, first.select("event_id", "province_id", "priority", "frp"), "first")
+
+
 @query("stream_daily_counts", f"""WITH {D.det_sql('user')}
 SELECT acq_date AS date, province_id, count(*) AS hotspot_count FROM det
 WHERE acq_date + INTERVAL 1 DAY <= (SELECT max(acq_datetime_utc) - INTERVAL 1 HOUR FROM det) GROUP BY ALL""")
@@ -88,6 +99,45 @@ def _(spark, sf):
     return ended(Q.drift_alert(finished(spark, series, "drift")))
 
 
+# Islands of evaluations that hold; a run is out once the watermark has passed its gap.
+RUNS_SQL = """held AS (SELECT window_end, window_end - row_number() OVER (ORDER BY window_end) * INTERVAL 1 MINUTE AS island
+  FROM {source} WHERE {cond})
+SELECT '{alert}' AS alert, min(window_end) AS held_from, min(window_end) + INTERVAL {m} MINUTE AS firing_from, max(window_end) AS held_to, count(*) AS n_evaluations
+FROM held GROUP BY island HAVING count(*) > {m} AND max(window_end) + INTERVAL 90 SECOND <= (SELECT max(ts) - INTERVAL 10 MINUTE FROM slog)"""
+
+
+def naive(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("timestamp_ntz") for c in ("held_from", "firing_from", "held_to")})
+
+
+@query("stream_latency_runs", f"""WITH {LOG}, {slides()}, {quantile_ctes('duration_s', S.DURATION_BOUNDS, 0.95)},
+{RUNS_SQL.format(cond='value > 1.0', source='quant', m=5, alert='latency')}""")
+def _(spark, sf):
+    return naive(finished(spark, Q.latency_runs(stream_log(spark, sf)), "latency-runs"))
+
+
+@query("stream_drift_runs", f"""WITH {LOG}, {slides()}, {quantile_ctes('prediction', S.PREDICTION_BOUNDS, 0.95)},
+ratios AS (SELECT a.window_end, a.value / CASE WHEN b.value IS NOT NULL THEN greatest(b.value, 0.1) END AS ratio
+  FROM quant a JOIN quant b ON a.window_end = b.window_end + INTERVAL 1 HOUR),
+{RUNS_SQL.format(cond='ratio > 0.9', source='ratios', m=2, alert='drift')}""")
+def _(spark, sf):
+    log = stream_log(spark, sf)
+    return naive(finished(spark, Q.drift_runs(log, stream_log(spark, sf), 0.9, 2), "drift-runs"))
+
+
+@query("stream_triggers_once", f"WITH {ALERT_SQL} SELECT ts, alert, reason, 'spawned' AS action FROM parsed")
+def _(spark, sf):
+    """The trigger log twice over one checkpoint, and its batch once more by hand: no row comes twice."""
+    folder, log = new_folder(spark, "alerts"), new_folder(spark, "trigger-log")
+    alert_log(spark, sf).select("ts", "payload").write.option("timestampFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").json(folder)
+    rows = J.triggers(spark, folder)
+    for _round in range(2):
+        J.add_available(rows, log, f"{log}-checkpoint", "alerts")
+    out = J.read_batches(spark, log, rows.schema)
+    J.batch_writer(log, "alerts")(out.drop("stream", "batch"), 0)
+    return out.drop("stream", "batch").withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
 @query("stream_triggers", f"WITH {ALERT_SQL} SELECT ts, alert, reason, 'spawned' AS action FROM parsed")
 def _(spark, sf):
     folder = new_folder(spark, "alerts")

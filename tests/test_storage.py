@@ -140,6 +140,14 @@ def test_round_report_is_nested(spark):
     assert len(rows) == 2 and [s["name"] for s in rows[0]["stages"]] == ["evaluate_new", "get_production", "decide", rows[0]["decision"]]
 
 
+def test_a_round_that_is_retried_keeps_one_report(spark):
+    path = new_folder(spark, "reports")
+    for detail in ("first", "again"):
+        K.append_report(spark.createDataFrame([("m", detail)], "model string, detail string"), path, "r1")
+    K.append_report(spark.createDataFrame([("m", "other")], "model string, detail string"), path, "r2")
+    assert sorted((r["round_id"], r["detail"]) for r in spark.read.json(path).collect()) == [("r1", "again"), ("r2", "other")]
+
+
 def test_shared_folder_follows_the_session(spark):
     root = spark.conf.get("spark.checkpoint.dir", None)
     assert shared_folder(spark) == shared_folder(spark)
