@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Callable, Iterable
 
-from pyspark.sql import Column, DataFrame, Window
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from emberline import schemas as S
@@ -66,18 +68,47 @@ def dedup_detections(df: DataFrame, order: list[Column]) -> DataFrame:
     return keep_first(df, keys, order)
 
 
-def clean_detections(df: DataFrame, order: list[Column],
-                     offset_hours: int = S.UTC_OFFSET_HOURS) -> DataFrame:
+def clean_detections(df: DataFrame, order: list[Column], offset_hours: int = S.UTC_OFFSET_HOURS,
+                     watch: Callable[[str, DataFrame], DataFrame] = lambda step, rows: rows) -> DataFrame:
     """Raw text detections to typed, valid, de-duplicated ones.
 
-    `order` ranks duplicates: area priority first, then anything that makes it total.
+    `order` ranks duplicates: area priority first, then anything that makes it total. `watch` sees the rows after each step.
     """
     require_columns(df, S.DETECTION_REQUIRED, "detections")
-    out = coerce_numbers(drop_incomplete(df, S.DETECTION_REQUIRED), ["latitude", "longitude", "frp"])
+    whole = watch("n_complete", drop_incomplete(watch("n_raw", df), S.DETECTION_REQUIRED))
+    out = coerce_numbers(whole, ["latitude", "longitude", "frp"])
     if "confidence" in df.columns:
         out = out.withColumn("confidence", clean.clean_text(F.col("confidence")))
-    out = dedup_detections(add_acquisition_times(in_domain(out), offset_hours), order)
-    return project_detections(out)
+    timed = watch("n_timed", add_acquisition_times(watch("n_valid", in_domain(out)), offset_hours))
+    return project_detections(watch("n_distinct", dedup_detections(timed, order)))
+
+
+def clean_and_count(df: DataFrame, order: list[Column],
+                    offset_hours: int = S.UTC_OFFSET_HOURS) -> tuple[DataFrame, dict[str, Observation]]:
+    """`clean_detections` whose first action also counts the rows each step leaves, without a pass of its own.
+
+    Read the counts with `counts` after that action. They are for reports: a task that runs again after a lost executor
+    may be counted twice, where `cleaning_counts` is exact.
+    """
+    seen: dict[str, Observation] = {}
+
+    def watch(step: str, rows: DataFrame) -> DataFrame:
+        seen[step] = Observation(f"{step}-{uuid.uuid4().hex}")
+        return rows.observe(seen[step], F.count(F.lit(1)).alias(step))
+    return clean_detections(df, order, offset_hours, watch), seen
+
+
+def counts(seen: dict[str, Observation]) -> dict[str, int]:
+    """Rows after each step, in order; waits for the first action on the watched table."""
+    def rows(step: str, observed: Observation) -> int:
+        try:
+            return observed.get[step]
+        except Py4JJavaError as error:
+            # A step that Spark knows to be empty is cut from the plan and reports a row without columns.
+            if "assertion failed" not in str(error.java_exception):
+                raise
+            return 0
+    return {step: rows(step, observed) for step, observed in seen.items()}
 
 
 def cleaning_counts(df: DataFrame) -> DataFrame:

@@ -90,3 +90,17 @@ def newest_day_table(df: DataFrame, forecast: DataFrame) -> DataFrame:
 
 def distinct_entities(df: DataFrame, entity: str = S.ENTITY) -> DataFrame:
     return df.select(entity).dropna().distinct()
+
+
+def distinct_sketches(df: DataFrame, columns: list[str], by: str = "acq_date", precision: int = 12) -> DataFrame:
+    """One mergeable sketch per day and column: `by`, then a `<column>_sketch` of at most 2 ** precision bytes or so.
+
+    Nulls count for nothing. Days are stored once; any range of days is then counted from their sketches.
+    """
+    return df.groupBy(by).agg(*[F.hll_sketch_agg(c, precision).alias(f"{c}_sketch") for c in columns])
+
+
+def merged_distinct(sketches: DataFrame, columns: list[str], by: list[str] | None = None) -> DataFrame:
+    """Estimated distinct values over all sketches (of each group), with a standard error of 1.04 / sqrt(2 ** precision), 0 without any."""
+    merged = [F.coalesce(F.hll_sketch_estimate(F.hll_union_agg(f"{c}_sketch")), F.lit(0)).alias(f"n_{c}") for c in columns]
+    return sketches.groupBy(*(by or [])).agg(*merged)

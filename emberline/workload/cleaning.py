@@ -8,6 +8,7 @@ from emberline import schemas as S
 from emberline.functions import clean
 from emberline.operators import cleaning as C
 from emberline.operators import enrich as E
+from emberline.session import new_folder
 from emberline.workload import standins as D
 from emberline.workload.registry import query
 
@@ -129,9 +130,21 @@ def _(spark, sf):
     return E.unmatched(D.detections(spark, sf), weather)
 
 
-@query("cleaning_counts", f"""WITH {D.RAW_SQL}
+COUNTS_SQL = f"""WITH {D.RAW_SQL}
 SELECT (SELECT count(*) FROM raw) AS n_raw, (SELECT count(*) FROM numbers) AS n_complete, (SELECT count(*) FROM valid) AS n_valid,
   (SELECT count(*) FROM timed) AS n_timed,
-  (SELECT count(*) FROM (SELECT DISTINCT latitude, longitude, acq_datetime_utc, satellite FROM timed)) AS n_distinct""")
+  (SELECT count(*) FROM (SELECT DISTINCT latitude, longitude, acq_datetime_utc, satellite FROM timed)) AS n_distinct"""
+
+
+@query("cleaning_counts", COUNTS_SQL)
 def _(spark, sf):
     return C.cleaning_counts(D.raw_detections(spark, sf))
+
+
+@query("cleaning_counts_observed", COUNTS_SQL)
+def _(spark, sf):
+    """Counts of the run that writes the cleaned rows."""
+    rows, seen = C.clean_and_count(D.raw_detections(spark, sf), [F.col("event_id")])
+    rows.write.parquet(new_folder(spark, "cleaned"))
+    found = C.counts(seen)
+    return spark.createDataFrame([tuple(found.values())], ", ".join(f"{step} long" for step in found))

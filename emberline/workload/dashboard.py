@@ -10,6 +10,7 @@ from emberline.operators import daily as A
 from emberline.operators import dashboard as B
 from emberline.operators import scoring as P
 from emberline.operators import windows as W
+from emberline.session import new_folder
 from emberline.workload import standins as D
 from emberline.workload.features import DAILY_SQL, RISK_SQL, places_of, rounded
 from emberline.workload.registry import query
@@ -17,13 +18,16 @@ from emberline.workload.registry import query
 RANK_SQL = "CASE confidence WHEN 'n' THEN 1 WHEN 'h' THEN 2 ELSE 0 END"
 
 
-@query("dashboard_scan", f"""WITH {D.RAW_SQL}
+DASHBOARD_SQL = f"""WITH {D.RAW_SQL}
 SELECT event_id, TRY_CAST(acq_date AS DATE) AS acq_date, lower({D.STRIPPED_SQL}) AS confidence,
   CASE WHEN isnan(TRY_CAST(trim(latitude) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(latitude) AS DOUBLE) END AS latitude,
   CASE WHEN isnan(TRY_CAST(trim(longitude) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(longitude) AS DOUBLE) END AS longitude,
   CASE WHEN isnan(TRY_CAST(trim(frp) AS DOUBLE)) THEN NULL ELSE TRY_CAST(trim(frp) AS DOUBLE) END AS frp
 FROM raw WHERE TRY_CAST(acq_date AS DATE) IS NOT NULL
-  AND NOT isnan(TRY_CAST(trim(latitude) AS DOUBLE)) AND TRY_CAST(trim(longitude) AS DOUBLE) IS NOT NULL""")
+  AND NOT isnan(TRY_CAST(trim(latitude) AS DOUBLE)) AND TRY_CAST(trim(longitude) AS DOUBLE) IS NOT NULL"""
+
+
+@query("dashboard_scan", DASHBOARD_SQL)
 def _(spark, sf):
     return B.prepare_hotspots(D.raw_detections(spark, sf)).select(
         "event_id", "acq_date", "confidence", "latitude", "longitude", "frp")
@@ -74,6 +78,21 @@ def _(spark, sf):
         F.count_distinct("confidence").alias("n_classes"))
 
 
+# Days are merged from their stored sketches; the estimate lies within three standard errors of the exact count.
+@query("distinct_sketches", f"""WITH {D.det_sql('user')}
+SELECT date_trunc('month', acq_date)::DATE AS month, count(DISTINCT province_id) AS n_entities, count(DISTINCT event_id) AS n_events,
+  true AS entities_near, true AS events_near FROM det GROUP BY ALL""")
+def _(spark, sf):
+    det, folder, month = D.detections(spark, sf, "user"), new_folder(spark, "sketches"), F.trunc("acq_date", "month")
+    B.distinct_sketches(det, ["province_id", "event_id"]).write.parquet(folder)
+    near = B.merged_distinct(spark.read.parquet(folder).withColumn("month", month), ["province_id", "event_id"], ["month"])
+    exact = det.groupBy(month.alias("month")).agg(F.count_distinct("province_id").alias("n_entities"), F.count_distinct("event_id").alias("n_events"))
+    off = 3 * 1.04 / 64
+    return exact.join(near, "month").select(
+        "month", "n_entities", "n_events", (F.abs(F.col("n_province_id") - F.col("n_entities")) <= F.col("n_entities") * off + 1).alias("entities_near"),
+        (F.abs(F.col("n_event_id") - F.col("n_events")) <= F.col("n_events") * off + 1).alias("events_near"))
+
+
 @query("distinct_entities", f"WITH {D.det_sql('user')} SELECT DISTINCT province_id FROM det")
 def _(spark, sf):
     return B.distinct_entities(D.detections(spark, sf, "user"))

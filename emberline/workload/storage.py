@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from emberline import schemas as S
 from emberline.operators import cleaning as C
 from emberline.operators import daily as A
+from emberline.operators import dashboard as B
 from emberline.operators import spatial as X
 from emberline.plans import retrain as T
 from emberline.session import new_folder
@@ -18,7 +19,7 @@ from emberline.sources import payloads as Y
 from emberline.sources import snapshots as Z
 from emberline.workload import standins as D
 from emberline.workload.areas import ASSIGNED_SQL
-from emberline.workload.dashboard import FORECAST_SQL, LABEL_SQL, forecast
+from emberline.workload.dashboard import DASHBOARD_SQL, FORECAST_SQL, LABEL_SQL, forecast
 from emberline.workload.features import DAILY_SQL, RISK_SQL, rounded
 from emberline.workload.gate import ALL_SQL, gate_sql, runs, versions
 from emberline.workload.registry import query
@@ -47,6 +48,13 @@ def _(spark, sf):
                      "acq_date", "acq_time", "frp", F.col("type").isNotNull().alias("has_type"))
 
 
+@query("dashboard_file_scan", DASHBOARD_SQL)
+def _(spark, sf):
+    """The dashboard's rows from files of two layouts."""
+    rows = B.prepare_hotspots(R.scan_detections(spark, f"{landed_detections(spark, sf)}/*"))
+    return rows.select(F.col("version").cast("long").alias("event_id"), "acq_date", "confidence", "latitude", "longitude", "frp")
+
+
 def landed_by_prefix(spark, sf) -> str:
     """Raw detections as one CSV file per area, which only the file's name tells: <area>_20240101_UTC.csv."""
     folder = new_folder(spark, "prefixed")
@@ -110,6 +118,32 @@ def _(spark, sf):
         F.array_join("missing_extra", ",").alias("missing_extra")).distinct()
 
 
+# One file per area; in some areas every fiftieth line has a field too many, so the whole file is left out and listed.
+@query("malformed_files", f"""WITH {D.RAW_SQL},
+files AS (SELECT province_id, count(*) + 1 AS n_lines, count(*) FILTER (event_id % 50 = 0 AND province_id IN ('click', 'view')) > 0 AS wide
+  FROM raw GROUP BY province_id)
+SELECT province_id, n_lines, CASE WHEN wide THEN 'a line with too many fields' END AS reason, CASE WHEN wide THEN 0 ELSE n_lines - 1 END AS n_kept
+FROM files""")
+def _(spark, sf):
+    folder, raw = new_folder(spark, "malformed"), D.raw_detections(spark, sf).withColumn("version", F.col("event_id").cast("string"))
+    cells = F.concat_ws(",", *[F.coalesce(c, F.lit("")) for c in S.NRT_COLUMNS])
+    odd = F.when((F.col("event_id") % 50 == 0) & F.col(S.ENTITY).isin("click", "view"), ",9").otherwise("")
+    lines = as_layout(raw, S.NRT_COLUMNS + [S.ENTITY, "event_id"]).select(S.ENTITY, F.lit(1).alias("at"), F.concat(cells, odd).alias("value"))
+    heads = raw.select(S.ENTITY).distinct().select(S.ENTITY, F.lit(0).alias("at"), F.lit(",".join(S.NRT_COLUMNS)).alias("value"))
+    named = lines.unionByName(heads).repartition(S.ENTITY).sortWithinPartitions(S.ENTITY, "at").select(S.ENTITY, "value")
+    named.write.partitionBy(S.ENTITY).text(f"{folder}/text")
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    files = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
+    for found in files.globStatus(path(f"{folder}/text/*/part-*.txt")):
+        files.rename(found.getPath(), path(str(found.getPath()).removesuffix(".txt") + ".csv"))
+    area = F.regexp_extract("file_path", "province_id=([^/]+)/", 1)
+    listed = R.csv_files(spark, f"{folder}/text").select(area.alias(S.ENTITY), "n_lines", "file_path")
+    bad = R.quarantine(R.csv_files(spark, f"{folder}/text"), S.HEADER_CRITICAL).select("file_path", "reason")
+    kept = R.scan_detections(spark, f"{folder}/text").groupBy(S.ENTITY).agg(F.count(F.lit(1)).alias("n_kept"))
+    return (listed.join(bad, "file_path", "left").drop("file_path").join(kept, S.ENTITY, "left")
+            .withColumn("n_kept", F.coalesce("n_kept", F.lit(0))))
+
+
 @query("weather_scan", f"""WITH {D.weather_sql('group')}
 SELECT snapshot_id, province_id, date, fetched_at_utc, precipitation_sum FROM weather""")
 def _(spark, sf):

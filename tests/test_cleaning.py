@@ -9,6 +9,7 @@ from emberline import schemas as S
 from emberline.functions import clean
 from emberline.operators import cleaning as C
 from emberline.operators import enrich as E
+from emberline.session import new_folder
 
 
 def one(spark, value, kind, fn):
@@ -128,3 +129,17 @@ def test_salt_spreads_a_hot_day_over_shuffled_tasks(spark):
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.set("spark.sql.adaptive.enabled", "true")
+
+
+def test_counts_come_from_the_run_that_writes(spark):
+    good = ("1.0", "2.0", "2024-01-01", "518", "3", "N", "a")
+    bad = [(None, *good[1:]), ("95", *good[1:]), ("x", *good[1:]), (*good[:3], "2575", *good[4:])]
+    raw = spark.createDataFrame([good] * 3 + bad, "latitude string, longitude string, acq_date string, acq_time string, frp string, satellite string, province_id string")
+    rows, seen = C.clean_and_count(raw.repartition(3), [F.col("province_id")])
+    rows.write.parquet(new_folder(spark, "counted"))
+    got = C.counts(seen)
+    assert got == {"n_raw": 7, "n_complete": 6, "n_valid": 4, "n_timed": 3, "n_distinct": 1}
+    assert C.cleaning_counts(raw).first().asDict() == got
+    empty, seen = C.clean_and_count(raw.limit(0), [F.col("province_id")])
+    empty.write.parquet(new_folder(spark, "counted"))
+    assert set(C.counts(seen).values()) == {0}

@@ -107,3 +107,13 @@ def test_totals_skip_failed_predictions(spark):
     df = spark.createDataFrame([(3, 1.5), (100, None), (2, 2.5)], "today_count long, prediction_count double")
     assert tuple(P.prediction_totals(df).first()) == (5, 4.0)
     assert tuple(P.prediction_totals(df.filter("prediction_count is null")).first()) == (0, 0.0)
+
+
+def test_sketches_of_days_merge(spark):
+    rows = spark.range(20000).select((F.col("id") % 10).alias("day"), (F.col("id") % 7000).alias("k"), F.when(F.col("id") < 0, 1).alias("none"))
+    days = B.distinct_sketches(rows, ["k", "none"], "day")
+    assert days.count() == 10
+    all_days, half = B.merged_distinct(days, ["k", "none"]).first(), B.merged_distinct(days.filter("day < 5"), ["k"]).first()
+    exact = rows.filter("day < 5").select("k").distinct().count()
+    assert abs(all_days["n_k"] - 7000) <= 350 and abs(half["n_k"] - exact) <= 0.05 * exact and all_days["n_none"] == 0
+    assert B.merged_distinct(days.limit(0), ["k"]).first()["n_k"] == 0

@@ -163,3 +163,24 @@ def test_odd_headers(spark, tmp_path):
     got = R.scan_detections(spark, str(tmp_path))
     assert sorted((r[S.ENTITY], float(r["latitude"])) for r in got.collect()) == [("a", 1.5), ("b", 4.0), ("c", 7.0)]
     assert got.filter("latitude = '7'").select("note", "`note.1`").first() == ("p", "q")
+
+
+def test_files_with_wide_lines_are_left_out_and_listed(spark, tmp_path):
+    head = "latitude,longitude,acq_date,acq_time,frp,note"
+    good = "1,2,2024-01-01,5,3"
+    (tmp_path / "a_1_UTC.csv").write_text(f'{head}\n{good},"x, y"\n{good},"say ""a, b"""\n')     # commas in quotes part nothing
+    (tmp_path / "b_1_UTC.csv").write_text(f"{head}\n{good}\n{good},p\n")                          # a short line stays
+    (tmp_path / "c_1_UTC.csv").write_text(f"{head}\n{good},p\n\n{good},p,q\n{good},p\n")
+    (tmp_path / "d 1_UTC.csv").write_text(f"{head}\n{good},p,q\n")
+    (tmp_path / "e_1_UTC.csv").write_text("latitude,longitude\n1,2,3\n")
+    (tmp_path / "f_1_UTC.csv").write_text("")
+    (tmp_path / "g_1_UTC.csv").write_text("\n \n")
+    found = R.quarantine(R.csv_files(spark, str(tmp_path)), S.HEADER_CRITICAL)
+    got = {r["file_path"].rsplit("/", 1)[1][0]: (r["reason"].split(" ")[0], r["n_lines"], r["n_fields"], r["n_header"]) for r in found.collect()}
+    assert got == {"c": ("a", 4, 7, 6), "d": ("a", 2, 7, 6), "e": ("no", 2, 3, 2), "g": ("no", 0, 0, 1)}
+    rows = R.scan_detections(spark, str(tmp_path))
+    assert sorted((r[S.ENTITY], r["note"] or "") for r in rows.collect()) == [("a", 'say "a, b"'), ("a", "x, y"), ("b", ""), ("b", "p")]
+    with pytest.raises(ValueError, match="too many fields"):
+        (tmp_path / "strict").mkdir()
+        (tmp_path / "strict" / "x.csv").write_text(f"{head}\n{good},p,q\n")
+        R.scan_csv(spark, str(tmp_path / "strict"), S.HEADER_CRITICAL, strict=True)
