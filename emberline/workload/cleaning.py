@@ -8,6 +8,7 @@ from emberline import schemas as S
 from emberline.functions import clean
 from emberline.operators import cleaning as C
 from emberline.operators import enrich as E
+from emberline.plans import detections as T
 from emberline.session import new_folder
 from emberline.workload import standins as D
 from emberline.workload.registry import query
@@ -148,3 +149,21 @@ def _(spark, sf):
     rows.write.parquet(new_folder(spark, "cleaned"))
     found = C.counts(seen)
     return spark.createDataFrame([tuple(found.values())], ", ".join(f"{step} long" for step in found))
+
+
+# Areas rank by their first letter, later ones first; `signup` is not in the area table. Every tenth detection comes from a second area.
+@query("clean_by_area", f"""WITH {D.RAW_SQL},
+dup AS (SELECT * FROM timed UNION ALL
+  SELECT * REPLACE (CASE WHEN event_id % 20 = 0 THEN 'signup' ELSE 'view' END AS province_id) FROM timed WHERE event_id % 10 = 0),
+areas AS (SELECT DISTINCT event_type AS province_id, 200 - ascii(event_type) AS priority FROM events WHERE event_type <> 'signup'),
+ranked AS (SELECT d.*, row_number() OVER (PARTITION BY latitude, longitude, acq_datetime_utc, satellite
+    ORDER BY coalesce(a.priority, 1000), event_id, d.province_id) AS rn FROM dup d LEFT JOIN areas a USING (province_id))
+SELECT latitude, longitude, acq_datetime_utc, satellite, province_id, frp FROM ranked WHERE rn = 1""")
+def _(spark, sf):
+    raw = D.landed_raw(spark, sf)
+    second = F.when(F.col("event_id") % 20 == 0, "signup").otherwise("view")
+    dup = raw.unionByName(raw.filter(F.col("event_id") % 10 == 0).withColumn("province_id", second))
+    areas = D.table(spark, sf, "events").filter("event_type <> 'signup'").select(
+        F.col("event_type").alias("province_id"), (200 - F.ascii("event_type")).alias("priority"))
+    out = T.clean_by_area(dup, areas, [F.col("event_id"), F.col("province_id")])
+    return out.select("latitude", "longitude", ntz("acq_datetime_utc"), "satellite", "province_id", "frp")

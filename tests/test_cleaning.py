@@ -9,6 +9,7 @@ from emberline import schemas as S
 from emberline.functions import clean
 from emberline.operators import cleaning as C
 from emberline.operators import enrich as E
+from emberline.plans import detections as T
 from emberline.session import new_folder
 
 
@@ -143,3 +144,14 @@ def test_counts_come_from_the_run_that_writes(spark):
     empty, seen = C.clean_and_count(raw.limit(0), [F.col("province_id")])
     empty.write.parquet(new_folder(spark, "counted"))
     assert set(C.counts(seen).values()) == {0}
+
+
+def test_the_area_with_the_lowest_priority_keeps_a_shared_detection(spark):
+    def row(lat, area, frp="3"):
+        return (lat, "2.0", "2024-01-01", "518", frp, "N", area)
+    raw = spark.createDataFrame([row("1", "b"), row("1", "a"), row("1", "none"), row("2", None), row("2", "none"), row("3", "none"), row("3", "b")],
+                                "latitude string, longitude string, acq_date string, acq_time string, frp string, satellite string, province_id string")
+    areas = spark.createDataFrame([("a", 1), ("b", 5), ("b", 0)], "province_id string, priority int")
+    got = T.clean_by_area(raw, areas, [F.asc_nulls_first("province_id")])
+    assert sorted((r["latitude"], r["province_id"]) for r in got.collect()) == [(1.0, "b"), (2.0, None), (3.0, "b")]
+    assert "_priority" not in got.columns and T.clean_by_area(raw.limit(0), areas.limit(0), [F.col("province_id")]).count() == 0
