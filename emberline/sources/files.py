@@ -28,7 +28,8 @@ def csv_files(spark: SparkSession, folder: str) -> DataFrame:
     """One row per CSV file that isn't empty: `file_path`, `header` (its first line that is not blank, or ""), `n_lines`
     (not blank ones, the header included) and `n_fields` (of its widest line, 0 without lines).
 
-    Lines are counted by fixed-size aggregates in each task, so no text is shuffled but the headers'.
+    Lines are counted by fixed-size aggregates in each task. The text is then read again, its first blocks only kept, for the
+    headers; their lines stay where they are if Spark finds the counts, a row per file, small enough to broadcast.
     """
     def reader():
         return spark.read.option("pathGlobFilter", "*.csv").option("recursiveFileLookup", True)
