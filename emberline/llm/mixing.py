@@ -58,10 +58,14 @@ def quotas(claims: DataFrame, group: list[str], claim: str, house: Column, order
     """Adds `blocks`: Sainte-Lague seats of each row, `house` in each group, ties in the given order.
 
     Bounds on the final divisor give each row all seats but the last few, so only about two quotients a
-    row are ranked."""
-    whole = Window.partitionBy(*group)
+    row are ranked. All groups' quotients are ranked in one order of range partitions; a quotient's place in its group is
+    its place there less that of the group's first, so no window holds a group."""
+    named = {x: f"__in_{x}" for x in group}
+    same = [F.col(x).eqNullSafe(F.col(y)) for x, y in named.items()]
     if group:
-        known = claims.withColumns({"__n": F.count("*").over(whole), "__all": F.sum(claim).over(whole)})
+        claims = stored(claims, f"{name}_claims")
+        sums = claims.groupBy(*group).agg(F.count("*").alias("__n"), F.sum(claim).alias("__all")).withColumnsRenamed(named)
+        known = claims.join(sums, same).drop(*named.values())
     else:
         known = claims.join(F.broadcast(claims.agg(F.count("*").alias("__n"), F.sum(claim).alias("__all"))))
     bound = lambda sign: F.floor(F.coalesce(F.col(claim) * (house + sign * F.col("__n") / 2) / F.expr("nullif(`__all`, 0)"), F.lit(0.0)) + 0.5)
@@ -71,8 +75,10 @@ def quotas(claims: DataFrame, group: list[str], claim: str, house: Column, order
     by = [F.desc("__quotient"), order, F.asc("__k")]
     if group:
         missing = known.groupBy(*group).agg((F.first("__house") - F.sum("__low")).alias("__missing"))
-        placed = tried.withColumn("__place", F.row_number().over(whole.orderBy(*by)) - 1).join(missing.withColumnsRenamed({x: f"__{x}" for x in group}), [
-            F.col(x).eqNullSafe(F.col(f"__{x}")) for x in group])
+        ranked = stored(numbered(tried, [*group, *by], "__at", name), f"{name}_ranked")
+        first = ranked.groupBy(*group).agg(F.min("__at").alias("__first"))
+        offsets = missing.join(first.withColumnsRenamed(named), same).drop(*named.values()).withColumnsRenamed(named)
+        placed = ranked.join(offsets, same).withColumn("__place", F.col("__at") - F.col("__first"))
     else:
         missing = known.agg((F.first("__house") - F.sum("__low")).alias("__missing"))
         placed = numbered(tried, by, "__place", name).join(F.broadcast(missing))

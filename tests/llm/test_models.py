@@ -281,6 +281,23 @@ def test_seats_are_the_highest_quotients(spark):
         assert got == {i: sum(1 for _, j in tried if j == i) for i, _ in claims}
 
 
+def test_seats_in_groups_are_the_highest_quotients_of_each(spark):
+    draw = random.Random(6)
+    house = {None: 40, 0: 1000, 1: 0, 2: 7, 3: 55}
+    claims = [(g, i, float(draw.choice([0, 1, 1, 50, 3000]) if g != 3 else 5)) for g in house for i in range(30 if g else 1)]
+    claims += [(4, i, 0.0) for i in range(3)]
+    house[4] = 9
+    frame = spark.createDataFrame([(*c, house[c[0]]) for c in claims], "g long, rank long, claim double, seats long").repartition(5)
+    seats = mixing.quotas(frame, ["g"], "claim", F.col("seats"), F.asc("rank"), "t")
+    assert seats.columns == ["g", "rank", "claim", "seats", "blocks"]
+    got = {(r["g"], r["rank"]): r["blocks"] for r in seats.collect()}
+    assert len(got) == len(claims)
+    for g in house:
+        own = [(i, c) for h, i, c in claims if h == g]
+        tried = sorted((-c / (2 * k + 1), i, k) for i, c in own if c for k in range(house[g]))[:house[g]]
+        assert {i: got[g, i] for i, _ in own} == {i: sum(1 for _, j, _ in tried if j == i) for i, _ in own}
+
+
 def test_applied_mix_has_the_words_that_it_takes(spark, odd):
     docs = odd.where("doc_id is not null").dropDuplicates(["doc_id"]).withColumn("size", F.lit("clash")).withColumn("__row", F.lit(1))
     taken = {r["doc_id"]: r["taken"] for r in mixing.mix(docs, block=8, shard_words=100).collect() if r["taken"]}
