@@ -157,6 +157,53 @@ def _fit(likelihood: np.ndarray, begin: np.ndarray, size: np.ndarray, active: np
     return share, np.add.reduceat(np.log(np.maximum(total, 1e-300)), begin)
 
 
+def _best_addition(likelihood, begin, size, active, share, value, cost, growing, rounds):
+    """For each growing document the language outside its set that raises the likelihood most: proportions with
+    it, log-likelihood and its place, or -1 where none raises it by more than the cost.
+
+    No language is left out unseen: the likelihood is concave in the proportions, so with language j it rises by at most
+    the largest sum over words of p_i / p_mixture - 1, i being j or in the set. Languages are tried by falling bound, until
+    no bound is above the best rise found (or the cost)."""
+    own = _rows_of(begin[growing], size[growing])
+    inner = np.concatenate([[0], np.cumsum(size[growing])[:-1]])
+    part = likelihood[own]
+    mixed = (part * np.repeat(share[growing], size[growing], 0)).sum(1, keepdims=True)
+    bound = np.add.reduceat(part / np.maximum(mixed, 1e-300), inner, 0) - size[growing, None]
+    bound = np.maximum(bound, np.where(active[growing], bound, -np.inf).max(1, keepdims=True))
+    bound[active[growing]] = -np.inf
+    order = np.argsort(-bound, axis=1, kind="stable")
+    bound = np.take_along_axis(bound, order, 1)
+    # Only the columns of a document's set and the language tried take part.
+    widest = int(active[growing].sum(1).max())
+    members = np.argsort(~active[growing], axis=1, kind="stable")[:, :widest]
+    is_member = np.take_along_axis(active[growing], members, 1)
+    best, language, proportions = cost[growing].astype(float), np.full(len(growing), -1), share[growing].copy()
+    for step in range(part.shape[1]):
+        open_ = np.flatnonzero(bound[:, step] > best)
+        if not len(open_):
+            break
+        new = order[open_, step]
+        columns = np.column_stack([members[open_], new])
+        allowed = np.column_stack([is_member[open_], np.ones(len(open_), bool)])
+        words, n = _rows_of(inner[open_], size[growing[open_]]), size[growing[open_]]
+        some = part[words[:, None], np.repeat(columns, n, 0)]
+        fitted, reached = _fit(some, np.concatenate([[0], np.cumsum(n)[:-1]]), n, allowed.astype(float), rounds)
+        rise = reached - value[growing[open_]]
+        better = rise > best[open_]
+        at = open_[better]
+        best[at], language[at] = rise[better], new[better]
+        proportions[at] = 0
+        for column in range(columns.shape[1]):
+            use = allowed[better, column]
+            proportions[at[use], columns[better][use, column]] = fitted[better][use, column]
+    return proportions, value[growing] + best, language
+
+
+def _rows_of(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of all rows of the given runs."""
+    return np.arange(int(size.sum())) + np.repeat(begin - np.concatenate([[0], np.cumsum(size)[:-1]]), size)
+
+
 def infer(spans: W.Spans, logs: np.ndarray, n: int, penalty: float = PENALTY, rounds: int = ROUNDS) -> np.ndarray:
     """Proportions of the chosen languages in each of n documents; zeros for documents without words."""
     out = np.zeros((n, logs.shape[1]))
@@ -174,20 +221,10 @@ def infer(spans: W.Spans, logs: np.ndarray, n: int, penalty: float = PENALTY, ro
     cost = penalty + 0.5 * np.log(size + 1.0)
     growing = np.arange(len(docs))
     while len(growing):
-        # The next language is the one with the largest share of the words when all are allowed.
-        words = np.repeat(np.isin(np.arange(len(docs)), growing), size)
-        own = np.concatenate([[0], np.cumsum(size[growing])[:-1]])
-        part = likelihood[words]
-        wide, _ = _fit(part, own, size[growing], np.ones((len(growing), logs.shape[1])), 3)
-        wide[active[growing]] = -1
-        new = wide.argmax(1)
-        possible = wide[np.arange(len(growing)), new] > 0
-        tried = active[growing].copy()
-        tried[np.arange(len(growing)), new] = True
-        fitted, reached = _fit(part, own, size[growing], tried.astype(float), rounds)
-        better = possible & (reached - value[growing] > cost[growing])
-        won = growing[better]
-        active[won], share[won], value[won] = tried[better], fitted[better], reached[better]
+        found, reached, language = _best_addition(likelihood, begin, size, active, share, value, cost, growing, rounds)
+        won = growing[language >= 0]
+        active[won, language[language >= 0]] = True
+        share[won], value[won] = found[language >= 0], reached[language >= 0]
         growing = won
     out[docs] = share
     return out
@@ -210,7 +247,7 @@ def predict(documents: DataFrame, keep: list[str], languages: list[str], table:
                 score = np.where(known, share.max(1), 0.0)
             else:
                 best, score = np.zeros(block.n, np.int64), np.zeros(block.n)
-            chosen = [[languages[j] for j in np.flatnonzero(x > 0.01)] if y else [] for x, y in zip(share, known, strict=True)]
+            chosen = [[languages[j] for j in np.flatnonzero(x > 0)] if y else [] for x, y in zip(share, known, strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(i) for i in range(len(keep))] + [pa.array(names[best].tolist(), pa.string()), pa.array(np.clip(score, 0, 1)), pa.array(chosen, pa.list_(pa.string()))],
                 [*keep, "lang_pred", "score", "lang_set"])

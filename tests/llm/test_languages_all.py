@@ -34,3 +34,50 @@ def test_sparse_rows_are_those_of_the_dense_array(spark):
     (a, dense), (b, sparse) = language_mixture.learn(train), language_mixture.learn(train, dense=2)
     assert a == b and isinstance(sparse, language_mixture.Sparse)
     np.testing.assert_allclose(language_mixture.word_likelihoods(block, dense)[1], language_mixture.word_likelihoods(block, sparse)[1], rtol=1e-5)
+
+
+def by_trying_all(likelihood, penalty, rounds):
+    """Proportions of one document: every language is fitted in every step."""
+    n, width = likelihood.shape
+
+    def fit(chosen):
+        share = np.zeros(width)
+        share[chosen] = 1 / len(chosen)
+        for _ in range(rounds):
+            weighted = likelihood * share
+            share = (weighted / weighted.sum(1, keepdims=True)).sum(0) / n
+        return np.log((likelihood * share).sum(1)).sum(), share
+    singles = [np.log(likelihood[:, j]).sum() for j in range(width)]
+    chosen = [int(np.argmax(singles))]
+    value, share = singles[chosen[0]], np.eye(width)[chosen[0]]
+    while len(chosen) < width:
+        tried = [(*fit([*chosen, j]), j) for j in range(width) if j not in chosen]
+        best = max(tried, key=lambda x: x[0])
+        if best[0] - value <= penalty + 0.5 * np.log(n + 1):
+            break
+        value, share = best[:2]
+        chosen.append(best[2])
+    return share
+
+
+def test_languages_are_those_that_raise_the_likelihood_most():
+    draw = np.random.default_rng(11)
+    several = 0
+    for _ in range(60):
+        width, docs = int(draw.integers(1, 9)), int(draw.integers(1, 7))
+        sizes = draw.integers(0, 60, docs)
+        doc = np.repeat(np.arange(docs), sizes)
+        logs = draw.normal(0, draw.choice([0.5, 2, 6]), (len(doc), width))
+        spoken = [draw.choice(width, min(width, int(draw.integers(1, 5))), replace=False) for _ in range(docs)]
+        for i, d in enumerate(doc):
+            logs[i, draw.choice(spoken[d])] += 3
+        got = language_mixture.infer(W.Spans(doc, np.arange(len(doc)), np.arange(len(doc))), logs, docs, 3.0, 12)
+        for d in range(docs):
+            if sizes[d]:
+                own = logs[doc == d]
+                want = by_trying_all(np.exp(np.maximum(own - own.max(1, keepdims=True), -60)), 3.0, 12)
+                np.testing.assert_allclose(got[d], want, atol=1e-6)
+                several += (want > 0).sum() > 2
+            else:
+                assert not got[d].any()
+    assert several > 20
