@@ -17,6 +17,8 @@ Box = tuple[str, float, float, float, float]
 CASE_LIMIT = 64
 # Boxes of a grid cell beyond which it is cut into quarters, and how often at most.
 CELL_BOXES, LEVELS = 64, 16
+# Rows that the quarters of a coarse cell may hold for each of its own before it is cut no further.
+GROWTH = 16
 
 
 def configured_boxes() -> list[Box]:
@@ -53,14 +55,28 @@ def _inside(areas: DataFrame, degrees: float) -> DataFrame:
 
 
 def _pruned(met: DataFrame, size: float) -> DataFrame:
-    """Boxes that may win in their cell, and how many these are; a box that covers the cell beats all after it."""
+    """Boxes that may win in their cell, and how many these are.
+
+    Of boxes that hold the same part of a cell only the first is kept, and a box that covers the cell beats all after it.
+    Joins are by shuffles: sizes of stored tables, as Spark estimates them, are those of packed files.
+    """
     def covers(cell: str, low: str, high: str) -> Column:
         return (F.col(low) <= F.col(cell) * size) & (F.col(high) >= (F.col(cell) + 1) * size)
-    cell = ["_cell_lat", "_cell_lon"]
+
+    def part(cell: str, low: str, high: str) -> list[Column]:
+        # A little more than the cell, so that a point rounded into it is judged right, too.
+        edge = size / 1024
+        return [F.greatest(F.col(low), F.col(cell) * size - edge).alias(f"_{low}"), F.least(F.col(high), (F.col(cell) + 1) * size + edge).alias(f"_{high}")]
+    cell, box = ["_cell_lat", "_cell_lon"], ["priority", S.ENTITY, "lat_min", "lat_max", "lon_min", "lon_max"]
+    other = [c for c in met.columns if c not in {*cell, *box}]
+    # In the order of lists; a box without priority is dropped beside one that covers the cell, so it stands for itself only.
+    alike = [*cell, *other, *part("_cell_lat", "lat_min", "lat_max"), *part("_cell_lon", "lon_min", "lon_max"), F.col("priority").isNull().alias("_unranked")]
+    first = F.min(F.struct("priority", S.ENTITY, "lat_min", "lon_min", "lat_max", "lon_max")).alias("_first")
+    met = met.groupBy(*alike).agg(first).select(*cell, *other, "_first.*")
     full = F.when(covers("_cell_lat", "lat_min", "lat_max") & covers("_cell_lon", "lon_min", "lon_max"), F.col("priority"))
     best = met.groupBy(*cell).agg(F.min(full).alias("_full"))
-    live = met.join(best, cell).where("_full is null or priority <= _full").drop("_full")
-    return live.join(live.groupBy(*cell).agg(F.count(F.lit(1)).alias("_live")), cell)
+    live = met.join(best.hint("merge"), cell).where("_full is null or priority <= _full").drop("_full")
+    return live.join(live.groupBy(*cell).agg(F.count(F.lit(1)).alias("_live")).hint("merge"), cell)
 
 
 def _listed(live: DataFrame) -> DataFrame:
@@ -72,8 +88,9 @@ def area_cells(areas: DataFrame, degrees: float, most: int = CELL_BOXES, levels:
     """Coarse cells with the boxes that may win in them, in priority order, or with the levels to which they are split; and the split cells.
 
     A cell with more than `most` such boxes is cut into quarters, level by level, so lists stay short where many small
-    boxes lie together; only where more than `most` boxes meet within 1 / 2^`levels` of a cell's side is a list longer.
-    The number of rounds follows the table of areas, not the points.
+    boxes lie together. A list is longer only where more than `most` different parts meet within 1 / 2^`levels` of a cell's
+    side, or where the quarters of a coarse cell came to hold more than `GROWTH` times its own boxes: cutting on would
+    multiply rows along edges. The number of rounds follows the table of areas, not the points.
     """
     folder = new_folder(areas.sparkSession, "area-cells")
 
@@ -81,32 +98,34 @@ def area_cells(areas: DataFrame, degrees: float, most: int = CELL_BOXES, levels:
         df.write.parquet(f"{folder}/{name}")
         return areas.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
 
-    live = _pruned(_inside(areas, degrees), degrees)
+    live = settled(_pruned(_inside(areas, degrees), degrees), "level0")
     crowded = live.where(F.col("_live") > most)
     if not levels or crowded.isEmpty():
         return _listed(live).withColumn("_levels", F.lit(None).cast("array<int>")), None
     coarse = _listed(live.where(F.col("_live") <= most)).withColumn("_levels", F.lit(None).cast("array<int>"))
     top = ["_top_lat", "_top_lon"]
-    crowded = settled(crowded.withColumns({"_top_lat": F.col("_cell_lat"), "_top_lon": F.col("_cell_lon")}), "level0")
-    fine, used = [], []
+    crowded = crowded.withColumns({"_top_lat": F.col("_cell_lat"), "_top_lon": F.col("_cell_lon")})
+    own = crowded.groupBy(*top).agg(F.count(F.lit(1)).alias("_own"))
+    fine = []
     for level in range(1, levels + 1):
         size, half = degrees / 2 ** level, F.array(F.lit(0), F.lit(1))
+
+        def cut(df: DataFrame) -> DataFrame:
+            return (df.withColumn("_i", F.explode(half)).withColumn("_j", F.explode(half))
+                    .withColumns({"_cell_lat": F.col("_cell_lat") * 2 + F.col("_i"), "_cell_lon": F.col("_cell_lon") * 2 + F.col("_j")}).drop("_i", "_j"))
         # Every quarter is kept, also one that no box meets, so a point below a split cell always finds just one.
-        quarters = (crowded.select("_cell_lat", "_cell_lon", *top).distinct().withColumn("_i", F.explode(half)).withColumn("_j", F.explode(half))
-                    .select(*top, F.col("_cell_lat").alias("_up_lat"), F.col("_cell_lon").alias("_up_lon"), (F.col("_cell_lat") * 2 + F.col("_i")).alias("_cell_lat"), (F.col("_cell_lon") * 2 + F.col("_j")).alias("_cell_lon")))
-        boxes = crowded.select(F.col("_cell_lat").alias("_up_lat"), F.col("_cell_lon").alias("_up_lon"), "priority", S.ENTITY, "lat_min", "lon_min", "lat_max", "lon_max")
-        # A cell's four quarters meet its own boxes: at most four rows per box and cell, as many as it has quarters.
-        met = quarters.join(boxes, ["_up_lat", "_up_lon"]).where(
+        quarters = cut(crowded.select("_cell_lat", "_cell_lon", *top).distinct())
+        met = cut(crowded.drop("_live")).where(
             (F.col("lat_min") < (F.col("_cell_lat") + 1) * size) & (F.col("lat_max") >= F.col("_cell_lat") * size)
             & (F.col("lon_min") < (F.col("_cell_lon") + 1) * size) & (F.col("lon_max") >= F.col("_cell_lon") * size))
-        live = settled(_pruned(met.drop("_up_lat", "_up_lon"), size), f"level{level}")
+        live = settled(_pruned(met, size), f"level{level}")
+        grown = live.groupBy(*top).agg(F.count(F.lit(1)).alias("_rows")).join(own.hint("merge"), top).where(F.col("_rows") > GROWTH * F.col("_own"))
         last = level == levels
-        crowded = live.where(F.lit(False) if last else F.col("_live") > most)
+        crowded = live.where(F.lit(False) if last else F.col("_live") > most).join(grown.select(*top).hint("merge"), top, "left_anti")
         split = crowded.select("_cell_lat", "_cell_lon").distinct()
-        leaves = quarters.select(*top, "_cell_lat", "_cell_lon").join(split, ["_cell_lat", "_cell_lon"], "left_anti")
-        listed = leaves.join(_listed(live), ["_cell_lat", "_cell_lon"], "left").withColumn("_level", F.lit(level))
+        leaves = quarters.select(*top, "_cell_lat", "_cell_lon").join(split.hint("merge"), ["_cell_lat", "_cell_lon"], "left_anti")
+        listed = leaves.join(_listed(live).hint("merge"), ["_cell_lat", "_cell_lon"], "left").withColumn("_level", F.lit(level))
         fine.append(settled(listed, f"leaves{level}"))
-        used.append(level)
         if crowded.isEmpty():
             break
     every = fine[0]

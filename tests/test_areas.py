@@ -112,3 +112,43 @@ def test_fetch_plan(spark):
         A.check_window(dt.date(2024, 1, 2), dt.date(2024, 1, 1))
     with pytest.raises(ValueError, match="future"):
         A.check_window(dt.date(2024, 1, 2), dt.date(2024, 1, 9), today=dt.date(2024, 1, 5))
+
+
+def edge_boxes(spark, n=300):
+    """Boxes that all end on the line 4.9, which no cell's edge meets, so no box ever covers a cell there."""
+    r = random.Random(3)
+    boxes = [(f"b{i}", r.choice([3.2, 3.7, 4.1]), lon := 100 + r.randint(0, 40) / 10, 4.9, lon + 3.0) for i in range(n)]
+    return boxes, spark.createDataFrame([(i, b[0], b[0], *map(float, b[1:])) for i, b in enumerate(boxes)], S.AREA_SCHEMA)
+
+
+def test_boxes_with_a_common_edge_are_not_cut_without_end(spark):
+    """point_in_box_many: of boxes with the same part of a cell only the first can win in it."""
+    boxes, table = edge_boxes(spark)
+    r = random.Random(4)
+    rows = [(i, r.choice([3.2, 4.1, 4.9, 4.95, r.uniform(3, 5)]), r.choice([100.1, r.uniform(99, 108)])) for i in range(500)]
+    df = spark.createDataFrame(rows, "id int, latitude double, longitude double")
+    got = {x["id"]: x[S.ENTITY] for x in X.assign_many(df, table, levels=7).collect()}
+    assert got == {i: first(boxes, lat, lon) for i, lat, lon in rows}
+    coarse, fine = X.area_cells(table, 1.0, levels=7)
+    listed = sum(x.agg(F.sum(F.greatest(F.size("_boxes"), F.lit(0)))).first()[0] for x in (coarse, fine) if x is not None)
+    assert listed < 4 * len(boxes)
+
+
+def test_cutting_ends_where_it_multiplies_rows(spark):
+    """Nested boxes, inner ones first: edges everywhere. Lists stay long, results right, and rows bounded."""
+    boxes = [(f"b{i}", 0.4 - w, 100.4 - w, 0.4 + w, 100.4 + w) for i, w in enumerate((k + 1) / 800 for k in range(300))]
+    table = spark.createDataFrame([(i, b[0], b[0], *map(float, b[1:])) for i, b in enumerate(boxes)], S.AREA_SCHEMA)
+    r = random.Random(6)
+    rows = [(i, r.uniform(0, 0.9), r.uniform(100, 100.9)) for i in range(300)]
+    df = spark.createDataFrame(rows, "id int, latitude double, longitude double")
+    got = {x["id"]: x[S.ENTITY] for x in X.assign_many(df, table, most=2).collect()}
+    assert got == {i: first(boxes, lat, lon) for i, lat, lon in rows}
+    _, fine = X.area_cells(table, 1.0, most=2)
+    assert fine.agg(F.sum(F.greatest(F.size("_boxes"), F.lit(0)))).first()[0] < 5 * X.GROWTH * len(boxes)
+
+
+def test_a_box_without_priority_hides_none_of_the_same_part(spark):
+    table = spark.createDataFrame([(None, "x", "x", 0.2, 100.2, 0.4, 100.4), (1, "y", "y", 0.2, 100.2, 0.4, 100.4), (2, "z", "z", 0.0, 100.0, 1.0, 101.0)],
+                                  f"priority int, {S.ENTITY} string, name string, lat_min double, lon_min double, lat_max double, lon_max double")
+    df = spark.createDataFrame([(1, 0.3, 100.3), (2, 0.5, 100.3)], "id int, latitude double, longitude double")
+    assert {x["id"]: x[S.ENTITY] for x in X.assign_many(df, table).collect()} == {1: "y", 2: "z"}
