@@ -184,3 +184,16 @@ def test_files_with_wide_lines_are_left_out_and_listed(spark, tmp_path):
         (tmp_path / "strict").mkdir()
         (tmp_path / "strict" / "x.csv").write_text(f"{head}\n{good},p,q\n")
         R.scan_csv(spark, str(tmp_path / "strict"), S.HEADER_CRITICAL, strict=True)
+
+
+def test_split_files_over_boxes_with_a_common_edge(spark, tmp_path):
+    """No box covers a cell at the line 4.9, where all of them end; cells there are not cut down to the last level."""
+    from emberline.operators.spatial import assign_many
+    boxes = [(i, f"b{i}", f"b{i}", 3.3, 100 + i % 40 / 10, 4.9, 103 + i % 40 / 10) for i in range(300)]
+    areas = spark.createDataFrame(boxes, S.AREA_SCHEMA)
+    rows = [(i, 4.8 + i % 2 / 10 + i % 3 / 100, 99.55 + i / 10) for i in range(90)]
+    df = assign_many(spark.createDataFrame(rows, "event_id long, latitude double, longitude double"), areas)
+    K.write_split(df.withColumn("acq_date", F.lit(dt.date(2024, 1, 1))), areas, str(tmp_path / "split"))
+    back = spark.read.option("header", True).csv(str(tmp_path / "split"))
+    want = {i: next((b[1] for b in boxes if b[3] <= lat <= b[5] and b[4] <= lon <= b[6]), None) for i, lat, lon in rows}
+    assert {int(r["event_id"]): r[S.ENTITY] for r in back.collect()} == {i: b for i, b in want.items() if b}
