@@ -152,3 +152,18 @@ def test_a_box_without_priority_hides_none_of_the_same_part(spark):
                                   f"priority int, {S.ENTITY} string, name string, lat_min double, lon_min double, lat_max double, lon_max double")
     df = spark.createDataFrame([(1, 0.3, 100.3), (2, 0.5, 100.3)], "id int, latitude double, longitude double")
     assert {x["id"]: x[S.ENTITY] for x in X.assign_many(df, table).collect()} == {1: "y", 2: "z"}
+
+
+def along_the_edge(spark):
+    boxes, table = edge_boxes(spark)
+    r = random.Random(7)
+    rows = [(i, r.choice([4.9, 4.95, r.uniform(4, 5)]), r.uniform(99, 108), dt.date(2024, 1, 1 + i % 9)) for i in range(200)]
+    df = spark.createDataFrame(rows, "id int, latitude double, longitude double, acq_date date")
+    return X.assign_many(df, table), table, [(first(boxes, lat, lon), i, day) for i, lat, lon, day in rows]
+
+
+def test_split_manifest_over_boxes_with_a_common_edge(spark):
+    assigned, table, want = along_the_edge(spark)
+    got = {r[S.ENTITY]: (r["n_rows"], r["first_date"], r["last_date"]) for r in X.split_manifest(assigned, table).collect()}
+    days = {b: [day for x, _, day in want if x == b] for b in got}
+    assert len(got) == 300 and got == {b: (len(d), min(d, default=None), max(d, default=None)) for b, d in days.items()}
