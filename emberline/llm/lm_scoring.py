@@ -83,37 +83,70 @@ def padded(doc: np.ndarray, bucket: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rows, at
 
 
+def hidden(weights: dict[str, np.ndarray], rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Inputs, hidden values and outputs less the largest, at the given places in ascending order."""
+    low, high = int(at[0]) - SIDE, int(at[-1]) + SIDE + 1
+    e = weights["embedding"][rows[low:high]]
+    n, place = len(e), at - low
+    # Sums of the words beside every place, by slices, then those of the given places.
+    left, right = e[SIDE - 1:n - 1].copy(), e[1:n - SIDE + 1].copy()
+    for j in range(2, SIDE + 1):
+        left += e[SIDE - j:n - j]
+        right += e[j:n - SIDE + j]
+    x = np.concatenate([left[place - SIDE], right[place]], 1)
+    x /= SIDE
+    h = x @ weights["w1"]
+    h += weights["b1"]
+    np.tanh(h, out=h)
+    z = h @ weights["w2"]
+    z += weights["b2"]
+    z -= z.max(1, keepdims=True)
+    return x, h, z
+
+
 def forward(weights: dict[str, np.ndarray], rows: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Inputs, hidden values and log-probabilities of the classes at the given places."""
-    e = weights["embedding"]
-    sides = [sum(e[rows[at + s * j]] for j in range(1, SIDE + 1)) / SIDE for s in (-1, 1)]
-    x = np.concatenate(sides, 1)
-    h = np.tanh(x @ weights["w1"] + weights["b1"])
-    z = h @ weights["w2"] + weights["b2"]
-    z -= z.max(1, keepdims=True)
+    x, h, z = hidden(weights, rows, at)
     z -= np.log(np.exp(z).sum(1, keepdims=True))
     return x, h, z
 
 
+def log_likelihood(weights: dict[str, np.ndarray], rows: np.ndarray, at: np.ndarray, target: np.ndarray) -> np.ndarray:
+    """Log-probability of the given class at each place."""
+    _, _, z = hidden(weights, rows, at)
+    own = z[np.arange(len(at)), target]
+    np.exp(z, out=z)
+    return own - np.log(z.sum(1))
+
+
 def step(weights: dict[str, np.ndarray], squares: dict[str, np.ndarray], rows: np.ndarray, at: np.ndarray, target: np.ndarray, rate: float) -> None:
-    """One Adagrad step on the mean log-loss of the words at the given places."""
+    """One Adagrad step on the mean log-loss of the words at the given places, which ascend."""
     x, h, z = forward(weights, rows, at)
-    d = np.exp(z)
+    d = np.exp(z, out=z)
     d[np.arange(len(at)), target] -= 1
     d /= len(at)
     back = (d @ weights["w2"].T) * (1 - h * h)
     inner = back @ weights["w1"].T / SIDE
-    gradient = {"w2": h.T @ d, "b2": d.sum(0), "w1": x.T @ back, "b1": back.sum(0), "embedding": np.zeros_like(weights["embedding"])}
-    # By place in the text first (places differ, so plain indexing adds right), then once by embedding row.
+    gradient = {"w2": h.T @ d, "b2": d.sum(0), "w1": x.T @ back, "b1": back.sum(0)}
+    # By place in the text first, by slices, then once by embedding row; rows that don't occur stay as they are.
     low = int(at[0]) - SIDE
-    by_place = np.zeros((int(at[-1]) + SIDE + 1 - low, WIDTH), np.float32)
+    n = int(at[-1]) + SIDE + 1 - low
+    by_place = np.zeros((n, WIDTH), np.float32)
     for side, sign in ((0, -1), (1, 1)):
+        own = np.zeros((n - 2 * SIDE, WIDTH), np.float32)
+        own[at - (low + SIDE)] = inner[:, side * WIDTH:(side + 1) * WIDTH]
         for j in range(1, SIDE + 1):
-            by_place[at + (sign * j - low)] += inner[:, side * WIDTH:(side + 1) * WIDTH]
-    near = rows[low:low + len(by_place)]
-    for k in range(WIDTH):
-        gradient["embedding"][:, k] = np.bincount(near, by_place[:, k], EMBEDDED + 1)
-    gradient["embedding"][-1] = 0
+            by_place[SIDE + sign * j:n - SIDE + sign * j] += own
+    near = rows[low:low + n]
+    used = np.flatnonzero(np.bincount(near, minlength=EMBEDDED + 1))
+    number = np.empty(EMBEDDED + 1, np.int64)
+    number[used] = np.arange(len(used))
+    cell = (number[near] * WIDTH)[:, None] + np.arange(WIDTH)
+    g = np.bincount(cell.ravel(), by_place.ravel(), len(used) * WIDTH).reshape(-1, WIDTH).astype(weights["embedding"].dtype)
+    g[used == EMBEDDED] = 0
+    total = squares["embedding"][used] + g * g
+    squares["embedding"][used] = total
+    weights["embedding"][used] -= (rate * g / np.sqrt(total + 1e-8)).astype(np.float32)
     for k, g in gradient.items():
         squares[k] += g * g
         weights[k] -= (rate * g / np.sqrt(squares[k] + 1e-8)).astype(np.float32)
@@ -158,10 +191,9 @@ def score(documents: DataFrame, keep: list[str], weights: dict[str, np.ndarray],
             spans, bucket = word_buckets(block)
             rows, at = padded(spans.doc, bucket)
             log = np.zeros(len(at))
-            for a in range(0, len(at), 8192):
-                own = bucket[a:a + 8192]
-                _, _, z = forward(weights, rows, at[a:a + 8192])
-                log[a:a + 8192] = z[np.arange(len(own)), of[own]] + within[own]
+            for a in range(0, len(at), BATCH):
+                own = bucket[a:a + BATCH]
+                log[a:a + BATCH] = log_likelihood(weights, rows, at[a:a + BATCH], of[own]) + within[own]
             n, total = spans.per_doc(block.n), np.bincount(spans.doc, log, block.n)
             yield pa.RecordBatch.from_arrays([batch.column(i) for i in range(len(keep))] + [pa.array(n), pa.array(total), pa.array(total / np.maximum(n, 1))],
                                              [*keep, "n_tokens", "log_prob", "mean_log_prob"])

@@ -350,3 +350,36 @@ def test_languages_without_training_rows(spark, odd, empty):
     none = language_mixture.identify(odd.withColumn("lang", F.lit(None).cast("string"))).collect()
     assert len(none) == len(odd_rows()) and all(r["lang_pred"] == "und" and r["score"] == 0 for r in none)
     assert language_mixture.identify(empty).count() == 0
+
+
+def test_lm_step_touches_only_rows_of_words_that_occur_and_scores_pick_the_class():
+    """op7_masked_lm_scores: the embedding's other rows are neither read nor written, and a plain loop gives the same step."""
+    import numpy as np
+
+    from emberline.llm import lm_scoring as L
+    counts = np.ones(L.BUCKETS)
+    of, _ = L.classes(counts)
+    weights = L.drawn(counts, of)
+    bucket = np.random.default_rng(1).integers(0, 40, 60)
+    rows, at = L.padded(np.repeat([0, 1, 2], 20), bucket)
+    some, target = at[::2], of[bucket[::2]]
+    x, h, z = L.forward(weights, rows, some)
+    for i, a in enumerate(some):
+        sides = [np.mean([weights["embedding"][rows[a + s * j]] for j in range(1, L.SIDE + 1)], axis=0) for s in (-1, 1)]
+        assert np.allclose(x[i], np.concatenate(sides), atol=1e-6)
+    assert np.array_equal(L.log_likelihood(weights, rows, some, target), z[np.arange(len(some)), target])
+    d = np.exp(z)
+    d[np.arange(len(some)), target] -= 1
+    inner = (d / len(some) @ weights["w2"].T * (1 - h * h)) @ weights["w1"].T / L.SIDE
+    want = np.zeros_like(weights["embedding"])
+    for i, a in enumerate(some):
+        for side, s in ((0, -1), (1, 1)):
+            for j in range(1, L.SIDE + 1):
+                want[rows[a + s * j]] += inner[i, side * L.WIDTH:(side + 1) * L.WIDTH]
+    want[-1] = 0
+    squares = {k: np.zeros(v.shape, np.float32) for k, v in weights.items()}
+    squares["embedding"][40:-1] = np.nan  # would spread to weights that are worked on
+    before = weights["embedding"].copy()
+    L.step(weights, squares, rows, some, target, 0.1)
+    assert np.allclose(squares["embedding"][:40], want[:40] ** 2, rtol=1e-3, atol=1e-12)
+    assert np.array_equal(weights["embedding"][40:], before[40:]) and not np.array_equal(weights["embedding"][:40], before[:40])
