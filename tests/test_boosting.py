@@ -133,3 +133,25 @@ def test_models_are_stored_and_chosen_by_stage(spark, tmp_path):
     for name, stage in (("m", "Archived"), ("x", "Production")):
         with pytest.raises(ValueError, match="no version"):
             N.staged_model(models, versions, name, stage)
+
+
+@pytest.mark.parametrize(("objective", "k"), [("softmax", 3), ("binary", 1), ("l1", 1)])
+def test_rows_kept_by_node_give_the_same_trees_from_fewer_rows(objective, k, monkeypatch):
+    """train_classifier beside its data: a pass works on the rows of its nodes, and a round takes its gradients once."""
+    r = np.random.default_rng(5)
+    bins = r.integers(0, 64, (6, 5000)).astype(np.uint8)
+    bins[:3][r.random((3, 5000)) < 0.97] = 0  # mostly missing
+    base = bins[3].astype(int) + bins[4] + r.integers(0, 60, 5000)
+    y = {"softmax": (base > 70) + (base > 110) * 1.0, "binary": (base > 80) * 1.0, "l1": base / 7}[objective]
+    w = np.where(y == 0, 0.7, 1.9)
+    s = B.Settings(objective, 4, 0.1, 6, 12, 20, 0.0, 0.0)
+    taken, gradients = [], B.gradients
+    monkeypatch.setattr(B, "gradients", lambda *a: taken.append(1) or gradients(*a))
+    plain, near = (kind(bins, y, w, np.zeros((k, 5000))) for kind in (B.Shard, B.Near))
+    want = [B.one_round(plain, s, k) for _ in range(4)]
+    taken.clear()
+    got = [B.one_round(near, s, k) for _ in range(4)]
+    assert len(taken) == 4 and any(len(t.feature) > 9 for x in got for t in x)
+    for a, b in zip((t for x in want for t in x), (t for x in got for t in x), strict=True):
+        assert all(np.array_equal(p, q) for p, q in zip(vars(a).values(), vars(b).values(), strict=True))
+    assert np.array_equal(plain.score, near.score)
