@@ -155,3 +155,60 @@ def test_rows_kept_by_node_give_the_same_trees_from_fewer_rows(objective, k, mon
     for a, b in zip((t for x in want for t in x), (t for x in got for t in x), strict=True):
         assert all(np.array_equal(p, q) for p, q in zip(vars(a).values(), vars(b).values(), strict=True))
     assert np.array_equal(plain.score, near.score)
+
+
+@pytest.mark.parametrize(("objective", "k"), [("softmax", 3), ("binary", 1), ("l1", 1)])
+def test_rows_kept_between_passes_give_the_same_trees(objective, k):
+    """train_classifier by many tasks: a pass looks up the rows of its nodes only and works on the newest scores."""
+    r = np.random.default_rng(6)
+    bins = r.integers(0, 64, (6, 9000)).astype(np.uint8)
+    bins[:2][r.random((2, 9000)) < 0.95] = 0  # mostly missing
+    bins[2] = 7
+    base = bins[3].astype(int) + bins[4] + r.integers(0, 60, 9000)
+    y = {"softmax": (base > 70) + (base > 110) * 1.0, "binary": (base > 80) * 1.0, "l1": base / 7}[objective]
+    w = np.where(y == 0, 0.7, 190.0)
+    s = B.Settings(objective, 4, 0.1, 6, 12, 20, 0.0, 0.0)
+    plain = B.Shard(bins, y, w, np.zeros((k, 9000)))
+    kept = B.Live(bins, y, w, np.zeros((k, 9000)), B.Near(bins, y, w, np.zeros((k, 9000))).usual)
+    for _ in range(4):
+        for a, b in zip(B.one_round(plain, s, k), B.one_round(kept, s, k), strict=True):
+            assert all(np.array_equal(p, q) for p, q in zip(vars(a).values(), vars(b).values(), strict=True))
+        kept = B.Live(*kept.kept())
+    assert np.array_equal(plain.score, kept.score)
+
+
+def test_a_pass_of_many_tasks_is_one_job(spark, monkeypatch):
+    """train_classifier: each pass was a query with a shuffle of its own."""
+    x, y = rows(600)
+    df, names = frame(spark, x, (y > 2) * 1.0), ["x0", "x1", "x2"]
+    s = B.Settings("binary", 3, 0.3, 4, 7, 3, 0.0, 0.0)
+    one = sorted(map(tuple, B.fit(df, names, "y", None, s, np.zeros(1)).collect()), key=str)
+    passes, count, sc = [], B.Blocks.count, spark.sparkContext
+
+    def counted(self, *a):
+        sc.setJobGroup(f"pass-{id(passes)}-{len(passes)}", "")
+        out = count(self, *a)
+        passes.append(len(sc.statusTracker().getJobIdsForGroup(f"pass-{id(passes)}-{len(passes)}")))
+        sc.setLocalProperty("spark.jobGroup.id", None)
+        return out
+
+    monkeypatch.setattr(B.Blocks, "count", counted)
+    many = sorted(map(tuple, B.fit(df, names, "y", None, s, np.zeros(1), 0).collect()), key=str)
+    assert one == many and len(passes) > 3
+    assert set(passes[1:]) == {1}, passes  # the first one also puts the rows in place
+    monkeypatch.setattr(B, "GATHERED", 0)  # as of many tasks: merged before they reach the driver
+    assert one == sorted(map(tuple, B.fit(df, names, "y", None, s, np.zeros(1), 0).collect()), key=str)
+
+
+def test_scores_do_not_depend_on_batches(spark, monkeypatch):
+    x, y = rows(300)
+    df = frame(spark, x, y, 1)
+    model = B.fit(df, ["x0", "x1", "x2"], "y", None, SETTINGS, np.array([1.5]))
+    want = [r["scores"] for r in B.scores(df, model).collect()]
+    monkeypatch.setattr(B, "SCORED", 50)
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "17")
+    try:
+        assert want == [r["scores"] for r in B.scores(df, model).collect()] and len(want) == 300
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
